@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from .. import session
 from ..sources.table import ROW_INDEX, SourceTable, source_table
 
+# Neighbouring rows that stay together when a small table is spread over all cores.
+SPREAD_ROWS = 1024
+
 
 def read_parquet_table(
     spark: SparkSession, path: str, name: str, columns: list[str] | None = None, max_rows: int | None = None
@@ -27,6 +30,7 @@ def read_parquet_table(
     columns = columns if columns is not None else df.columns
     files = sorted(df.inputFiles())
     position = F.col("_metadata.row_index")
+    few_splits = df.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism
     if len(files) > 1:
         counts = df.select(F.col("_metadata.file_path").alias("_file")).groupBy("_file").agg(F.count("*").alias("_rows"))
         starts = session.settle(_running_start(counts, "_file", "_rows"))
@@ -38,9 +42,10 @@ def read_parquet_table(
         df = df.withColumn(ROW_INDEX, F.col("_start") + F.col("_position"))
     else:
         df = df.select("*", position.alias(ROW_INDEX))
-    if df.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
-        # A small table in few blocks: spread the rows, since each of them becomes many records.
-        df = df.repartition(spark.sparkContext.defaultParallelism)
+    if few_splits:
+        # A small table: spread its rows, in runs, since each of them becomes many records.
+        run = F.floor(F.col(ROW_INDEX) / SPREAD_ROWS)
+        df = df.repartition(spark.sparkContext.defaultParallelism, run)
     table = source_table(df, name, columns=columns, file_name=path.rstrip("/").rsplit("/", 1)[-1])
     return limit_rows(table, max_rows)
 
