@@ -170,16 +170,28 @@ def file_triples(
 # --- triples -> nested ------------------------------------------------------------------------------------------
 
 
+def _relation_codes(predicate: Column) -> Column:
+    """Relation codes that a predicate stands for; null for other predicates."""
+    inverse: dict[str, list[str]] = {}
+    for relation, iri in V.RELATION_PREDICATES.items():
+        inverse.setdefault(iri, []).append(relation)
+    pairs = [x for iri, codes in inverse.items() for x in (F.lit(iri), F.array(*[F.lit(c) for c in codes]))]
+    return F.try_element_at(F.create_map(*pairs), predicate)
+
+
 def relations_of(triples: DataFrame) -> DataFrame:
     """Relations that an IRI-valued triple stands for: ``s, relation, o``; a predicate can mean several."""
-    inverse: dict[str, list[str]] = {}
-    for relation, predicate in V.RELATION_PREDICATES.items():
-        inverse.setdefault(predicate, []).append(relation)
-    table = F.create_map(
-        *[x for p, codes in inverse.items() for x in (F.lit(p), F.array(*[F.lit(c) for c in codes]))]
-    )
-    related = triples.filter(F.col("p").isin(list(inverse)) & (F.col("o_kind") == IRI))
-    return related.select("s", F.explode(F.try_element_at(table, F.col("p"))).alias("relation"), "o")
+    predicates = sorted(set(V.RELATION_PREDICATES.values()))
+    related = triples.filter(F.col("p").isin(predicates) & (F.col("o_kind") == IRI))
+    return related.select("s", F.explode(_relation_codes(F.col("p"))).alias("relation"), "o")
+
+
+def _reference_fields() -> tuple[Column, Column]:
+    """Url and wikidata id that a triple refers to, each null where it does not."""
+    related = F.col("p").isin(sorted(set(V.RELATION_PREDICATES.values()) | {V.SAME_AS})) & (F.col("o_kind") == IRI)
+    url = F.when(related & (F.col("p") == V.SEE_ALSO), F.col("o"))
+    wikidata = F.when(related & F.col("o").startswith(V.WIKIDATA_ENTITY), terms.last_segment("o"))
+    return url, wikidata
 
 
 def references_of(triples: DataFrame) -> DataFrame:
@@ -187,17 +199,13 @@ def references_of(triples: DataFrame) -> DataFrame:
 
     Wikidata entities named by any relation or by sameAs give their id; every seeAlso IRI gives its url.
     """
-    predicates = sorted(set(V.RELATION_PREDICATES.values()) | {V.SAME_AS})
-    objects = triples.filter(F.col("p").isin(predicates) & (F.col("o_kind") == IRI))
-    is_entity = F.col("o").startswith(V.WIKIDATA_ENTITY)
-    entity = F.struct(
-        F.lit(None).cast("string").alias("url"), F.when(is_entity, terms.last_segment("o")).alias("wikidata")
+    url, wikidata = _reference_fields()
+    none = F.lit(None).cast("string")
+    both = F.array(
+        F.struct(none.alias("url"), wikidata.alias("wikidata")), F.struct(url.alias("url"), none.alias("wikidata"))
     )
-    url = F.struct(
-        F.when(F.col("p") == V.SEE_ALSO, F.col("o")).alias("url"), F.lit(None).cast("string").alias("wikidata")
-    )
-    listed = F.filter(F.array(entity, url), lambda r: r["url"].isNotNull() | r["wikidata"].isNotNull())
-    return objects.select("s", F.inline(listed)).distinct()
+    listed = F.filter(both, lambda r: r["url"].isNotNull() | r["wikidata"].isNotNull())
+    return triples.select("s", F.inline(listed)).distinct()
 
 
 def first_values(triples: DataFrame) -> DataFrame:
@@ -213,44 +221,55 @@ def annotation_entries(
     Fields are name, label, description, data_type (one row each), mapping (key: relation), url, wikidata,
     comment and extra (key: property name, first value only).
     """
-    annotated = triples.filter(
-        (F.col("p") == V.RDF_TYPE) & (F.col("o") == base + "ColumnAnnotation")
-    ).select("s").distinct()
-    named = triples.filter(F.col("p") == base + "columnName").select("s").distinct()
-    about = triples.join(annotated.join(named, "s", "left_semi"), "s", "left_semi")
-
-    nothing = F.lit(None).cast("string")
-    pick = {
-        base + "columnName": "name", V.LABEL: "label", V.DESCRIPTION: "description", base + "dataType": "data_type",
-    }
-    local = terms.local_name("p", base)
+    is_class = (F.col("p") == V.RDF_TYPE) & (F.col("o") == base + "ColumnAnnotation")
+    is_name = F.col("p") == base + "columnName"
+    known = triples.filter(is_class | is_name).groupBy("s").agg(
+        F.bool_or(is_class).alias("_class"), F.bool_or(is_name).alias("_name")
+    )
+    about = triples.join(known.filter(F.col("_class") & F.col("_name")), "s", "left_semi")
+
+    by_table = isinstance(prefixes, DataFrame)
+    none = F.lit(None).cast("string")
+    o, local = F.col("o"), terms.local_name("p", base)
     own_fields = (*V.RECORD_FIELDS, "columnName", "semanticType", "dataType")
-    field = F.coalesce(
-        F.try_element_at(_literal_map(pick), F.col("p")), F.when(~local.isin(*own_fields), F.lit("extra"))
+    pick = {base + "columnName": "name", V.LABEL: "label", V.DESCRIPTION: "description"}
+    url, wikidata = _reference_fields()
+
+    def entry(field: Column | str, key: Column, value: Column) -> Column:
+        field = F.lit(field) if isinstance(field, str) else field
+        return F.struct(field.alias("field"), key.alias("key"), value.alias("value"))
+
+    is_mapping = (F.col("o_kind") == IRI) & ~o.startswith(V.WIKIDATA_ENTITY)
+    short = o if by_table else compact(o, prefixes)
+    mappings = F.transform(
+        F.when(is_mapping, _relation_codes(F.col("p"))), lambda code: entry("mapping", code, short)
+    )
+    others = F.array(
+        entry(F.try_element_at(_literal_map(pick), F.col("p")), none, o),
+        entry("data_type", none, F.when(F.col("p") == base + "dataType", terms.datatype_code("o"))),
+        entry(F.when(~local.isin(*own_fields), F.lit("extra")), local, o),
+        entry("url", none, url),
+        entry("wikidata", none, wikidata),
+        entry("comment", none, F.when((F.col("p") == V.COMMENT) & (o != V.CLASS_COMMENT), o)),
     )
-    value = F.when(F.col("p") == base + "dataType", terms.datatype_code("o")).otherwise(F.col("o"))
-    single = about.select("s", field.alias("field"), F.when(field == "extra", local).alias("key"), value.alias("value"))
-    single = single.filter(F.col("field").isNotNull() & F.col("value").isNotNull())
-    single = single.groupBy("s", "field", "key").agg(F.min("value").alias("_low"), F.max("value").alias("_high"))
-    first = F.col("field").isin("name", "extra")
-    single = single.select("s", "field", "key", F.when(first, F.col("_low")).otherwise(F.col("_high")).alias("value"))
-
-    mappings = relations_of(about).filter(~F.col("o").startswith(V.WIKIDATA_ENTITY))
-    if isinstance(prefixes, DataFrame):
-        mappings = compact_by_table(mappings, "o", prefixes, "value")
-    else:
-        mappings = mappings.withColumn("value", compact(F.col("o"), prefixes))
-    mappings = mappings.select("s", F.lit("mapping").alias("field"), F.col("relation").alias("key"), "value").distinct()
-
-    references = references_of(about).select(
-        "s",
-        F.when(F.col("url").isNotNull(), F.lit("url")).otherwise(F.lit("wikidata")).alias("field"),
-        nothing.alias("key"),
-        F.coalesce("url", "wikidata").alias("value"),
+    others = F.filter(others, lambda e: e["field"].isNotNull() & e["value"].isNotNull())
+    no_mappings = F.array().cast(T.ArrayType(T.StructType(
+        [T.StructField(n, T.StringType()) for n in ("field", "key", "value")]
+    )))
+    entries = about.select("s", F.inline(F.concat(others, F.coalesce(mappings, no_mappings))))
+
+    # One pass settles both kinds of fields: lists keep each value once, the others keep one value.
+    is_list = F.col("field").isin("mapping", "url", "wikidata", "comment")
+    grouped = entries.groupBy("s", "field", "key", F.when(is_list, F.col("value")).alias("_value")).agg(
+        F.min("value").alias("_low"), F.max("value").alias("_high")
     )
-    comments = about.filter((F.col("p") == V.COMMENT) & (F.col("o") != V.CLASS_COMMENT))
-    comments = comments.select("s", F.lit("comment").alias("field"), nothing.alias("key"), F.col("o").alias("value"))
-    return single.unionByName(mappings).unionByName(references).unionByName(comments.distinct())
+    low = F.col("field").isin("name", "extra")
+    result = grouped.select("s", "field", "key", F.when(low, F.col("_low")).otherwise(F.col("_high")).alias("value"))
+    if not by_table:
+        return result
+    mapped = compact_by_table(result.filter(F.col("field") == "mapping"), "value", prefixes, "_short")
+    mapped = mapped.select("s", "field", "key", F.col("_short").alias("value"))
+    return result.filter(F.col("field") != "mapping").unionByName(mapped)
 
 
 def regroup(entries: DataFrame, limit: int = ENTRIES_PER_PART) -> DataFrame:
