@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -74,11 +75,18 @@ def lexical_form(value: Column, datatype: Column) -> Column:
     )
 
 
+@cache
+def _digits_of_other_scripts() -> tuple[str, str]:
+    """All decimal digits beyond ASCII, and their ASCII forms."""
+    digits = [chr(c) for c in range(0x80, 0x110000) if unicodedata.category(chr(c)) == "Nd"]
+    return "".join(digits), "".join(str(unicodedata.digit(d)) for d in digits)
+
+
 def _bare(value: Column) -> Column:
     """A number's text without spaces and underscores, in lower case and ASCII digits."""
-    digits = [chr(c) for c in range(0x80, 0x110000) if unicodedata.category(chr(c)) == "Nd"]
-    ascii_form = "".join(str(unicodedata.digit(d)) for d in digits)
-    ascii_text = F.when(value.rlike(r"[^\x00-\x7f]"), F.translate(value, "".join(digits), ascii_form)).otherwise(value)
+    ascii_text = F.when(
+        value.rlike(r"[^\x00-\x7f]"), F.translate(value, *_digits_of_other_scripts())
+    ).otherwise(value)
     return F.lower(F.regexp_replace(ascii_text, r"(?U)[_\s]", ""))
 
 

@@ -56,17 +56,17 @@ def _running_start(counts: DataFrame, order: str | list[str], rows: str) -> Data
     return counts.withColumn("_start", F.coalesce(F.sum(rows).over(before), F.lit(0)))
 
 
-def number_by_blocks(df: DataFrame, file: str, block: str, per_file: bool = False) -> DataFrame:
-    """Number rows of a file scan by (file, block, position).
+def number_by_blocks(df: DataFrame, file: str, block: str, table: str | None = None) -> DataFrame:
+    """Number rows of a file scan by (file, block, position), in each ``table`` from 0 if there are several.
 
     ``monotonically_increasing_id`` grows inside a partition but jumps between partitions; the rows before each
-    block turn it into a position. ``per_file`` starts again at 0 in each file.
+    block turn it into a position. Both uses of the scan split the files in the same way.
     """
     marked = df.withColumn("_id", F.monotonically_increasing_id())
-    blocks = marked.groupBy(file, block).agg(F.min("_id").alias("_first"), F.count("*").alias("_rows"))
-    before = Window.orderBy(file, block).rowsBetween(Window.unboundedPreceding, -1)
-    if per_file:
-        before = Window.partitionBy(file).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    keys = [table, file, block] if table else [file, block]
+    blocks = marked.groupBy(*keys).agg(F.min("_id").alias("_first"), F.count("*").alias("_rows"))
+    grouped = Window.partitionBy(table) if table else Window.partitionBy()
+    before = grouped.orderBy(file, block).rowsBetween(Window.unboundedPreceding, -1)
     start = F.coalesce(F.sum("_rows").over(before), F.lit(0))
     shifts = session.settle(blocks.select(file, block, (start - F.col("_first")).alias("_shift")))
     numbered = marked.join(session.broadcast_if_small(shifts), [file, block])

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
@@ -45,7 +44,10 @@ def read_header(spark: SparkSession, path: str, multi_line: bool = True) -> list
 
     Only the first record is read. Several files at one path are taken to share their header.
     """
-    df = _reader(spark, multi_line).option("pathGlobFilter", CSV_GLOB if "*" in path else "*").csv(path)
+    return _first_record(_reader(spark, multi_line).csv(path))
+
+
+def _first_record(df: DataFrame) -> list[str]:
     first = df.first() if df.columns else None
     return [] if first is None else [v if v is not None else "" for v in first]
 
@@ -56,16 +58,12 @@ def _universal_newlines(value: Column, last: bool) -> Column:
     return F.when(value.contains("\r"), F.regexp_replace(value, "\r\n?", "\n")).otherwise(value)
 
 
-def _scan(spark: SparkSession, path: str, header: list[str], multi_line: bool, glob: str | None) -> DataFrame:
-    schema = ", ".join(f"c{i} string" for i in range(len(header)))
-    reader = _reader(spark, multi_line).option("header", True).schema(schema)
-    df = (reader.option("pathGlobFilter", glob) if glob else reader).csv(path)
+def _scan(reader: DataFrameReader, path: str, header: list[str]) -> DataFrame:
+    df = reader.option("header", True).schema(", ".join(f"c{i} string" for i in range(len(header)))).csv(path)
     cells = [_universal_newlines(F.col(f"c{i}"), i == len(header) - 1).alias(f"c{i}") for i in range(len(header))]
-    source = [
-        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
-        F.col("_metadata.file_name").alias("_file_name"),
-    ]
-    return df.select(*cells, *source)
+    return df.select(
+        *cells, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")
+    )
 
 
 def read_csv_table(
@@ -84,7 +82,7 @@ def read_csv_table(
     header = header if header is not None else read_header(spark, path, multi_line)
     if not header:
         return None
-    numbered = number_by_blocks(_scan(spark, path, header, multi_line, None), "_file", "_block")
+    numbered = number_by_blocks(_scan(_reader(spark, multi_line), path, header), "_file", "_block")
     file = path.rstrip("/").rsplit("/", 1)[-1]
     stem = file.rsplit(".", 1)[0] if "." in file.lstrip(".") else file
     columns = [f"c{i}" for i in range(len(header))]
@@ -95,21 +93,25 @@ def read_csv_table(
 def read_csv_tables(
     spark: SparkSession, folder: str, header: list[str] | None = None, multi_line: bool = True
 ) -> SourceTable | None:
-    """Every CSV file of a folder as a table of its own, named by its stem, in one job.
+    """Every ``.csv`` entry of a folder as a table of its own, named by its stem, in one job.
 
-    The files share a header; rows are numbered from 0 in each file.
+    An entry is a file or a folder of part files. The tables share a header; rows are numbered from 0 in each.
     """
+    reader = _reader(spark, multi_line).option("pathGlobFilter", CSV_GLOB).option("recursiveFileLookup", True)
     if header is None:
-        df = _reader(spark, multi_line).option("pathGlobFilter", CSV_GLOB).csv(folder)
-        first = df.first() if df.columns else None
-        header = [] if first is None else [v if v is not None else "" for v in first]
+        header = _first_record(reader.csv(folder))
     if not header:
         return None
-    scan = _scan(spark, folder, header, multi_line, CSV_GLOB)
-    numbered = number_by_blocks(scan, "_file", "_block", per_file=True)
-    numbered = numbered.withColumn(TABLE_NAME, terms.file_stem("_file_name"))
+    scan = _scan(reader, folder, header).withColumn(TABLE_NAME, _entry_stem(F.col("_file")))
+    numbered = number_by_blocks(scan, "_file", "_block", TABLE_NAME)
     columns = [f"c{i}" for i in range(len(header))]
-    return replace(source_table(numbered, None, columns=columns, names=header), file_name=None)
+    return source_table(numbered, None, columns=columns, names=header)
+
+
+def _entry_stem(path: Column) -> Column:
+    """Name of the ``.csv`` file, or of the ``.csv`` folder it is a part of. Paths are URL-encoded."""
+    stem = F.regexp_extract(path, r"/([^/]+)\.[cC][sS][vV](?:/[^/]*)?$", 1)
+    return F.url_decode(F.replace(stem, F.lit("+"), F.lit("%2B")))
 
 
 def list_csv_files(spark: SparkSession, folder: str) -> DataFrame:

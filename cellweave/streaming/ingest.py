@@ -31,7 +31,7 @@ def _rows_before(spark: SparkSession, ledger: str, batch_id: int) -> int:
 
 def _numbered(batch: DataFrame, first: int) -> DataFrame:
     numbered = number_by_blocks(batch, "_file", "_block")
-    return numbered.withColumn(ROW_INDEX, F.col(ROW_INDEX) + F.lit(first)).drop("_file", "_block", "_file_name")
+    return numbered.withColumn(ROW_INDEX, F.col(ROW_INDEX) + F.lit(first)).drop("_file", "_block")
 
 
 def append_batches(

@@ -184,32 +184,39 @@ FROM {{part}}
 """
 
 
-def _arm(p: str, o: str, kind: str, where: str = "TRUE", lang: str = "NULL", s: str = "s") -> str:
-    return (
-        f"SELECT {s} AS s, '{p}' AS p, {o} AS o, '{kind}' AS o_kind, CAST(NULL AS STRING) AS o_datatype, "
-        f"CAST({lang} AS STRING) AS o_lang FROM base WHERE {where}"
-    )
-
-
-ANNOTATIONS = f"WITH base AS ({ANNOTATIONS_BASE}) " + " UNION ALL ".join([
-    _arm(V.RDF_TYPE, f"'{B}ColumnAnnotation'", "iri"),
-    _arm(f"{B}columnName", "column_name", "literal"),
-    _arm(V.LABEL, "p_name", "literal", lang="'en'"),
-    _arm(V.DESCRIPTION, "p_type || ' item'", "literal", "p_size > 5"),
-    _arm(f"{B}dataType", f"'{V.XSD}' || code", "iri"),
-    _arm(V.SEE_ALSO, "'https://brand.example/' || replace(p_brand, '#', '/')", "iri"),
-    _arm(V.SEE_ALSO, "'https://schema.org/' || p_type", "iri"),
-    _arm(V.SEE_ALSO, f"'{V.WIKIDATA_ENTITY}Q' || p_size", "iri", "p_size < 4"),
-    _arm(V.SAME_AS, f"'{V.WIKIDATA_ENTITY}Q' || p_partkey", "iri", "p_size < 10"),
-    _arm(V.OWL + "equivalentProperty", "'http://www.opengis.net/ont/geosparql#' || p_type", "iri", "p_size > 40"),
-    _arm(V.SKOS + "broader", "'https://schema.org/Thing'", "iri", "p_size = 30"),
-    _arm(V.COMMENT, "p_name || ' of ' || p_brand", "literal", lang="'en'"),
-    _arm(V.COMMENT, "'size ' || p_size", "literal", "p_size > 20"),
-    _arm(f"{B}unit", "'piece ' || p_size", "literal"),
-    _arm(f"{B}unit", "'box'", "literal", "p_size > 25"),
-    _arm(V.DCTERMS + "conformsTo", "'_:b' || p_partkey", "bnode", "p_size = 50"),
-    _arm(V.LABEL, "'rule ' || p_partkey", "literal", "p_size = 50", s="'_:b' || p_partkey"),
-])
+# Triples of each annotation: predicate, object, kind, and where it holds, its language and another subject.
+_ANNOTATION_ARMS = [
+    (V.RDF_TYPE, f"'{B}ColumnAnnotation'", "iri", "TRUE", "NULL", "s"),
+    (f"{B}columnName", "column_name", "literal", "TRUE", "NULL", "s"),
+    (V.LABEL, "p_name", "literal", "TRUE", "'en'", "s"),
+    (V.DESCRIPTION, "p_type || ' item'", "literal", "p_size > 5", "NULL", "s"),
+    (f"{B}dataType", f"'{V.XSD}' || code", "iri", "TRUE", "NULL", "s"),
+    (V.SEE_ALSO, "'https://brand.example/' || replace(p_brand, '#', '/')", "iri", "TRUE", "NULL", "s"),
+    (V.SEE_ALSO, "'https://schema.org/' || p_type", "iri", "TRUE", "NULL", "s"),
+    (V.SEE_ALSO, f"'{V.WIKIDATA_ENTITY}Q' || p_size", "iri", "p_size < 4", "NULL", "s"),
+    (V.SAME_AS, f"'{V.WIKIDATA_ENTITY}Q' || p_partkey", "iri", "p_size < 10", "NULL", "s"),
+    (V.OWL + "equivalentProperty", "'http://www.opengis.net/ont/geosparql#' || p_type", "iri", "p_size > 40", "NULL", "s"),
+    (V.SKOS + "broader", "'https://schema.org/Thing'", "iri", "p_size = 30", "NULL", "s"),
+    (V.COMMENT, "p_name || ' of ' || p_brand", "literal", "TRUE", "'en'", "s"),
+    (V.COMMENT, "'size ' || p_size", "literal", "p_size > 20", "NULL", "s"),
+    (f"{B}unit", "'piece ' || p_size", "literal", "TRUE", "NULL", "s"),
+    (f"{B}unit", "'box'", "literal", "p_size > 25", "NULL", "s"),
+    (V.DCTERMS + "conformsTo", "'_:b' || p_partkey", "bnode", "p_size = 50", "NULL", "s"),
+    (V.LABEL, "'rule ' || p_partkey", "literal", "p_size = 50", "NULL", "'_:b' || p_partkey"),
+]
+
+# One pass over the parts for the one engine, a union of selections for the other.
+_STRUCTS = ", ".join(
+    f"CASE WHEN {where} THEN named_struct('s', {s}, 'p', '{p}', 'o', {o}, 'o_kind', '{kind}', "
+    f"'o_datatype', CAST(NULL AS STRING), 'o_lang', CAST({lang} AS STRING)) END"
+    for p, o, kind, where, lang, s in _ANNOTATION_ARMS
+)
+ANNOTATIONS_SPARK = f"SELECT inline(array_compact(array({_STRUCTS}))) FROM ({ANNOTATIONS_BASE})"
+ANNOTATIONS = f"WITH base AS ({ANNOTATIONS_BASE}) " + " UNION ALL ".join(
+    f"SELECT {s} AS s, '{p}' AS p, {o} AS o, '{kind}' AS o_kind, CAST(NULL AS STRING) AS o_datatype, "
+    f"CAST({lang} AS STRING) AS o_lang FROM base WHERE {where}"
+    for p, o, kind, where, lang, s in _ANNOTATION_ARMS
+)
 
 PREFIXES = {
     "schema": "https://schema.org/",
@@ -220,7 +227,7 @@ PREFIXES = {
 
 
 def annotations(spark: SparkSession, folder: str) -> DataFrame:
-    return derive(spark, folder, ANNOTATIONS)
+    return derive(spark, folder, ANNOTATIONS_SPARK)
 
 
 # Nested records: one annotated column per part. Absent fields, unknown codes and mixed references occur.
