@@ -98,10 +98,13 @@ def _to_double(bare: Column) -> Column:
     return F.regexp_replace(bare, r"^[+-]nan\z", "nan").try_cast("double")
 
 
-def _shorter(number: Column, text: Column, places: range) -> Column:
-    """The first rounding of ``number`` that still reads back as the same double, else ``text``."""
-    candidates = [F.format_string(f"%.{n}e", number) for n in places]
-    return F.coalesce(*[F.when(c.cast("double") == number, c) for c in candidates], text)
+def _shortest(number: Column) -> Column:
+    """The shortest rounding of ``number``, in scientific form, that reads back as the same double."""
+    places = F.sequence(F.lit(0), F.lit(16))
+    texts = F.transform(
+        places, lambda n: F.call_function("format_string", F.concat(F.lit("%."), n.cast("string"), F.lit("e")), number)
+    )
+    return F.get(F.filter(texts, lambda text: text.cast("double") == number), F.lit(0))
 
 
 def double_text(number: Column) -> Column:
@@ -110,12 +113,10 @@ def double_text(number: Column) -> Column:
 
 
 def _render(number: Column, size: Column, java: Column) -> Column:
-    shortest = (
-        F.when(size < 2.3e-308, _shorter(number, java, range(17)))
-        .when(F.length(F.substring_index(java, "E", 1)) <= 16, java)
-        .otherwise(_shorter(number, java, range(14, 17)))
-    )
-    scientific = F.regexp_replace(F.lower(shortest), r"\.?0*e\+?", "e")
+    # A long mantissa is not always the shortest one; nor is any of a number close to zero.
+    sure = (size >= 2.3e-308) & (F.length(F.substring_index(java, "E", 1)) <= 16)
+    text = F.when(sure, java).otherwise(F.coalesce(_shortest(number), java))
+    scientific = F.regexp_replace(F.lower(text), r"\.?0*e\+?", "e")
     scientific = F.regexp_replace(scientific, r"e(?=\d)", "e+")
     scientific = F.regexp_replace(scientific, r"(?<=e[+-])(?=\d$)", "0")
     fixed = F.regexp_replace(number.cast("decimal(38,20)").cast("string"), r"^(-?\d+\.\d+?)0*$", "$1")
