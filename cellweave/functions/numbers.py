@@ -9,7 +9,6 @@ small enough to be compiled.
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Callable
 from functools import cache
 
 from pyspark.sql import Column
@@ -38,41 +37,37 @@ INTEGER_TYPE = V.XSD + "integer"
 DECIMAL_TYPE = V.XSD + "decimal"
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` applied to ``value``, which is computed once however often the body uses it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+def _let(value: str, name: str, body: str) -> str:
+    """SQL for ``body``, in which ``name`` stands for ``value``; that is computed once however often it is used."""
+    return f"transform(array({value}), {name} -> {body})[0]"
 
 
-def infer_datatype(value: Column) -> Column:
-    """XSD integer, XSD decimal or null (plain string) for one cell's text."""
-    return (
-        F.when(value.rlike(_PLAIN_INTEGER), F.lit(INTEGER_TYPE))
-        .when(value.rlike(_SIMPLE_DECIMAL), F.lit(DECIMAL_TYPE))
-        .when(value.rlike(_MAY_BE_NUMBER), _let(value, _careful_datatype))
-    )
+def infer_datatype(value: str) -> Column:
+    """XSD integer, XSD decimal or null (plain string) for the text in a column."""
+    few_digits = rf"(length(v) <= {MAX_INTEGER_DIGITS} OR length(regexp_replace(v, r'(?U)\D', '')) <= {MAX_INTEGER_DIGITS})"
+    careful = f"""CASE WHEN contains(v, '_') AND v RLIKE r'{_STRAY_UNDERSCORE}' THEN NULL
+        WHEN v RLIKE r'{INTEGER}' AND {few_digits} THEN '{INTEGER_TYPE}'
+        WHEN v RLIKE r'{DECIMAL}' THEN '{DECIMAL_TYPE}' END"""
+    return F.expr(f"""CASE WHEN `{value}` RLIKE r'{_PLAIN_INTEGER}' THEN '{INTEGER_TYPE}'
+        WHEN `{value}` RLIKE r'{_SIMPLE_DECIMAL}' THEN '{DECIMAL_TYPE}'
+        WHEN `{value}` RLIKE r'{_MAY_BE_NUMBER}' THEN {_let(f'`{value}`', 'v', careful)} END""")
 
 
-def _careful_datatype(value: Column) -> Column:
-    grouped = ~value.contains("_") | ~value.rlike(_STRAY_UNDERSCORE)
-    few_digits = F.length(F.regexp_replace(value, r"(?U)\D", "")) <= MAX_INTEGER_DIGITS
-    integer = value.rlike(INTEGER) & ((F.length(value) <= MAX_INTEGER_DIGITS) | few_digits)
-    return F.when(grouped & integer, F.lit(INTEGER_TYPE)).when(grouped & value.rlike(DECIMAL), F.lit(DECIMAL_TYPE))
-
-
-def lexical_form(value: Column, datatype: Column) -> Column:
-    """The text to write for a value of a datatype: numbers re-rendered, all else unchanged.
+def lexical_form(value: str, datatype: str) -> Column:
+    """The text to write for a column of texts and their datatypes: numbers re-rendered, all else unchanged.
 
     Integers lose spaces, underscores, plus signs and leading zeros. Decimals are read as doubles and
     written with the fewest digits that read back the same, in fixed point for exponents -4 to 15 and as
     ``d.ddde+XX`` beyond.
     """
-    plain = datatype.isNull() | value.rlike(_PLAIN_INTEGER) & (datatype == INTEGER_TYPE) | value.rlike(_PLAIN_DECIMAL)
-    return F.when(plain, value).otherwise(
-        _let(F.struct(value.alias("v"), datatype.alias("t")), lambda cell: (
-            F.when(cell["t"] == INTEGER_TYPE, _integer_text(_bare(cell["v"])))
-            .otherwise(_let(_to_double(_bare(cell["v"])), double_text))
-        ))
-    )
+    integer = r"regexp_replace(regexp_replace(bare, r'^\+?(-?)0*(?=\d)', '$1'), r'^-0\z', '0')"
+    double = r"try_cast(regexp_replace(bare, r'^[+-]nan\z', 'nan') AS double)"
+    rendered = _let(double, "d", double_text("d"))
+    number = _let(_bare("c.v"), "bare", f"IF(c.t = '{INTEGER_TYPE}', {integer}, {rendered})")
+    return F.expr(f"""CASE WHEN `{datatype}` IS NULL
+        OR `{datatype}` = '{INTEGER_TYPE}' AND `{value}` RLIKE r'{_PLAIN_INTEGER}'
+        OR `{value}` RLIKE r'{_PLAIN_DECIMAL}' THEN `{value}`
+        ELSE {_let(f"struct(`{value}` AS v, `{datatype}` AS t)", "c", number)} END""")
 
 
 @cache
@@ -82,48 +77,25 @@ def _digits_of_other_scripts() -> tuple[str, str]:
     return "".join(digits), "".join(str(unicodedata.digit(d)) for d in digits)
 
 
-def _bare(value: Column) -> Column:
+def _bare(value: str) -> str:
     """A number's text without spaces and underscores, in lower case and ASCII digits."""
-    ascii_text = F.when(
-        value.rlike(r"[^\x00-\x7f]"), F.translate(value, *_digits_of_other_scripts())
-    ).otherwise(value)
-    return F.lower(F.regexp_replace(ascii_text, r"(?U)[_\s]", ""))
-
-
-def _integer_text(bare: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(bare, r"^\+?(-?)0*(?=\d)", "$1"), r"^-0\z", "0")
-
+    digits, ascii_digits = _digits_of_other_scripts()
+    ascii_text = rf"IF({value} RLIKE r'[^\x00-\x7f]', translate({value}, '{digits}', '{ascii_digits}'), {value})"
+    return rf"lower(regexp_replace({ascii_text}, r'(?U)[_\s]', ''))"
 
-def _to_double(bare: Column) -> Column:
-    return F.regexp_replace(bare, r"^[+-]nan\z", "nan").try_cast("double")
 
+def double_text(number: str) -> str:
+    """SQL for the shortest text of a double.
 
-def _shortest(number: Column) -> Column:
-    """The shortest rounding of ``number``, in scientific form, that reads back as the same double."""
-    places = F.sequence(F.lit(0), F.lit(16))
-    texts = F.transform(
-        places, lambda n: F.call_function("format_string", F.concat(F.lit("%."), n.cast("string"), F.lit("e")), number)
-    )
-    return F.get(F.filter(texts, lambda text: text.cast("double") == number), F.lit(0))
-
-
-def double_text(number: Column) -> Column:
-    """Shortest text of a double."""
-    return _let(number.cast("string"), lambda java: _render(number, F.abs(number), java))
-
-
-def _render(number: Column, size: Column, java: Column) -> Column:
-    # A long mantissa is not always the shortest one; nor is any of a number close to zero.
-    sure = (size >= 2.3e-308) & (F.length(F.substring_index(java, "E", 1)) <= 16)
-    text = F.when(sure, java).otherwise(F.coalesce(_shortest(number), java))
-    scientific = F.regexp_replace(F.lower(text), r"\.?0*e\+?", "e")
-    scientific = F.regexp_replace(scientific, r"e(?=\d)", "e+")
-    scientific = F.regexp_replace(scientific, r"(?<=e[+-])(?=\d$)", "0")
-    fixed = F.regexp_replace(number.cast("decimal(38,20)").cast("string"), r"^(-?\d+\.\d+?)0*$", "$1")
-    return (
-        F.when(F.isnan(number), F.lit("nan"))
-        .when(size == float("inf"), F.when(number > 0, F.lit("inf")).otherwise(F.lit("-inf")))
-        .when(~java.contains("E"), java)
-        .when((size >= 1e-4) & (size < 1e16), fixed)
-        .otherwise(scientific)
-    )
+    Java's own text is the shortest but for some long mantissas and numbers close to zero; there the first
+    rounding that reads back as the same number is taken.
+    """
+    roundings = f"transform(sequence(0, 16), n -> format_string(concat('%.', n, 'e'), {number}))"
+    shortest = f"coalesce(filter({roundings}, x -> CAST(x AS double) = {number})[0], j)"
+    sure = f"abs({number}) >= 2.3e-308D AND length(substring_index(j, 'E', 1)) <= 16"
+    scientific = rf"regexp_replace(lower(IF({sure}, j, {shortest})), r'\.?0*e\+?', 'e')"
+    scientific = rf"regexp_replace(regexp_replace({scientific}, r'e(?=\d)', 'e+'), r'(?<=e[+-])(?=\d$)', '0')"
+    fixed = rf"regexp_replace(CAST(CAST({number} AS decimal(38, 20)) AS string), r'^(-?\d+\.\d+?)0*$', '$1')"
+    return _let(f"CAST({number} AS string)", "j", f"""CASE WHEN isnan({number}) THEN 'nan'
+        WHEN j = 'Infinity' THEN 'inf' WHEN j = '-Infinity' THEN '-inf' WHEN NOT contains(j, 'E') THEN j
+        WHEN abs({number}) >= 1e-4D AND abs({number}) < 1e16D THEN {fixed} ELSE {scientific} END""")

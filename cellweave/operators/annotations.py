@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import vocab as V
-from ..model import BNODE, IRI, TRIPLE_FIELDS, lay_out, triple
+from ..model import BNODE, IRI, TRIPLE_FIELDS, Statement, lay_out
 from ..vocab import Profile
 
 
@@ -38,7 +38,9 @@ def unannotated(linked: DataFrame) -> DataFrame:
 
 def link_triples(linked: DataFrame, profile: Profile) -> DataFrame:
     found = linked.filter(F.col("annotation_iri").isNotNull())
-    return lay_out(found, [triple(F.col("column_iri"), profile.term("hasAnnotation"), F.col("annotation_iri"), IRI)])
+    return lay_out(
+        found, [Statement(F.col("column_iri"), profile.term("hasAnnotation"), F.col("annotation_iri"), IRI)]
+    )
 
 
 def copy_used(triples: DataFrame, linked: DataFrame, bounded: bool = False, follow_bnodes: bool = False) -> DataFrame:

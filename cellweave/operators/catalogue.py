@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import session
 from .. import vocab as V
 from ..functions import terms
 from ..model import IRI, LITERAL, MAPPING, REFERENCE, TRIPLES, triple
@@ -279,7 +280,8 @@ def regroup(entries: DataFrame, limit: int = ENTRIES_PER_PART) -> DataFrame:
     of the lists; single-valued fields are in part 0. Fields without entries are null.
     """
     singles = ("name", "label", "description", "data_type")
-    parted = split_groups(entries, "s", ["field", "key", "value"], limit)
+    # Entries come from several joins; they are worked out once for counting and gathering.
+    parted = split_groups(session.settle(entries), "s", ["field", "key", "value"], limit)
     parted = parted.withColumn("part", F.when(F.col("field").isin(*singles), F.lit(0)).otherwise(F.col("part")))
 
     def one(name: str) -> Column:

@@ -39,7 +39,7 @@ def drop_blank(cells: DataFrame, table: SourceTable | None = None) -> DataFrame:
 
 def _known_type(table: SourceTable) -> Column:
     """Literal type by position where the schema already tells it, by inference for texts."""
-    inferred = numbers.infer_datatype(F.col("value"))
+    inferred = numbers.infer_datatype("value")
     index = F.col("column_index")
     branches = [
         (table.positions("integer"), F.lit(numbers.INTEGER_TYPE)),
@@ -66,7 +66,7 @@ def type_cells(cells: DataFrame, table: SourceTable, declared: dict[str, str] |
         if as_text:
             datatype = F.when(~F.col("column_index").isin(as_text), datatype)
     typed = cells.withColumn("datatype", datatype)
-    return typed.withColumn("lexical", numbers.lexical_form(F.col("value"), F.col("datatype")))
+    return typed.withColumn("lexical", numbers.lexical_form("value", "datatype"))
 
 
 def plain_cells(cells: DataFrame) -> DataFrame:

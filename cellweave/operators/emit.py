@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import vocab as V
 from ..functions import terms
-from ..model import IRI, lay_out, triple
+from ..model import IRI, Statement, lay_out, select_statements
 from ..sources.table import SourceTable
 from ..vocab import Profile
 
@@ -56,55 +58,69 @@ def table_triples(tables: DataFrame, profile: Profile, created: Column | str) ->
     subject = table_iri(profile, F.col("table_name"))
     title = F.concat(F.lit(profile.title_prefix), F.col("file_name"))
     return lay_out(tables, [
-        triple(subject, V.RDF_TYPE, profile.term("Table"), IRI),
-        triple(subject, V.DCTERMS + "title", title),
-        triple(subject, V.DCTERMS + "created", created, datatype=V.XSD + "dateTime"),
+        Statement(subject, V.RDF_TYPE, profile.term("Table"), IRI),
+        Statement(subject, V.DCTERMS + "title", title),
+        Statement(subject, V.DCTERMS + "created", created, datatype=V.XSD + "dateTime"),
     ])
 
 
 def column_triples(columns: DataFrame, profile: Profile) -> DataFrame:
     """Type, name and index of each column, and the table's link to it."""
-    column = F.col("column_iri")
+    column, index = F.col("column_iri"), F.col("column_index").cast("string")
     return lay_out(columns, [
-        triple(column, V.RDF_TYPE, profile.term("Column"), IRI),
-        triple(column, profile.term("columnName"), F.col("column_name")),
-        triple(column, profile.term("columnIndex"), F.col("column_index").cast("string"), datatype=V.XSD + "integer"),
-        triple(table_iri(profile, F.col("table_name")), profile.term("column"), column, IRI),
+        Statement(column, V.RDF_TYPE, profile.term("Column"), IRI),
+        Statement(column, profile.term("columnName"), F.col("column_name")),
+        Statement(column, profile.term("columnIndex"), index, datatype=V.XSD + "integer"),
+        Statement(table_iri(profile, F.col("table_name")), profile.term("column"), column, IRI),
     ])
 
 
-def row_triples(table: SourceTable, profile: Profile, *keep: str) -> DataFrame:
-    name = table.table_key()
-    row = row_iri(profile, name, F.col("row_index"))
-    triples = [triple(row, V.RDF_TYPE, profile.term("Row"), IRI)]
+def row_triples(
+    table: SourceTable, profile: Profile, *keep: str, predicates: Collection[str] | None = None, lines: bool = False
+) -> DataFrame:
+    """Type of each row, and in the plain profile its index and the table's link to it.
+
+    ``predicates`` leaves out all other triples; ``lines`` gives text lines in place of triples.
+    """
+    row, index = F.col("row_iri"), F.col("row_index").cast("string")
+    statements = [Statement(row, V.RDF_TYPE, profile.term("Row"), IRI)]
     if profile.indexed_rows:
-        index = F.col("row_index").cast("string")
-        triples += [
-            triple(row, profile.term("rowIndex"), index, datatype=V.XSD + "integer"),
-            triple(table_iri(profile, name), profile.term("row"), row, IRI),
+        statements += [
+            Statement(row, profile.term("rowIndex"), index, datatype=V.XSD + "integer"),
+            Statement(table_iri(profile, table.table_key()), profile.term("row"), row, IRI),
         ]
-    return lay_out(table.frame.select(*table.keys), triples, *keep)
+    rows = table.frame.select(*table.keys, row_iri(profile, table.table_key(), F.col("row_index")).alias("row_iri"))
+    return lay_out(rows, select_statements(statements, predicates), *keep, lines=lines)
 
 
 def with_iris(cells: DataFrame, table: SourceTable, profile: Profile) -> DataFrame:
     """Add the identifiers ``row_iri``, ``column_iri`` and ``cell_iri`` to melted cells."""
     name, row, column = table.table_key(), F.col("row_index"), F.col("column_index")
-    return cells.withColumns({
-        "row_iri": row_iri(profile, name, row),
-        "column_iri": column_iri(profile, name, column),
-        "cell_iri": cell_iri(profile, name, row, column),
-    })
-
-
-def cell_triples(cells: DataFrame, table: SourceTable, profile: Profile, *keep: str) -> DataFrame:
-    """Type, value and links of each cell; cells have ``lexical`` and ``datatype``."""
+    return cells.select(
+        "*",
+        row_iri(profile, name, row).alias("row_iri"),
+        column_iri(profile, name, column).alias("column_iri"),
+        cell_iri(profile, name, row, column).alias("cell_iri"),
+    )
+
+
+def cell_triples(
+    cells: DataFrame, table: SourceTable, profile: Profile, *keep: str,
+    predicates: Collection[str] | None = None, lines: bool = False,
+) -> DataFrame:
+    """Type, value and links of each cell; cells have ``lexical`` and ``datatype``.
+
+    ``predicates`` leaves out all other triples before they are made; ``lines`` gives text lines.
+    """
     cell, row, column = F.col("cell_iri"), F.col("row_iri"), F.col("column_iri")
-    triples = [
-        triple(cell, V.RDF_TYPE, profile.term("Cell"), IRI),
-        triple(cell, profile.term(profile.cell_row), row, IRI),
-        triple(cell, profile.term(profile.cell_column), column, IRI),
-        triple(cell, profile.term("value"), F.col("lexical"), datatype=F.col("datatype")),
+    datatype = F.col("datatype") if profile.typed else None
+    statements = [
+        Statement(cell, V.RDF_TYPE, profile.term("Cell"), IRI),
+        Statement(cell, profile.term(profile.cell_row), row, IRI),
+        Statement(cell, profile.term(profile.cell_column), column, IRI),
+        Statement(cell, profile.term("value"), F.col("lexical"), datatype=datatype),
     ]
     if profile.row_to_cell:
-        triples.append(triple(row, profile.term("cell"), cell, IRI))
-    return lay_out(with_iris(cells, table, profile), triples, *keep)
+        statements.append(Statement(row, profile.term("cell"), cell, IRI))
+    chosen = select_statements(statements, predicates)
+    return lay_out(with_iris(cells, table, profile), chosen, *keep, lines=lines)

@@ -91,11 +91,18 @@ def dangling(triples: DataFrame, profile: Profile) -> DataFrame:
     return links.join(session.broadcast_if_small(missing), ["link", "target"]).select("cell", "link", "target")
 
 
-def rebuild(triples: DataFrame, names: list[str] | tuple[str, ...], profile: Profile) -> DataFrame:
+def rebuild_predicates(profile: Profile) -> list[str]:
+    """Predicates of the cell triples from which :func:`rebuild` works."""
+    return [profile.term(t) for t in (profile.cell_row, profile.cell_column, "value")]
+
+
+def rebuild(
+    triples: DataFrame, names: list[str] | tuple[str, ...], profile: Profile, metadata: DataFrame | None = None
+) -> DataFrame:
     """The table again: ``row_iri`` and one column per header name, values as text.
 
     Triples are brought together by cell, then by row; a cell has four or five triples and a row as many
-    cells as the table has columns. Column names come from the graph.
+    cells as the table has columns. Column names come from the graph, or from ``metadata`` if that is apart.
     """
     row, column, value = profile.term(profile.cell_row), profile.term(profile.cell_column), profile.term("value")
     about = triples.filter(F.col("p").isin(row, column, value) & F.col("s").startswith(profile.base + "cell/"))
@@ -104,7 +111,7 @@ def rebuild(triples: DataFrame, names: list[str] | tuple[str, ...], profile: Pro
         return F.max(F.when(F.col("p") == predicate, F.col("o"))).alias(name)
 
     cells = about.groupBy("s").agg(part(row, "row_iri"), part(column, "column_iri"), part(value, "value"))
-    headers = match(triples, p=profile.term("columnName")).select(
+    headers = match(metadata if metadata is not None else triples, p=profile.term("columnName")).select(
         F.col("s").alias("column_iri"), F.col("o").alias("_name")
     )
     headers = session.settle(headers.filter(F.col("_name").isin(list(names))))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Collection
+from dataclasses import dataclass, replace
+from functools import reduce
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -27,22 +30,68 @@ LISTED_CHUNKS = 100_000
 
 @dataclass(frozen=True)
 class Conversion:
-    """The graph of one table (or of many tables with one header), as DataFrames."""
+    """The graph of one table (or of many tables with one header); nothing is read until it is used."""
 
     table: SourceTable
     profile: Profile
     linked: DataFrame
     metadata: DataFrame
-    rows: DataFrame
-    cells: DataFrame
-
-    def data(self) -> DataFrame:
-        """Row and cell triples with their ``row_index``; unique as they are."""
-        return self.rows.unionByName(self.cells)
-
-    def triples(self) -> DataFrame:
-        """The whole graph. Only metadata can repeat itself, and has been made unique."""
-        return self.metadata.unionByName(self.data().select(*TRIPLE_FIELDS))
+    declared: dict[str, str] | None = None
+
+    def row_triples(self, predicates: Collection[str] | None = None, lines: bool = False) -> DataFrame:
+        """Row triples with their ``row_index``, only those of the given predicates."""
+        return E.row_triples(self.table, self.profile, *self.table.keys, predicates=predicates, lines=lines)
+
+    def cell_triples(
+        self, predicates: Collection[str] | None = None, lines: bool = False, columns: list[int] | None = None
+    ) -> DataFrame:
+        """Cell triples with their ``row_index``, only those of the given predicates and columns."""
+        cells = C.melt(self.table, columns)
+        cells = C.type_cells(cells, self.table, self.declared) if self.profile.typed else C.plain_cells(cells)
+        return E.cell_triples(
+            cells, self.table, self.profile, *self.table.keys, predicates=predicates, lines=lines
+        )
+
+    def data(self, predicates: Collection[str] | None = None, lines: bool = False) -> DataFrame:
+        """Row and cell triples; unique as they are."""
+        return self.row_triples(predicates, lines).unionByName(self.cell_triples(predicates, lines))
+
+    def triples(self, predicates: Collection[str] | None = None) -> DataFrame:
+        """The whole graph, or its triples with some predicates; only metadata can repeat itself, and is unique."""
+        metadata = self.metadata
+        if predicates is not None:
+            metadata = metadata.filter(F.col("p").isin(list(predicates)))
+        return metadata.unionByName(self.data(predicates).select(*TRIPLE_FIELDS))
+
+    def match(self, s: str | None = None, p: str | None = None, o: str | None = None) -> DataFrame:
+        """Triples that agree with the given parts.
+
+        A predicate decides which triples are made at all, and a row's or cell's identifier which rows and
+        columns are looked at, so that little of the graph comes into being.
+        """
+        predicates = None if p is None else [p]
+        found, columns = self, None
+        place = self._place(s)
+        if place is not None:
+            row, column = place
+            found = replace(self, table=self.table.where(F.col("row_index") == row))
+            columns = None if column is None else [column] if column < len(self.table.names) else []
+        parts = [self.metadata, found.row_triples(predicates).select(*TRIPLE_FIELDS)]
+        if columns != []:
+            parts.append(found.cell_triples(predicates, columns=columns).select(*TRIPLE_FIELDS))
+        return G.match(reduce(DataFrame.unionByName, parts), s, p, o)
+
+    def _place(self, s: str | None) -> tuple[int, int | None] | None:
+        """Row and column that an identifier of this table names."""
+        if s is None or self.table.name is None:
+            return None
+        name = quote(self.table.name, safe="") if self.profile.encode else self.table.name
+        for kind, parts in (("row", 1), ("cell", 2)):
+            prefix = f"{self.profile.base}{kind}/{name}/"
+            numbers = s.removeprefix(prefix).split("/") if s.startswith(prefix) else []
+            if len(numbers) == parts and all(n.isascii() and n.isdigit() and len(n) < 19 for n in numbers):
+                return int(numbers[0]), int(numbers[1]) if parts == 2 else None
+        return None
 
 
 def convert(
@@ -54,14 +103,13 @@ def convert(
     declared: dict[str, str] | None = None,
     follow_bnodes: bool = False,
 ) -> Conversion:
-    """Plan the conversion; nothing is read yet.
+    """Plan the conversion of a table.
 
     ``annotations`` are catalogue triples; without any, columns are just not linked. ``created`` is a
     parameter so that the same input gives the same graph.
     """
     table = limit_rows(table, max_rows)
-    spark = table.frame.sparkSession
-    tables = E.tables_dim(spark, table)
+    tables = E.tables_dim(table.frame.sparkSession, table)
     columns = E.columns_dim(tables, table.names, profile)
     metadata = [E.table_triples(tables, profile, created), E.column_triples(columns, profile)]
     if annotations is None:
@@ -73,17 +121,7 @@ def convert(
             A.link_triples(linked, profile),
             A.copy_used(annotations, linked, bounded=table.name is not None, follow_bnodes=follow_bnodes),
         ]
-    cells = C.melt(table)
-    cells = C.type_cells(cells, table, declared) if profile.typed else C.plain_cells(cells)
-    keep = table.keys
-    return Conversion(
-        table=table,
-        profile=profile,
-        linked=linked,
-        metadata=G.union(*metadata),
-        rows=E.row_triples(table, profile, *keep),
-        cells=E.cell_triples(cells, table, profile, *keep),
-    )
+    return Conversion(table, profile, linked, G.union(*metadata), declared)
 
 
 def summarise(conversion: Conversion, rows_per_part: int = V.ROWS_PER_PART) -> DataFrame:
@@ -169,42 +207,48 @@ def run(
     plan has no shuffle, so writing it twice costs less than keeping it. Counts are observed while ``full``
     is written.
     """
-    conversion.metadata.persist()
-    sinks.write_lines(conversion.metadata, f"{out}/table", single_file=True)
     profile = conversion.profile
+    metadata = conversion.metadata.persist()
+    sinks.write_lines(metadata, f"{out}/table", single_file=True)
     seen = Observation("full")
-    is_type = F.col("p") == V.RDF_TYPE
-    observed = conversion.triples().observe(
-        seen,
-        F.count("*").alias("triples"),
-        F.count(F.when(is_type & (F.col("o") == profile.term("Row")), F.lit(1))).alias("rows"),
-        F.count(F.when(is_type & (F.col("o") == profile.term("Cell")), F.lit(1))).alias("cells"),
-        F.count(F.when(F.col("p") == profile.term("hasAnnotation"), F.lit(1))).alias("columns_mapped"),
+
+    def kind(lines: DataFrame, name: str) -> DataFrame:
+        return lines.select("value", F.lit(name).alias("kind"))
+
+    is_link = F.col("p") == profile.term("hasAnnotation")
+    about = metadata.select(
+        terms.triple_line().alias("value"), F.when(is_link, F.lit("link")).otherwise(F.lit("metadata")).alias("kind")
+    )
+    everything = about.unionByName(kind(conversion.row_triples(lines=True), "row")).unionByName(
+        kind(conversion.cell_triples(lines=True), "cell")
+    )
+    observed = everything.observe(
+        seen, F.count("*").alias("triples"),
+        *[F.count(F.when(F.col("kind") == name, F.lit(1))).alias(name) for name in ("row", "cell", "link")],
     )
-    sinks.write_lines(observed, f"{out}/full")
-    sinks.write_chunks(conversion.data(), f"{out}/chunks", rows_per_part, one_file_per_chunk)
+    observed.select("value").write.mode("overwrite").text(f"{out}/full")
+    sinks.write_chunks(conversion.data(lines=True), f"{out}/chunks", rows_per_part, one_file_per_chunk)
     counts = seen.get
-    conversion.metadata.unpersist()
+    rows, cells = counts["row"] // profile.triples_per_row, counts["cell"] // profile.triples_per_cell
+    metadata.unpersist()
 
     spark = conversion.table.frame.sparkSession
     summary = spark.range(1).select(
         F.lit(conversion.table.name).alias("table_name"),
         E.table_iri(profile, F.lit(conversion.table.name)).alias("table_uri"),
-        F.lit(counts["rows"]).cast("long").alias("rows_processed"),
-        F.lit(counts["cells"]).cast("long").alias("cells"),
-        F.lit(counts["columns_mapped"]).cast("long").alias("columns_mapped"),
+        F.lit(rows).cast("long").alias("rows_processed"),
+        F.lit(cells).cast("long").alias("cells"),
+        F.lit(counts["link"]).cast("long").alias("columns_mapped"),
         F.lit(counts["triples"]).cast("long").alias("triples_generated"),
-        S.parts(F.lit(counts["rows"]), rows_per_part).alias("parts"),
+        S.parts(F.lit(rows), rows_per_part).alias("parts"),
     )
     index = S.part_index(conversion.table, rows_per_part, terms.chunk_name)
     index.write.mode("overwrite").json(f"{out}/chunk_index")
     if with_pages:
-        rows = P.page_rows(conversion.table, profile)
-        sinks.write_pages(P.pages(rows, rows_per_part), f"{out}/pages")
+        sinks.write_pages(P.pages(P.page_rows(conversion.table, profile), rows_per_part), f"{out}/pages")
         document = page_manifest(summary, conversion.table.file_name or conversion.table.name, profile, rows_per_part)
         sinks.write_document(document, f"{out}/page_manifest")
     sinks.write_document(manifest(summary, created, rows_per_part), f"{out}/table_manifest")
     results = summary.select(F.struct("table_uri", "rows_processed", "triples_generated").alias("processing_results"))
     sinks.write_document(results, f"{out}/processing_results")
-    row = summary.first()
-    return row.asDict()
+    return summary.first().asDict()

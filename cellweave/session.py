@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Largest number of rows that is broadcast. Rows here are names, IRIs and offsets of a few hundred bytes.
@@ -37,3 +37,12 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     The count stops early beyond the bound. Use on a side that is cheap to compute or already settled.
     """
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def spread(df: DataFrame, *by: Column) -> DataFrame:
+    """Repartition a file scan that has fewer splits than there are cores; leave larger ones as they are.
+
+    For small tables whose rows each become many records.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *by) if df.rdd.getNumPartitions() < cores else df

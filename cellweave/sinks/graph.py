@@ -21,18 +21,17 @@ def write_lines(triples: DataFrame, path: str, single_file: bool = False) -> Non
 
 
 def write_chunks(
-    triples: DataFrame, path: str, rows_per_chunk: int = V.ROWS_PER_PART, one_file_per_chunk: bool = False
+    data: DataFrame, path: str, rows_per_chunk: int = V.ROWS_PER_PART, one_file_per_chunk: bool = False
 ) -> None:
-    """Triples with their ``row_index`` in folders ``chunk=chunk_0000`` and so on; no chunk is empty.
+    """Triples, or their lines as ``value``, in folders ``chunk=chunk_0000`` and so on by ``row_index``.
 
-    Rows of a table come in order, so a task already holds whole chunks but for its first and last; those
-    two may get a second file. ``one_file_per_chunk`` shuffles by row position to avoid that.
+    No chunk is empty. Rows of a table come in order, so a task already holds whole chunks but for its first and
+    last; those two may get a second file. ``one_file_per_chunk`` shuffles by row position to avoid that.
     """
     if one_file_per_chunk:
-        triples = triples.repartitionByRange(part_number(rows_per_chunk)).sortWithinPartitions("row_index")
-    lines = triples.select(
-        terms.triple_line().alias("value"), terms.chunk_name(part_number(rows_per_chunk)).alias("chunk")
-    )
+        data = data.repartitionByRange(part_number(rows_per_chunk)).sortWithinPartitions("row_index")
+    line = F.col("value") if "value" in data.columns else terms.triple_line().alias("value")
+    lines = data.select(line, terms.chunk_name(part_number(rows_per_chunk)).alias("chunk"))
     lines.write.mode("overwrite").partitionBy("chunk").text(path)
 
 

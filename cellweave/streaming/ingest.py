@@ -52,13 +52,11 @@ def append_batches(
         spark.createDataFrame([], _LEDGER).write.mode("ignore").json(f"{ledger}/batch=start")
         numbered = _numbered(batch, _rows_before(spark, ledger, batch_id))
         table = source_table(numbered, name, columns=columns, names=names or columns)
-        melted = C.melt(table)
-        cells = C.type_cells(melted, table) if profile.typed else C.plain_cells(melted)
-        data = E.row_triples(table, profile, ROW_INDEX).unionByName(E.cell_triples(cells, table, profile, ROW_INDEX))
-        lines = data.select(
-            terms.triple_line().alias("value"),
-            terms.chunk_name(F.floor(F.col(ROW_INDEX) / rows_per_chunk)).alias("chunk"),
-        )
+        cells = C.type_cells(C.melt(table), table) if profile.typed else C.plain_cells(C.melt(table))
+        rows = E.row_triples(table, profile, ROW_INDEX, lines=True)
+        data = rows.unionByName(E.cell_triples(cells, table, profile, ROW_INDEX, lines=True))
+        chunk = terms.chunk_name(F.floor(F.col(ROW_INDEX) / rows_per_chunk)).alias("chunk")
+        lines = data.select("value", chunk)
         lines.write.mode("overwrite").partitionBy("chunk").text(f"{out}/data/{folder}")
         count = table.frame.agg(F.lit(batch_id).cast("long").alias("batch_id"), F.count("*").alias("rows"))
         count.write.mode("overwrite").json(f"{ledger}/{folder}")

@@ -60,7 +60,7 @@ def table(spark: SparkSession, folder: str, name: str, max_rows: int | None = No
 def derive(spark: SparkSession, folder: str, text: str) -> DataFrame:
     """Run SQL text in which ``{name}`` stands for a table."""
     names = [n for n in (*KEYS, "lineitem", "region", "labels", "benchmark", "conversations") if f"{{{n}}}" in text]
-    return spark.sql(text, **{n: spark.read.parquet(f"{folder}/{n}.parquet") for n in names})
+    return spark.sql(text, **{n: session.spread(spark.read.parquet(f"{folder}/{n}.parquet")) for n in names})
 
 
 def duck(text: str) -> str:

@@ -49,7 +49,7 @@ JOIN {_LINKS} AS l USING (column_index) GROUP BY l.column_name, l.annotation_iri
 def flagship(spark, folder):
     """A table as a graph, its columns linked to a catalogue; counted per column from the triples."""
     conversion = _customer(spark, folder)
-    cells = conversion.cells.filter(F.col("s").startswith(BASE + "cell/") | (F.col("p") == ONT + "cell"))
+    cells = conversion.cell_triples()
     # All of a cell's triples end in or start with its identifier, whose last part is the column.
     cell = F.when(F.col("p") == ONT + "cell", F.col("o")).otherwise(F.col("s"))
     per_column = cells.groupBy(F.substring_index(cell, "/", -1).cast("int").alias("column_index")).agg(
@@ -68,7 +68,7 @@ def flagship(spark, folder):
 def graph_union(spark, folder):
     """The union of overlapping graphs holds each triple once."""
     conversion = _customer(spark, folder)
-    rows = conversion.rows.drop("row_index")
+    rows = conversion.row_triples().drop("row_index")
     return G.union(conversion.metadata, rows, conversion.metadata, rows)
 
 
@@ -91,17 +91,17 @@ def copied_with_anonymous_nodes(spark, folder):
 
 @query("pattern_match", f"SELECT * FROM {_GRAPH} AS g WHERE p = '{ONT}value' AND o = 'HOUSEHOLD'")
 def pattern_match(spark, folder):
-    return G.match(_customer(spark, folder).triples(), p=ONT + "value", o="HOUSEHOLD")
+    return _customer(spark, folder).match(p=ONT + "value", o="HOUSEHOLD")
 
 
 @query("class_instances", f"SELECT DISTINCT s FROM {_GRAPH} AS g WHERE p = '{V.RDF_TYPE}' AND o = '{ONT}Row'")
 def class_instances(spark, folder):
-    return G.instances(_customer(spark, folder).triples(), ONT + "Row")
+    return G.instances(_customer(spark, folder).triples([V.RDF_TYPE]), ONT + "Row")
 
 
 @query("describe_node", f"SELECT * FROM {_GRAPH} AS g WHERE s = '{BASE}row/customer/42'")
 def describe_node(spark, folder):
-    return G.describe(_customer(spark, folder).triples(), f"{BASE}row/customer/42")
+    return _customer(spark, folder).match(f"{BASE}row/customer/42")
 
 
 NODES = f"SELECT '{BASE}row/customer/' || c_custkey AS node FROM {{customer}} WHERE c_acctbal < 0"
@@ -158,7 +158,7 @@ JOIN {_ANN} AS a ON a.s = l.annotation_iri AND a.p = '{V.SEE_ALSO}'
 """)
 def navigate_references(spark, folder):
     conversion = _customer(spark, folder)
-    return G.navigate(conversion.cells, conversion.metadata, V.TYPED)
+    return G.navigate(conversion.cell_triples([ONT + "column"]), conversion.metadata, V.TYPED)
 
 
 @query("rebuild_table", f"""
@@ -167,7 +167,8 @@ FROM ({sql_rows('orders')})
 """)
 def rebuild_table(spark, folder):
     conversion = convert(table(spark, folder, "orders"), V.TYPED, created=CREATED)
-    return G.rebuild(conversion.triples(), conversion.table.names, V.TYPED)
+    cells = conversion.cell_triples(G.rebuild_predicates(V.TYPED))
+    return G.rebuild(cells, conversion.table.names, V.TYPED, conversion.metadata)
 
 
 @query("dangling_cells", f"""
@@ -182,7 +183,7 @@ def dangling_cells(spark, folder):
     conversion = _customer(spark, folder, annotated=False)
     fewer = E.row_triples(conversion.table.where(F.col("c2") != 3), V.TYPED)
     metadata = conversion.metadata.filter(F.col("s") != f"{BASE}column/customer/1")
-    return G.dangling(metadata.unionByName(fewer).unionByName(conversion.cells.drop("row_index")), V.TYPED)
+    return G.dangling(metadata.unionByName(fewer).unionByName(conversion.cell_triples().drop("row_index")), V.TYPED)
 
 
 @query("class_census", f"""
@@ -193,7 +194,7 @@ UNION ALL SELECT '{ONT}Cell', {' + '.join(f'count({c})' for c in ['l_orderkey',
 def class_census(spark, folder):
     """Instances per class in the graph of the largest table."""
     conversion = convert(table(spark, folder, "lineitem"), V.TYPED, created=CREATED)
-    return S.class_census(conversion.triples(), unique=True)
+    return S.class_census(conversion.triples([V.RDF_TYPE]), unique=True)
 
 
 @query("class_census_distinct", f"SELECT o AS class, count(DISTINCT s) AS instances FROM {_GRAPH} AS g WHERE p = '{V.RDF_TYPE}' GROUP BY o")

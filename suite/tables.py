@@ -220,8 +220,8 @@ FROM u
 """)
 def typed_literals(spark, folder):
     texts = derive(spark, folder, SPELLINGS).repartition("p_partkey")
-    typed = texts.withColumn("datatype", numbers.infer_datatype(F.col("value")))
-    return typed.withColumn("lexical", numbers.lexical_form(F.col("value"), F.col("datatype")))
+    typed = texts.withColumn("datatype", numbers.infer_datatype("value"))
+    return typed.withColumn("lexical", numbers.lexical_form("value", "datatype"))
 
 
 @query("percent_encode", """

@@ -109,7 +109,7 @@ def test_no_catalogue_is_no_error(spark, csv_file):
 
 def test_navigation(spark, csv_file):
     graph = converted(spark, csv_file(SAMPLE))
-    path = G.navigate(graph.cells, graph.metadata, V.TYPED)
+    path = G.navigate(graph.cell_triples(), graph.metadata, V.TYPED)
     zip_cells = path.filter(F.col("cell").endswith("/5"))
     assert zip_cells.count() == 3 * 5
     assert path.count() == 3 * (5 + 6 + 4 + 1 + 1 + 5 + 4 + 4)
@@ -125,6 +125,25 @@ def test_rebuild(spark, csv_file):
         assert G.dangling(graph.triples().select(*"s p o o_kind o_datatype o_lang".split()), profile).isEmpty()
 
 
+def test_match_makes_what_it_needs(spark, csv_file):
+    base = V.TYPED.base
+    graph = converted(spark, csv_file(FULL))
+    whole = graph.triples().persist()
+    value, kind = V.TYPED.term("value"), V.RDF_TYPE
+    patterns = [
+        {"s": base + "row/sample/2"}, {"s": base + "cell/sample/3/1"}, {"s": base + "cell/sample/3/99"}, {"p": value},
+        {"s": base + "row/sample/x"}, {"s": base + "column/sample/0"}, {"s": base + "cell/sample/0/0", "p": value, "o": "57"},
+        {"p": kind, "o": V.TYPED.term("Cell")}, {"s": base + "table/sample"}, {"o": "Illinois"}, {"s": base + "row/sample/02"},
+    ]
+    for pattern in patterns:
+        assert G.diff(graph.match(**pattern), G.match(whole, **pattern)).isEmpty(), pattern
+    whole.unpersist()
+    plain = converted(spark, csv_file(FULL, "a b.csv"), V.PLAIN, annotated=False)
+    for s in ("table/a%20b", "row/a%20b/1", "cell/a%20b/1/0"):
+        assert G.diff(plain.match(V.PLAIN.base + s), G.match(plain.triples(), V.PLAIN.base + s)).isEmpty()
+        assert not plain.match(V.PLAIN.base + s).isEmpty()
+
+
 def test_union_and_diff(spark, csv_file):
     graph = converted(spark, csv_file(SAMPLE))
     assert G.union(graph.metadata, graph.metadata).count() == graph.metadata.count()

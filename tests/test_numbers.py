@@ -3,8 +3,6 @@
 import random
 import struct
 
-from pyspark.sql import functions as F
-
 from cellweave.functions import numbers
 
 EDGES = [
@@ -31,8 +29,8 @@ def expected(text):
 
 def rendered(spark, texts):
     df = spark.createDataFrame(list(enumerate(texts)), "i int, v string")
-    typed = df.withColumn("t", numbers.infer_datatype(F.col("v")))
-    typed = typed.withColumn("x", numbers.lexical_form(F.col("v"), F.col("t")))
+    typed = df.withColumn("t", numbers.infer_datatype("v"))
+    typed = typed.withColumn("x", numbers.lexical_form("v", "t"))
     return {r.i: (r.t.rsplit("#", 1)[1] if r.t else None, r.x) for r in typed.collect()}
 
 

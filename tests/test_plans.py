@@ -111,7 +111,8 @@ def test_pages_gather_at_most_a_page(spark):
 def test_rebuild_gives_the_table_back(spark, folder):
     table = I.read_parquet_table(spark, folder, "t", max_rows=3000)
     graph = convert(table, V.PLAIN)
-    back = G.rebuild(graph.triples(), table.names, V.PLAIN)
+    cells = graph.cell_triples(G.rebuild_predicates(V.PLAIN))
+    back = G.rebuild(cells, table.names, V.PLAIN, graph.metadata)
     wanted = table.frame.select(
         F.concat(F.lit(V.PLAIN.base + "row/t/"), "row_index").alias("row_iri"),
         *[F.when(table.present(i), table.text(i)).alias(n) for i, n in enumerate(table.names)],
