@@ -30,7 +30,7 @@ LISTED_CHUNKS = 100_000
 
 @dataclass(frozen=True)
 class Conversion:
-    """The graph of one table (or of many tables with one header); nothing is read until it is used."""
+    """The graph of one table (or of many tables with one header), read when they are used."""
 
     table: SourceTable
     profile: Profile
@@ -105,8 +105,9 @@ def convert(
 ) -> Conversion:
     """Plan the conversion of a table.
 
-    ``annotations`` are catalogue triples; without any, columns are just not linked. ``created`` is a
-    parameter so that the same input gives the same graph.
+    ``annotations`` are catalogue triples; without any, columns are just not linked. They are searched for the
+    table's header names at once; all else is read when it is used. ``created`` is a parameter so that the same
+    input gives the same graph.
     """
     table = limit_rows(table, max_rows)
     tables = E.tables_dim(table.frame.sparkSession, table)
@@ -115,12 +116,12 @@ def convert(
     if annotations is None:
         linked = columns.withColumn("annotation_iri", F.lit(None).cast("string"))
     else:
-        lookup = A.annotation_lookup(annotations, table.names)
+        # At most one annotation per header name, so the names and identifiers found fit into the plan.
+        found = A.annotation_lookup(annotations, table.names).collect()
+        lookup = table.frame.sparkSession.createDataFrame(found, "column_name string, annotation_iri string")
         linked = A.link_columns(columns, lookup, bounded=True)
-        metadata += [
-            A.link_triples(linked, profile),
-            A.copy_used(annotations, linked, bounded=table.name is not None, follow_bnodes=follow_bnodes),
-        ]
+        used = sorted({row.annotation_iri for row in found})
+        metadata += [A.link_triples(linked, profile), A.copy_named(annotations, used, follow_bnodes)]
     return Conversion(table, profile, linked, G.union(*metadata), declared)
 
 

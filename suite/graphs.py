@@ -86,7 +86,7 @@ def copied_with_anonymous_nodes(spark, folder):
     from cellweave.operators import annotations as A
 
     catalogue = annotations(spark, folder)
-    return A.copy_used(catalogue, _customer(spark, folder).linked, bounded=True, follow_bnodes=True)
+    return A.copy_used(catalogue, _customer(spark, folder).linked, follow_bnodes=True)
 
 
 @query("pattern_match", f"SELECT * FROM {_GRAPH} AS g WHERE p = '{ONT}value' AND o = 'HOUSEHOLD'")
