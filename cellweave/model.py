@@ -19,7 +19,7 @@ TRIPLES = T.StructType([T.StructField(name, _S) for name in TRIPLE_FIELDS])
 MAPPING = T.StructType([T.StructField("property", _S), T.StructField("relation", _S)])
 REFERENCE = T.StructType([T.StructField("url", _S), T.StructField("wikidata", _S)])
 
-# One annotated column, nested. A JSON or Parquet catalogue is read with this schema.
+# One annotated column, nested. Single comments and references are lists of one, plain references have a url.
 RECORD = T.StructType([
     T.StructField("label", _S),
     T.StructField("description", _S),
@@ -30,9 +30,11 @@ RECORD = T.StructType([
     T.StructField("extras", T.MapType(_S, T.ArrayType(_S))),
 ])
 
+# A catalogue document. A column's fields are kept as text first: they may be single values or lists, and
+# there may be any others.
 CATALOGUE_DOCUMENT = T.StructType([
     T.StructField("prefixes", T.MapType(_S, _S)),
-    T.StructField("columns", T.MapType(_S, RECORD)),
+    T.StructField("columns", T.MapType(_S, T.MapType(_S, _S))),
     T.StructField("dataset_metadata", T.MapType(_S, _S)),
     T.StructField("file_metadata", T.MapType(_S, _S)),
 ])

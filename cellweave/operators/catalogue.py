@@ -328,10 +328,42 @@ def file_metadata(triples: DataFrame, subject: str = "", base: str = V.CATALOGUE
     return about.groupBy(F.try_element_at(_literal_map(keys), F.col("p")).alias("key")).agg(F.max("o").alias("value"))
 
 
+def _as_list(text: Column) -> Column:
+    """The values of a JSON list, or of a single value."""
+    items = F.coalesce(F.from_json(text, "array<string>"), F.array(text))
+    return F.when(text.isNotNull(), F.when(text.startswith("["), items).otherwise(F.array(text)))
+
+
+def normalise_record(fields: Column) -> Column:
+    """A record with the schema of ``model.RECORD`` from a map of field names to JSON texts."""
+    def field(name: str) -> Column:
+        return F.try_element_at(fields, F.lit(name))
+
+    def reference(item: Column) -> Column:
+        plain = F.struct(item.alias("url"), F.lit(None).cast("string").alias("wikidata"))
+        return F.when(item.startswith("{"), F.from_json(item, REFERENCE)).otherwise(plain)
+
+    own = F.map_filter(fields, lambda k, v: ~k.isin(*V.RECORD_FIELDS, "extras") & v.isNotNull())
+    extras = F.coalesce(
+        F.from_json(field("extras"), T.MapType(T.StringType(), T.ArrayType(T.StringType()))),
+        F.transform_values(own, lambda _, v: _as_list(v)),
+    )
+    return F.struct(
+        field("label").alias("label"),
+        field("description").alias("description"),
+        field("data_type").alias("data_type"),
+        F.from_json(field("mappings"), T.ArrayType(MAPPING)).alias("mappings"),
+        F.transform(_as_list(field("references")), reference).alias("references"),
+        _as_list(field("comments")).alias("comments"),
+        extras.alias("extras"),
+    )
+
+
 def read_document(df: DataFrame) -> DataFrame:
     """Rows ``ordinal, column_id, record, prefixes`` from nested catalogue documents.
 
     Columns keep the order of the document, which decides on suffixes of colliding names.
     """
-    opened = df.select("prefixes", F.posexplode("columns").alias("ordinal", "column_id", "record"))
-    return opened.select(F.col("ordinal").cast("long").alias("ordinal"), "column_id", "record", "prefixes")
+    opened = df.select("prefixes", F.posexplode("columns").alias("ordinal", "column_id", "_fields"))
+    record = normalise_record(F.col("_fields")).alias("record")
+    return opened.select(F.col("ordinal").cast("long").alias("ordinal"), "column_id", record, "prefixes")

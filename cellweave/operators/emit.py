@@ -40,7 +40,8 @@ def cell_iri(profile: Profile, table_name: Column, row_index: Column, column_ind
 def tables_dim(spark: SparkSession, table: SourceTable) -> DataFrame:
     """One row per table: ``table_name, file_name``."""
     if table.name is None:
-        return table.frame.select("table_name").distinct().withColumn("file_name", F.col("table_name"))
+        names = table.frame.select("table_name").distinct()
+        return names.withColumn("file_name", F.concat("table_name", F.lit(table.file_name or "")))
     one = spark.range(1)
     return one.select(F.lit(table.name).alias("table_name"), F.lit(table.file_name or table.name).alias("file_name"))
 

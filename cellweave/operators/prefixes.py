@@ -43,9 +43,14 @@ def compact(iri: Column, prefixes: dict[str, str]) -> Column:
 
 
 def expand_by_table(df: DataFrame, name: str, prefixes: DataFrame, out: str) -> DataFrame:
-    """:func:`expand` with prefixes from a DataFrame."""
+    """:func:`expand` with prefixes from a DataFrame.
+
+    Names without a prefix are joined by a text that no prefix has, each its own, so that they do not meet in
+    one task.
+    """
     table = prefixes.select(F.col("prefix").alias("_prefix"), F.col("namespace").alias("_namespace"))
-    joined = df.withColumn("_prefix", _prefix(F.col(name))).join(table, "_prefix", "left")
+    key = F.coalesce(_prefix(F.col(name)), F.concat(F.lit("\n"), F.col(name)))
+    joined = df.withColumn("_prefix", key).join(table, "_prefix", "left")
     full = F.when(
         F.col("_namespace").isNotNull(), F.concat(F.col("_namespace"), _after_colon(F.col(name)))
     ).otherwise(F.col(name))

@@ -27,9 +27,14 @@ def table_counts(table: SourceTable) -> DataFrame:
     return counts.select(table.table_key().alias("table_name"), "rows_processed", "cells")
 
 
+def _whole_parts(number: Column, size: int) -> Column:
+    """Integer division."""
+    return ((number - number % size) / size).cast("long")
+
+
 def parts(rows: Column, rows_per_part: int = V.ROWS_PER_PART) -> Column:
     """Pages or chunks that so many rows fill."""
-    return F.ceil(rows / F.lit(rows_per_part)).cast("long")
+    return _whole_parts(rows + F.lit(rows_per_part - 1), rows_per_part)
 
 
 def conversion_summary(
@@ -75,7 +80,8 @@ def estimate_vs_actual(table: SourceTable, profile: Profile) -> DataFrame:
 
 
 def part_number(rows_per_part: int = V.ROWS_PER_PART) -> Column:
-    return F.floor(F.col("row_index") / F.lit(rows_per_part)).cast("long")
+    """Page or chunk of a row."""
+    return _whole_parts(F.col("row_index"), rows_per_part)
 
 
 def part_index(

@@ -105,7 +105,7 @@ def read_csv_tables(
     scan = _scan(reader, folder, header).withColumn(TABLE_NAME, _entry_stem(F.col("_file")))
     numbered = number_by_blocks(scan, "_file", "_block", TABLE_NAME)
     columns = [f"c{i}" for i in range(len(header))]
-    return source_table(numbered, None, columns=columns, names=header)
+    return source_table(numbered, None, columns=columns, names=header, file_name=".csv")
 
 
 def _entry_stem(path: Column) -> Column:

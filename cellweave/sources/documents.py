@@ -17,7 +17,8 @@ MANIFEST = (
 def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
     """Records ``ordinal, column_id, record, prefixes`` of a nested catalogue, one document per file.
 
-    Absent fields are null. References are structs with ``url`` or ``wikidata``; comments are lists.
+    Absent fields are null. References may be plain urls or have ``url`` or ``wikidata``; comments may be single
+    or a list; all further fields are extras.
     """
     return read_document(spark.read.schema(CATALOGUE_DOCUMENT).option("multiLine", True).json(path))
 
@@ -25,3 +26,9 @@ def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
 def read_manifests(spark: SparkSession, path: str) -> DataFrame:
     """One row per converted table from all manifests below ``path`` (a glob or folder)."""
     return spark.read.schema(MANIFEST).option("recursiveFileLookup", True).json(path)
+
+
+def read_metadata(spark: SparkSession, path: str) -> DataFrame:
+    """The documents' ``dataset_metadata`` and ``file_metadata`` maps."""
+    documents = spark.read.schema(CATALOGUE_DOCUMENT).option("multiLine", True).json(path)
+    return documents.select("dataset_metadata", "file_metadata")

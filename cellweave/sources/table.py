@@ -24,7 +24,8 @@ class SourceTable:
     """``frame`` has ``row_index`` and one column ``c<i>`` per position; ``names[i]`` is the header there.
 
     Header names may repeat. ``name`` is the table's name in identifiers; with ``name=None`` the frame
-    holds many tables and carries a ``table_name`` column, rows being numbered per table.
+    holds many tables and carries a ``table_name`` column, rows being numbered per table; ``file_name`` is then the
+    ending of their files' names.
     """
 
     frame: DataFrame

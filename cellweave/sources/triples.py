@@ -17,13 +17,13 @@ def _node(token: Column) -> Column:
 def parse_lines(lines: DataFrame, line: str = "value", *keep: str) -> DataFrame:
     """Triples from lines ``<s> <p> object .``; blank lines, comments and other text are left out.
 
-    Subject and predicate are words; the object is cut at its last quote, so a literal's length does not matter.
+    The object is cut at its last quote, so a literal's length does not matter.
     """
-    head = F.regexp_extract(line, r"^\s*+(?:<[^>]*+>|_:\S++)\s++<[^>]*+>\s++", 0)
+    pattern = r"^\s*+(<[^>]*+>|_:\S++)\s++(<[^>]*+>)\s++"
+    head = F.regexp_extract(line, pattern, 0)
     rest = F.regexp_replace(F.expr(f"substring({line}, length(_head) + 1)"), r"\s*+\.\s*+$", "")
     df = lines.withColumn("_head", head).filter(F.length("_head") > 0).withColumn("_object", rest)
-    words = F.split(F.trim("_head"), r"\s+")
-    df = df.withColumn("_s", F.get(words, F.lit(0))).withColumn("_p", F.get(words, F.lit(1)))
+    df = df.withColumn("_s", F.regexp_extract("_head", pattern, 1)).withColumn("_p", F.regexp_extract("_head", pattern, 2))
     term = F.col("_object")
     is_literal = term.startswith('"')
     close = F.length(term) - F.instr(F.reverse(term), '"') + 1

@@ -17,6 +17,7 @@ from ..functions import terms
 from ..operators import cells as C
 from ..operators import emit as E
 from ..operators.index import number_by_blocks
+from ..operators.summary import part_number
 from ..sources.table import ROW_INDEX, source_table
 from ..vocab import Profile
 
@@ -55,7 +56,7 @@ def append_batches(
         cells = C.type_cells(C.melt(table), table) if profile.typed else C.plain_cells(C.melt(table))
         rows = E.row_triples(table, profile, ROW_INDEX, lines=True)
         data = rows.unionByName(E.cell_triples(cells, table, profile, ROW_INDEX, lines=True))
-        chunk = terms.chunk_name(F.floor(F.col(ROW_INDEX) / rows_per_chunk)).alias("chunk")
+        chunk = terms.chunk_name(part_number(rows_per_chunk)).alias("chunk")
         lines = data.select("value", chunk)
         lines.write.mode("overwrite").partitionBy("chunk").text(f"{out}/data/{folder}")
         count = table.frame.agg(F.lit(batch_id).cast("long").alias("batch_id"), F.count("*").alias("rows"))

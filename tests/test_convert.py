@@ -13,6 +13,7 @@ from cellweave.operators import graph as G
 from cellweave.operators import pages as P
 from cellweave.operators import summary as S
 from cellweave.plans import convert as plans
+from cellweave.sinks.graph import write_lines
 from cellweave.sources import bank_catalogue as bank
 from cellweave.sources import delimited, documents, triples
 
@@ -162,6 +163,27 @@ def test_quads(spark, csv_file):
     }
 
 
+def test_identifiers_with_spaces_are_read_again(spark, csv_file, tmp_path):
+    graph = converted(spark, csv_file("A b,C\n1,x y\n", "my table.csv"), annotated=False)
+    write_lines(graph.triples(), str(tmp_path / "full"))
+    assert G.diff(triples.read_triples(spark, str(tmp_path / "full")), graph.triples()).isEmpty()
+
+
+def test_many_tables_in_one_conversion(spark, tmp_path):
+    (tmp_path / "one two.csv").write_text("CERT,NAME\n1,a\n2,\n3,b\n")
+    (tmp_path / "three.csv").write_text("CERT,NAME\n4,c\n")
+    table = delimited.read_csv_tables(spark, str(tmp_path))
+    graph = plans.convert(table, V.PLAIN, created=CREATED)
+    assert graph.triples().count() == 2 * (3 + 4 * 2) + 3 * 4 + 4 * 7
+    titles = {r.o for r in graph.match(p=V.DCTERMS + "title").collect()}
+    assert titles == {"FDIC Table: one two.csv", "FDIC Table: three.csv"}
+    assert graph.match(V.PLAIN.base + "cell/one%20two/2/1", V.PLAIN.term("value")).first().o == "b"
+    linked = plans.convert(table, V.TYPED, bank.bank_catalogue(spark), CREATED)
+    assert {(r.table_name, r.columns_mapped) for r in S.columns_mapped(linked.linked).collect()} == {("one two", 2), ("three", 2)}
+    counts = {r.table_name: (r.rows_processed, r.cells) for r in S.table_counts(table).collect()}
+    assert counts == {"one two": (3, 5), "three": (1, 2)}
+
+
 def test_pages(spark, csv_file):
     table = delimited.read_csv_table(spark, csv_file(SAMPLE + "9,,x,,,,,\n"))
     pages = {r.page: r for r in P.pages(P.page_rows(table, V.PLAIN), 3).collect()}
