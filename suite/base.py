@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cellweave import session
 from cellweave import vocab as V
+from cellweave.functions import terms
 from cellweave.operators.index import read_parquet_table
-from cellweave.sources.table import SourceTable, source_table
+from cellweave.sources.table import SourceTable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -74,8 +77,6 @@ def scratch(spark: SparkSession) -> str:
     """A new folder below the session's checkpoint folder."""
     folder = session.shared_folder(spark).removeprefix("file:")
     if "://" in folder:
-        import uuid
-
         return f"{folder.rstrip('/')}/{uuid.uuid4().hex}"
     return tempfile.mkdtemp(dir=folder)
 
@@ -271,11 +272,5 @@ SUBJECT = f"'{B}column_' || regexp_replace(column_id, '[^a-zA-Z0-9_-]', '_', 'g'
 
 def with_subject(df: DataFrame) -> DataFrame:
     """Subjects of the derived records; their names end in a key, so no two collide."""
-    from pyspark.sql import functions as F
-
-    from cellweave.functions import terms
-
     return df.withColumn("subject", F.concat(F.lit(B), terms.safe_identifier("column_id")))
 
-
-__all__ = [name for name in dir() if not name.startswith("_")] + ["source_table"]

@@ -9,6 +9,7 @@ from cellweave.functions import terms
 from cellweave.operators import annotations as A
 from cellweave.operators import catalogue as K
 from cellweave.operators import prefixes as X
+from cellweave.operators import summary as S
 from cellweave.operators.identifiers import unique_identifiers
 
 from .base import (
@@ -207,9 +208,7 @@ def link_triples(spark, folder):
 
 @query("columns_mapped", f"SELECT table_name, count(annotation_iri) AS columns_mapped, count(*) AS columns FROM {_LINKED} GROUP BY table_name")
 def columns_mapped(spark, folder):
-    from cellweave.operators.summary import columns_mapped as count_mapped
-
-    return count_mapped(_linked(spark, folder)[0])
+    return S.columns_mapped(_linked(spark, folder)[0])
 
 
 @query("copied_annotations", f"""

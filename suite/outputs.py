@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import functions as F
 
 from cellweave import vocab as V
@@ -18,8 +16,7 @@ from cellweave.sources import delimited, documents, triples
 from cellweave.streaming import ingest
 
 from .base import (
-    COLUMNS, CREATED, annotations, derive, duck, q, query, scratch, sql_cell_triples, sql_cells, sql_row_triples, sql_rows,
-    table,
+    COLUMNS, CREATED, annotations, derive, duck, query, scratch, sql_cell_triples, sql_cells, sql_row_triples, table,
 )
 from .graphs import _GRAPH, _METADATA
 

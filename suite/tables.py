@@ -15,8 +15,7 @@ from cellweave.operators import summary as S
 from cellweave.sources.table import source_table
 
 from .base import (
-    COLUMNS, CREATED, KEYS, derive, duck, q, query, sql_cell_triples, sql_cells, sql_datatype, sql_row_triples, sql_rows,
-    sql_triple, table,
+    COLUMNS, derive, duck, q, query, sql_cell_triples, sql_cells, sql_datatype, sql_row_triples, sql_triple, table,
 )
 
 
