@@ -60,7 +60,8 @@ def number_by_blocks(df: DataFrame, file: str, block: str, table: str | None = N
     """Number rows of a file scan by (file, block, position), in each ``table`` from 0 if there are several.
 
     ``monotonically_increasing_id`` grows inside a partition but jumps between partitions; the rows before each
-    block turn it into a position. Both uses of the scan split the files in the same way.
+    block turn it into a position. Both uses of the scan split the files in the same way; a block that was not
+    counted is an error, not a lost row.
     """
     marked = df.withColumn("_id", F.monotonically_increasing_id())
     keys = [table, file, block] if table else [file, block]
@@ -69,8 +70,10 @@ def number_by_blocks(df: DataFrame, file: str, block: str, table: str | None = N
     before = grouped.orderBy(file, block).rowsBetween(Window.unboundedPreceding, -1)
     start = F.coalesce(F.sum("_rows").over(before), F.lit(0))
     shifts = session.settle(blocks.select(file, block, (start - F.col("_first")).alias("_shift")))
-    numbered = marked.join(session.broadcast_if_small(shifts), [file, block])
-    return numbered.withColumn(ROW_INDEX, F.col("_id") + F.col("_shift")).drop("_id", "_shift")
+    numbered = marked.join(session.broadcast_if_small(shifts), [file, block], "left")
+    changed = F.raise_error(F.lit("The files changed while they were read")).cast("long")
+    shift = F.coalesce(F.col("_shift"), changed)
+    return numbered.withColumn(ROW_INDEX, F.col("_id") + shift).drop("_id", "_shift")
 
 
 def with_row_index(df: DataFrame, order_by: list[str | Column], name: str = ROW_INDEX) -> DataFrame:
