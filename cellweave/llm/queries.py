@@ -3,12 +3,94 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from cellweave.llm import chat, language, quality, tables, urls
 from cellweave.llm import near_duplicates as near
-from cellweave.llm import tables
 from cellweave.llm.registry import query
 
 
 @query("op3_minhash_near_dedup")
 def minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near.near_duplicates(tables.read(spark, folder, "documents"), size=2, percent=80)
+
+
+def _sql_escape(text: str) -> str:
+    text = f"replace({text}, '\\', '\\\\')"
+    for c in chat.CONTROL:
+        text = f"replace({text}, '{c}', '{c[0]}\\{c[1:]}')"
+    return text
+
+
+CHAT_SQL = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), marked AS (
+  SELECT *, {_sql_escape('text')} AS escaped, replace({_sql_escape('role')}, '|', '\\|') AS role_text,
+         lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS before
+  FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length(escaped) + CASE WHEN before IS NULL THEN length(role_text) + {len("<|role:|>" + chr(10))}
+            WHEN before <> role THEN length(role_text) + {len("<|role:|>" + chr(10) + chat.END)} ELSE {len(chat.NEXT)} END)
+            + {len(chat.END)} AS BIGINT) AS formatted_chars
+FROM marked GROUP BY conv_id
+"""
+
+
+@query("op5_chat_format", CHAT_SQL)
+def chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    probe = "</s>[INST] ok [/INST]"
+    extra = spark.sql(f"SELECT -7L AS conv_id, 0L AS turn, 'user' AS role, '{probe}' AS text UNION ALL SELECT -7L, 1L, 'assistant', '{probe}'")
+    chats = tables.read(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    read = chat.format_chats(chats).select(
+        "conv_id", F.length("formatted").cast("long").alias("formatted_chars"),
+        chat.read_turns(F.col("formatted")).alias("turns"), chat.learnt_text(F.col("formatted"), F.col("loss_spans")).alias("learnt"),
+    )
+    all_turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(F.encode(all_turns, "UTF-8"), 256).alias("turns_sha256"),
+        F.length("learnt").cast("long").alias("loss_chars"), F.sha2(F.encode("learnt", "UTF-8"), 256).alias("loss_sha256"), "formatted_chars",
+    )
+
+
+@query("op7_language_id")
+def language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(tables.read(spark, folder, "documents")).select("doc_id", "held_out", "lang_pred", "score")
+
+
+RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+
+URL_SQL = f"""
+WITH rules(rule_host, rule_path, verdict) AS (VALUES {", ".join(map(str, RULES))}),
+parts AS (
+  SELECT page_id, lower_host AS host, coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+  FROM (SELECT *, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_host FROM pages)
+)
+SELECT page_id, host, path,
+       (SELECT max_by(rule_host || rule_path, length(rule_host || rule_path)) FROM rules
+        WHERE (host = rule_host OR suffix(host, '.' || rule_host)) AND starts_with(path, rule_path)) AS rule,
+       coalesce((SELECT max_by(verdict, length(rule_host || rule_path)) FROM rules
+        WHERE (host = rule_host OR suffix(host, '.' || rule_host)) AND starts_with(path, rule_path)), 'allow') AS verdict
+FROM parts
+"""
+
+
+@query("op9_url_filter", URL_SQL)
+def url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    values = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in RULES)
+    rules = spark.sql(f"SELECT * FROM VALUES {values} AS rules(host, path, verdict)")
+    return urls.judge(tables.read(spark, folder, "pages"), rules)
+
+
+@query("op10_quality_rules")
+def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality.judge(tables.read(spark, folder, "documents"), tables.read(spark, folder, "labels"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly"
+    )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -11,6 +12,9 @@ from pyspark.sql import functions as F
 
 from cellweave import session
 
+# Where this package lies; Python workers started elsewhere need it in their path unless the package was shipped to them.
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 # A side is broadcast only after its rows were counted, and up to this many bytes.
 BROADCAST_BYTES = 32 << 20
 # Rows of a batch that are handled at a time, so that what a task derives from texts stays small.
@@ -38,8 +42,15 @@ def small_side(df: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
 
 
+def workers_find_package(spark: SparkSession) -> None:
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([p for p in paths if p] + [ROOT])
+
+
 def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.Table | pa.RecordBatch], schema: str) -> DataFrame:
     """Apply ``function`` to slices of record batches; each slice has at most SLICE_ROWS rows."""
+    workers_find_package(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
