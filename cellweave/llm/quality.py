@@ -2,11 +2,12 @@
 
 Trees split the box of all rates at random places; a text whose rates lie where few texts are ends in a small cell after a
 short path. The forest is grown from a bounded sample of documents; the threshold on its score comes from labelled rows:
-the lowest one that loses at most ``LOSS`` of those labelled good.
+the lowest one that loses at most a share of ``LOSS`` (rounded up to a row) of those labelled good.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from dataclasses import dataclass
 
@@ -182,7 +183,7 @@ def threshold(scored: DataFrame, labels: DataFrame, loss: float = LOSS) -> float
     good = labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
     step = F.ceil(F.col("anomaly") * SCORE_STEPS).cast("int")
     rows = scored.where("NOT base_failed").join(good, "doc_id").groupBy(step.alias("step")).count().collect()
-    left = loss * sum(x["count"] for x in rows)
+    left = math.ceil(loss * sum(x["count"] for x in rows))
     limit = SCORE_STEPS
     for x in sorted(rows, key=lambda x: -x["step"]):
         if (left := left - x["count"]) < 0:
