@@ -24,9 +24,9 @@ from cellweave.llm.words import U
 BANDS = 12
 ROWS = 3
 PERCENT = 80
-# Hub rounds go on while the pairs still open exceed this many times the classes that share tables.
-OPEN_PAIRS = 20
-HUB_ROUNDS = 3
+# Pairs whose sketches agree in fewer places than this share of the minhashes are not confirmed: at a similarity of 0.8 one
+# pair in some 50,000 lies below it.
+SKETCH_SHARE = 0.59
 
 
 def _functions(bands: int, rows: int) -> tuple[np.ndarray, np.ndarray]:
@@ -36,19 +36,21 @@ def _functions(bands: int, rows: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fingerprints(docs: DataFrame, size: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``doc_id, n_shingles, class, bands_a, bands_b`` of each document; class stands for the set of shingles.
+    """``doc_id, n_shingles, class, bands_a, bands_b, sketch`` of each document; class stands for the set of shingles.
+
+    The sketch has eight bits of each minhash.
 
     Null and empty texts, and texts without words, have no shingles and a null class.
     """
     a, b = _functions(bands, rows)
 
     def run(batch: pa.RecordBatch) -> pa.Table:
-        n, cls, left, right = [], [], [], []
+        n, cls, left, right, sketch = [], [], [], [], []
         for text in tables.utf8(batch["text"]):
             s = words.shingles(words.word_hashes(text, fold=True)[0], size)
             n.append(len(s))
             if not len(s):
-                cls.append(None), left.append(None), right.append(None)
+                cls.append(None), left.append(None), right.append(None), sketch.append(None)
                 continue
             with np.errstate(over="ignore"):
                 key = np.array([s.sum(), words.mix(s + U(1)).sum()], U)
@@ -63,13 +65,15 @@ def fingerprints(docs: DataFrame, size: int, bands: int = BANDS, rows: int = ROW
                     band = words.mix(band * U(31) + row)
             signed = band.view(np.int64).tolist()
             left.append(signed[:bands]), right.append(signed[bands:])
+            sketch.append((least >> U(24)).astype(np.uint8).view(np.int8))
         return pa.table({
             "doc_id": batch["doc_id"], "n_shingles": pa.array(n, pa.int64()), "class": pa.array(cls, pa.binary()),
             "bands_a": pa.array(left, pa.list_(pa.int64())), "bands_b": pa.array(right, pa.list_(pa.int64())),
+            "sketch": pa.array(sketch, pa.list_(pa.int8())),
         })
 
     picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    schema = "doc_id long, n_shingles long, class binary, bands_a array<long>, bands_b array<long>"
+    schema = "doc_id long, n_shingles long, class binary, bands_a array<long>, bands_b array<long>, sketch array<tinyint>"
     return tables.map_batches(picked, run, schema)
 
 
@@ -149,34 +153,23 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = PERCENT, band
         marks.where("class IS NOT NULL").groupBy("class").agg(
             F.min("doc_id").alias("rep"), F.any_value("n_shingles").alias("n"),
             F.any_value("bands_a").alias("bands_a"), F.any_value("bands_b").alias("bands_b"),
+            F.any_value("sketch").alias("sketch"),
         ).withColumn("node", F.xxhash64("class")),
         "classes",
     )
     shared = tables.settle(shared_tables(classes), "shared")
     texts = tables.settle(_texts(docs, classes.join(shared.select("node").distinct(), "node", "left_semi"), size), "texts")
 
-    links, done, rare = None, None, None
-    for turn in range(HUB_ROUNDS):
-        pairs = _hub_pairs(shared if turn == 0 else rare.join(named.select("node", "label"), "node"), turn, percent)
-        pairs = tables.settle(pairs if done is None else pairs.join(done, ["a", "b"], "left_anti"), "pairs")
-        new = tables.settle(confirm(pairs, texts, size, percent), "confirmed")
-        links = new if links is None else links.unionByName(new)
-        done = pairs if done is None else done.unionByName(pairs)
-        labels = components(links)
-        named = tables.settle(
-            classes.join(texts.select("node"), "node", "left_semi").join(labels, "node", "left")
-            .withColumn("label", F.coalesce("label", "node")).select("node", "n", "label", "bands_a", "bands_b"),
-            "named",
-        )
-        if rare is None:
-            rare = tables.settle(_rarest(texts, _open_nodes(shared, named), size, percent), "rare")
-        meetings = tables.settle(_meetings(rare, named), "meetings")
-        most = meetings.agg(F.sum("others")).first()[0] or 0
-        if most <= OPEN_PAIRS * texts.count():
-            break
-    if most:
-        pairs = _between(meetings, named, percent).join(done, ["a", "b"], "left_anti")
-        labels = components(links.unionByName(tables.settle(confirm(pairs, texts, size, percent), "confirmed")))
+    pairs = tables.settle(_hub_pairs(shared, percent), "pairs")
+    links = tables.settle(confirm(pairs, texts, size, percent), "confirmed")
+    named = tables.settle(
+        classes.join(texts.select("node"), "node", "left_semi").join(components(links), "node", "left")
+        .withColumn("label", F.coalesce("label", "node")).select("node", "n", "label", "sketch"),
+        "named",
+    )
+    rare = tables.settle(_rarest(texts, _open_nodes(shared, named), size, percent), "rare")
+    more = _between(rare, _meetings(rare, named, percent), named, percent).join(pairs, ["a", "b"], "left_anti")
+    labels = components(links.unionByName(tables.settle(confirm(more, texts, size, percent), "confirmed")))
 
     named = classes.select("class", "node", "rep").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = named.groupBy("label").agg(F.min("rep").alias("component"))
@@ -205,13 +198,10 @@ def _texts(docs: DataFrame, classes: DataFrame, size: int) -> DataFrame:
     return tables.map_batches(found, run, "node long, text string").groupBy("node").agg(F.any_value("text").alias("text"))
 
 
-def _hub_pairs(rows: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Each member of a table with the table's hub: first the smallest document, in later rounds any other one."""
-    order = [F.col("rep").asc_nulls_last(), F.col("node")] if turn == 0 else [F.xxhash64("node", F.lit(turn))]
-    at = Window.partitionBy("key").orderBy(*order)
+def _hub_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Each member of a table with the table's hub, the class of the smallest document."""
+    at = Window.partitionBy("key").orderBy(F.col("rep").asc_nulls_last(), F.col("node"))
     hub = rows.withColumn("h", F.first(F.struct("node", "n")).over(at))
-    if turn:
-        hub = hub.withColumn("_l", F.first("label").over(at)).where("_l <> label")
     return (
         hub.where((F.col("h.node") != F.col("node")) & _sizes_fit(F.col("h.n"), F.col("n"), percent))
         .select(F.least("h.node", "node").alias("a"), F.greatest("h.node", "node").alias("b"))
@@ -228,7 +218,7 @@ def _open_nodes(shared: DataFrame, named: DataFrame) -> DataFrame:
 
 
 def _rarest(texts: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
-    """``key, node, n, rep`` of the rarest shingles of each class, as many as a similar set must share one of.
+    """``key, node, n, at`` of the rarest shingles of each class, as many as a similar set must share one of.
 
     Sets of which a share of ``percent`` is common have one of the n - ceil(percent * n / 100) + 1 rarest elements in common.
     """
@@ -247,39 +237,50 @@ def _rarest(texts: DataFrame, nodes: DataFrame, size: int, percent: int) -> Data
     first = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     # shingles of one class meet nothing, but count for the order
     return (
-        rows.join(often, "key").withColumn("_at", F.row_number().over(order)).where((F.col("_at") <= first) & (F.col("often") > 1))
-        .select("key", "node", "n", F.col("node").alias("rep"))
+        rows.join(often, "key").withColumn("at", F.row_number().over(order)).where((F.col("at") <= first) & (F.col("often") > 1))
+        .select("key", "node", "n", "at")
     )
 
 
-def _meetings(rows: DataFrame, named: DataFrame) -> DataFrame:
+def _meetings(rows: DataFrame, named: DataFrame, percent: int) -> DataFrame:
     """``node, other, others``: a class and another component with which it shares a key, seen from the smaller component.
 
-    ``others`` is the size of that component. A key gives a row per class and component in it, not per pair of classes.
+    ``others`` is the size of that component. A key gives a row per class and component in it, not per pair of classes. Sets of
+    n and m elements that are similar have at least c * (n + m) in common; all of them come at or after the first common one,
+    so a key counts only if enough elements follow on both sides.
     """
+    c = percent / (100 + percent)
     sizes = named.groupBy("label").agg(F.count(F.lit(1)).alias("others"))
-    own = rows.join(named.select("node", "label"), "node")
-    in_key = own.groupBy("key", "label").agg(F.count(F.lit(1)).alias("_k"))
-    mixed = in_key.groupBy("key").agg(F.count(F.lit(1)).alias("_labels")).where("_labels > 1")
-    there = in_key.join(mixed, "key").select("key", F.col("label").alias("other")).join(sizes.withColumnRenamed("label", "other"), "other")
-    own = own.join(mixed, "key").join(sizes.withColumnRenamed("others", "size"), "label").select("key", "node", "label", "size")
+    reach = (1 - c) * F.col("n") - F.col("at") + 1.000001
+    own = rows.join(named.select("node", "label"), "node").select("key", "node", "label", "n", reach.alias("reach"))
+    in_key = own.groupBy("key", "label").agg(F.max("reach").alias("their_reach"), F.min("n").alias("their_least"))
+    mixed = in_key.groupBy("key").agg(F.count(F.lit(1)).alias("_labels")).where("_labels > 1").select("key")
+    there = in_key.join(mixed, "key").withColumnRenamed("label", "other").join(sizes.withColumnRenamed("label", "other"), "other")
+    own = own.join(mixed, "key").join(sizes.withColumnRenamed("others", "size"), "label")
     smaller = (F.col("size") < F.col("others")) | ((F.col("size") == F.col("others")) & (F.col("label") < F.col("other")))
-    return own.join(there, "key").where(smaller & (F.col("label") != F.col("other"))).select("node", "other", "others").distinct()
+    enough = (F.col("reach") >= c * F.col("their_least")) & (F.col("their_reach") >= c * F.col("n"))
+    return own.join(there, "key").where(smaller & enough & (F.col("label") != F.col("other"))).select("node", "other", "others").distinct()
 
 
-def _between(meetings: DataFrame, named: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a class and the members of a component it has met with which it shares a table."""
-    own = meetings.join(named, "node").select(
-        F.col("node").alias("x"), "other", F.col("n").alias("n_x"), F.col("bands_a").alias("a_x"), F.col("bands_b").alias("b_x")
-    )
-    members = named.select(F.col("label").alias("other"), F.col("node").alias("y"), F.col("n").alias("n_y"), "bands_a", "bands_b")
-
-    def meet(p: str, q: str) -> Column:
-        return F.exists(F.zip_with(p, q, lambda u, v: u == v), lambda same: same)
+def _between(rare: DataFrame, meetings: DataFrame, named: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a class and those members of a component it has met that share a key early enough with it.
 
+    Of these, sketches rule out most that are not similar.
+    """
+    c = percent / (100 + percent)
+    rows = rare.select("key", "node", "n", "at").join(named.select("node", "label", "sketch"), "node")
+    x = rows.drop("label").join(meetings.select("node", "other"), "node").select(
+        "key", "other", F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("at").alias("at_x"), F.col("sketch").alias("sketch_x")
+    )
+    y = rows.select(
+        "key", F.col("label").alias("other"), F.col("node").alias("y"), F.col("n").alias("n_y"), F.col("at").alias("at_y"),
+        F.col("sketch").alias("sketch_y"),
+    )
+    follow = F.least(F.col("n_x") - F.col("at_x"), F.col("n_y") - F.col("at_y")) + 1.000001
+    agree = F.size(F.filter(F.zip_with("sketch_x", "sketch_y", lambda u, v: u == v), lambda same: same))
     return (
-        own.join(members, "other")
-        .where(_sizes_fit(F.col("n_x"), F.col("n_y"), percent) & meet("a_x", "bands_a") & meet("b_x", "bands_b"))
+        x.join(y, ["key", "other"])
+        .where(_sizes_fit(F.col("n_x"), F.col("n_y"), percent) & (follow >= c * (F.col("n_x") + F.col("n_y"))) & (agree >= SKETCH_SHARE * F.size("sketch_x")))
         .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
         .distinct()
     )
