@@ -196,7 +196,7 @@ def _epoch(items: DataFrame, capacity: int, epoch: int) -> DataFrame:
 def evolve(items: DataFrame, capacity: int, islands: int = ISLANDS, epochs: int = EPOCHS) -> DataFrame:
     """``shard, uid, length, bin, offset, used``: the best island's solution of each shard of ``items`` (shard, uid, length)."""
     none = F.lit(None).cast("long")
-    state = items.select("shard", "uid", "length", F.explode(F.array(*map(F.lit, range(islands)))).cast("int").alias("island"))
+    state = items.select("shard", "uid", "length", F.explode(F.array(*map(F.lit, range(islands)))).alias("island"))
     state = state.select("shard", "island", "uid", "length", none.alias("own"), none.alias("migrant"))
     for epoch in range(epochs):
         elite = tables.settle(_epoch(state, capacity, epoch), "elite")

@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.llm import chat, language, quality, tables, urls
+from cellweave.llm import chat, language, lexicon, packing, quality, tables, urls
 from cellweave.llm import near_duplicates as near
 from cellweave.llm.registry import query
 
 
+@query("op2_best_fit_packing")
+def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    cut = packing.pieces(tables.read(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(cut).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 @query("op3_minhash_near_dedup")
 def minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near.near_duplicates(tables.read(spark, folder, "documents"), size=2, percent=80)
@@ -63,6 +70,11 @@ def language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(tables.read(spark, folder, "documents")).select("doc_id", "held_out", "lang_pred", "score")
 
 
+@query("op8_bpe_lexicon")
+def bpe_lexicon(spark: SparkSession, folder: str) -> DataFrame:
+    return lexicon.round_trip(tables.read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
 URL_SQL = f"""
