@@ -33,6 +33,8 @@ TRAINED_WIDTH = 18
 # Words that a task remembers before it starts anew.
 REMEMBERED = 400_000
 UNKNOWN = "und"
+# Texts in none of the languages, which no language fits, score lower.
+LEAST_SCORE = 0.3
 
 
 @dataclass
@@ -248,5 +250,15 @@ def identify(docs: DataFrame) -> DataFrame:
     Null ids are learnt from; repeated rows count as often as they come; without any known language all are ``und``.
     """
     picked = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"), "lang")
-    net = train(excerpts(picked.where(~held_out())))
-    return predict(picked.select("doc_id", "text", held_out().alias("held_out")), net)
+    return predict(picked.select("doc_id", "text", held_out().alias("held_out")), learn(docs))
+
+
+def learn(docs: DataFrame) -> Network | None:
+    return train(excerpts(docs.select("doc_id", F.col("text").cast("string").alias("text"), "lang").where(~held_out())))
+
+
+def keep_known(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
+    """Rows of ``docs``, with all their columns, whose language is found with a score of at least ``least``."""
+    rows = docs.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text"))
+    found = predict(rows, learn(docs))
+    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("row.*")

@@ -6,11 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.llm import chat, language, lexicon, packing, quality, tables, urls
+from cellweave.llm import chat, fingerprints, language, lexicon, licences, packing, quality, tables, token_counts, urls
 from cellweave.llm import near_duplicates as near
 from cellweave.llm.registry import query
 
 
+@query("op1_token_counts")
+def count_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    docs = tables.read(spark, folder, "documents")
+    return token_counts.histogram(token_counts.lengths(docs, public_tokenizers.path("byte_bpe_50k.json")))
+
+
 @query("op2_best_fit_packing")
 def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     cut = packing.pieces(tables.read(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -22,6 +28,38 @@ def minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near.near_duplicates(tables.read(spark, folder, "documents"), size=2, percent=80)
 
 
+def _sql_spelled(text: str) -> str:
+    text = f"' ' || {text} || ' '"
+    for old, new in licences.SPELLINGS:
+        text = f"replace({text}, ' {old} ', ' {new} ')"
+    return f"trim({text})"
+
+
+def _sql_lines(text: str) -> str:
+    kept = rf"list_filter(string_split({text}, chr(10)), lambda x: NOT regexp_matches(x, '{licences.COPYRIGHT}'))"
+    return f"list_filter(list_transform({kept}, lambda x: trim(regexp_replace(lower(x), '[^a-z0-9]+', ' ', 'g'))), lambda x: x <> '')"
+
+
+LICENCE_SQL = f"""
+WITH known AS (
+  SELECT {_sql_spelled(f"array_to_string({_sql_lines('text')}, ' ')")} AS known, min(licence) AS licence
+  FROM (VALUES {", ".join(map(str, licences.KNOWN))}) AS k(licence, text) GROUP BY 1 HAVING known <> ''
+), rows AS (
+  SELECT row_number() OVER () AS uid, doc_id, {_sql_lines('text')} AS lines FROM documents
+), found AS (
+  SELECT uid, count(*) AS n, string_agg(DISTINCT licence, ',' ORDER BY licence) AS notices
+  FROM (SELECT uid, unnest(list_transform(lines, lambda x: {_sql_spelled('x')})) AS line FROM rows) JOIN known ON line = known GROUP BY uid
+), whole AS (SELECT uid, doc_id, {_sql_spelled("array_to_string(lines, ' ')")} AS text FROM rows)
+SELECT doc_id, sha256(text) AS digest, licence, coalesce(n, 0) AS n_notices, coalesce(notices, '') AS notices
+FROM whole LEFT JOIN known ON text = known LEFT JOIN found USING (uid)
+"""
+
+
+@query("op4_license_scan", LICENCE_SQL)
+def license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.scan(tables.read(spark, folder, "documents"), licences.known_licences(spark))
+
+
 def _sql_escape(text: str) -> str:
     text = f"replace({text}, '\\', '\\\\')"
     for c in chat.CONTROL:
@@ -65,6 +103,11 @@ def chat_format(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op6_lz_fingerprint")
+def lz_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(tables.read(spark, folder, "documents"))
+
+
 @query("op7_language_id")
 def language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(tables.read(spark, folder, "documents")).select("doc_id", "held_out", "lang_pred", "score")
