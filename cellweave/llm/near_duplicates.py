@@ -289,14 +289,16 @@ def _between(rare: DataFrame, meetings: DataFrame, named: DataFrame, percent: in
 def keep_first(docs: DataFrame, size: int = 5, percent: int = PERCENT) -> DataFrame:
     """Rows of ``docs``, with all their columns, of one document per component: that of the smallest doc_id.
 
-    Documents without words are in no group and stay. Repeated rows (equal doc_id and text) stay once, and so do equal texts
-    without doc_id in whose component nothing has one.
+    Documents without words are in no group and stay. Repeated rows (equal doc_id and text) stay once. Rows without doc_id come
+    after all others, and those of equal texts are one document.
     """
-    found = tables.settle(near_duplicates(docs, size, percent).select("doc_id", "kept"), "found")
-    gone = tables.settle(found.where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct(), "gone")
-    often = tables.settle(found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "often")
-    rows = docs.join(tables.small_side(gone, 16), "doc_id", "left_anti").where("doc_id IS NOT NULL")
-    once = rows.join(tables.small_side(often, 16), "doc_id", "left_anti")
-    repeated = rows.join(tables.small_side(often, 16), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    nameless = docs.where("doc_id IS NULL").dropDuplicates(["text"]) if found.where("kept AND doc_id IS NULL").limit(1).count() else docs.limit(0)
-    return once.unionByName(repeated).unionByName(nameless).select(docs.columns)
+    nameless = F.lit(1 << 62) + F.pmod(F.xxhash64("text"), F.lit(1 << 61))
+    keyed = docs.withColumn("_row_key", F.coalesce(F.col("doc_id").cast("long"), nameless))
+    found = near_duplicates(keyed.select(F.col("_row_key").alias("doc_id"), "text"), size, percent)
+    found = tables.settle(found.select(F.col("doc_id").alias("_row_key"), "kept"), "found")
+    gone = tables.settle(found.where("NOT kept").select("_row_key").distinct(), "gone")
+    often = tables.settle(found.where("kept").groupBy("_row_key").count().where("count > 1").select("_row_key"), "often")
+    rows = keyed.join(tables.small_side(gone, 16), "_row_key", "left_anti")
+    once = rows.join(tables.small_side(often, 16), "_row_key", "left_anti")
+    repeated = rows.join(tables.small_side(often, 16), "_row_key", "left_semi").dropDuplicates(["_row_key", "text"])
+    return once.unionByName(repeated).select(docs.columns)
