@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from suite.base import QUERIES, SQL
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = (
@@ -28,11 +29,11 @@ def ordered(names, rows):
     return [names[i] for i in places], sorted(repr(tuple(row[i] for i in places)) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, database, name):
-    df = entry.queries()[name](spark, FOLDER)
+    df = QUERIES[name](spark, FOLDER)
     found = ordered(df.columns, [tuple(r) for r in df.collect()])
-    sql = entry.oracle_sql().get(name)
+    sql = SQL.get(name)
     assert sql is not None, "every query has its check"
     result = database.execute(sql)
     names = [d[0] for d in result.description]
@@ -40,4 +41,5 @@ def test_query(spark, database, name):
 
 
 def test_entry(spark):
+    assert entry.queries().keys() >= QUERIES.keys() and entry.oracle_sql().keys() >= SQL.keys()
     assert entry.entry(spark).count() == 5
