@@ -25,12 +25,13 @@ def converted(spark, path, profile=V.TYPED, annotated=True, **options):
     return plans.convert(delimited.read_csv_table(spark, path), profile, catalogue, CREATED, **options)
 
 
+# With C columns, R rows, N cells, L links and K copied triples: plain 3 + 4C + 3R + 4N, typed 3 + 4C + L + K + R + 5N.
 # Table, rows, columns, cells, triples of the plain profile, links, copied triples, triples of the typed profile.
 GOLDEN = [
-    (SAMPLE, 3, 8, 24, 140, 8, 90, 256),
-    (FULL, 4, 15, 60, 315, 12, 118, 497),
-    (BLANKS, 2, 3, 4, 37, 3, 39, 79),
-    (SMALL, 2, 6, 12, 81, 6, 66, 161),
+    (SAMPLE, 4, 8, 32, 175, 8, 90, 297),
+    (FULL, 5, 15, 75, 378, 12, 118, 573),
+    (BLANKS, 3, 3, 5, 44, 3, 39, 85),
+    (SMALL, 1, 6, 6, 54, 6, 66, 130),
 ]
 
 
@@ -82,9 +83,9 @@ def test_declared_types_can_keep_leading_zeros(spark, csv_file):
 
 
 def test_encoded_table_name_and_own_base(spark, csv_file):
-    profile = replace(V.PLAIN, base="http://mycompany.example/data/")
-    graph = converted(spark, csv_file("CERT,NAME\n1,Test Bank", "my table.csv"), profile, annotated=False).triples()
-    assert G.instances(graph, profile.term("Table")).first().s == "http://mycompany.example/data/table/my%20table"
+    profile = replace(V.PLAIN, base="https://tables.example/")
+    graph = converted(spark, csv_file("CERT,NAME\n8,Tern", "my table.csv"), profile, annotated=False).triples()
+    assert G.instances(graph, profile.term("Table")).first().s == "https://tables.example/table/my%20table"
 
 
 def test_annotations(spark, csv_file):
@@ -112,17 +113,17 @@ def test_navigation(spark, csv_file):
     graph = converted(spark, csv_file(SAMPLE))
     path = G.navigate(graph.cell_triples(), graph.metadata, V.TYPED)
     zip_cells = path.filter(F.col("cell").endswith("/5"))
-    assert zip_cells.count() == 3 * 5
-    assert path.count() == 3 * (5 + 6 + 4 + 1 + 1 + 5 + 4 + 4)
+    assert zip_cells.count() == 4 * 5
+    assert path.count() == 4 * (5 + 6 + 4 + 1 + 1 + 5 + 4 + 4)
 
 
 def test_rebuild(spark, csv_file):
     for profile in (V.PLAIN, V.TYPED):
         graph = converted(spark, csv_file(FULL), profile)
         back = {r.row_iri.rsplit("/", 1)[1]: r for r in G.rebuild(graph.triples(), graph.table.names, profile).collect()}
-        assert len(back) == 4
-        assert (back["0"].CERT, back["0"].NAME, back["0"].CITY) == ("57", "First National Bank", "Springfield")
-        assert (back["3"].CERT, back["3"].NAME) == ("5678", "Fourth Community Bank")
+        assert len(back) == 5
+        assert (back["0"].CERT, back["0"].NAME, back["0"].CITY) == ("301", "Heron Savings", "Brackwater")
+        assert (back["4"].CERT, back["4"].NAME) == ("7", "Avocet Union")
         assert G.dangling(graph.triples().select(*"s p o o_kind o_datatype o_lang".split()), profile).isEmpty()
 
 
@@ -133,8 +134,8 @@ def test_match_makes_what_it_needs(spark, csv_file):
     value, kind = V.TYPED.term("value"), V.RDF_TYPE
     patterns = [
         {"s": base + "row/sample/2"}, {"s": base + "cell/sample/3/1"}, {"s": base + "cell/sample/3/99"}, {"p": value},
-        {"s": base + "row/sample/x"}, {"s": base + "column/sample/0"}, {"s": base + "cell/sample/0/0", "p": value, "o": "57"},
-        {"p": kind, "o": V.TYPED.term("Cell")}, {"s": base + "table/sample"}, {"o": "Illinois"}, {"s": base + "row/sample/02"},
+        {"s": base + "row/sample/x"}, {"s": base + "column/sample/0"}, {"s": base + "cell/sample/0/2", "p": value, "o": "301"},
+        {"p": kind, "o": V.TYPED.term("Cell")}, {"s": base + "table/sample"}, {"o": "Vermont"}, {"s": base + "row/sample/02"},
     ]
     for pattern in patterns:
         assert G.diff(graph.match(**pattern), G.match(whole, **pattern)).isEmpty(), pattern
@@ -185,16 +186,16 @@ def test_many_tables_in_one_conversion(spark, tmp_path):
 
 
 def test_pages(spark, csv_file):
-    table = delimited.read_csv_table(spark, csv_file(SAMPLE + "9,,x,,,,,\n"))
+    table = delimited.read_csv_table(spark, csv_file(SAMPLE + ",,,77,,,,x\n"))
     pages = {r.page: r for r in P.pages(P.page_rows(table, V.PLAIN), 3).collect()}
-    assert [(pages[i].start_row, pages[i].end_row, len(pages[i].rows)) for i in (0, 1)] == [(0, 2, 3), (3, 3, 1)]
+    assert [(pages[i].start_row, pages[i].end_row, len(pages[i].rows)) for i in (0, 1)] == [(0, 2, 3), (3, 4, 2)]
     assert [r.row_index for r in pages[0].rows] == [0, 1, 2]
-    row = pages[1].rows[0]
-    assert row.cells == {"CERT": "9", "ADDRESS": "x"}
-    assert row.cell_uris["ADDRESS"] == V.PLAIN.base + "cell/sample/3/2"
+    row = pages[1].rows[1]
+    assert row.cells == {"CERT": "77", "ADDRESS": "x"}
+    assert row.cell_uris["ADDRESS"] == V.PLAIN.base + "cell/sample/4/7"
     assert row.cell_rdf["ADDRESS"].asDict() == {
-        "uri": V.PLAIN.base + "cell/sample/3/2", "type": "fdic:Cell", "value": "x", "inRow": V.PLAIN.base + "row/sample/3",
-        "inColumn": V.PLAIN.base + "column/sample/2", "columnName": "ADDRESS",
+        "uri": V.PLAIN.base + "cell/sample/4/7", "type": "fdic:Cell", "value": "x", "inRow": V.PLAIN.base + "row/sample/4",
+        "inColumn": V.PLAIN.base + "column/sample/7", "columnName": "ADDRESS",
     }
 
 
@@ -219,7 +220,7 @@ def test_run_writes_everything(spark, csv_file, tmp_path):
     out = str(tmp_path / "out")
     graph = converted(spark, csv_file(FULL))
     counts = plans.run(graph, out, CREATED, rows_per_part=3, with_pages=True, one_file_per_chunk=True)
-    assert (counts["rows_processed"], counts["cells"], counts["triples_generated"], counts["columns_mapped"]) == (4, 60, 497, 12)
+    assert (counts["rows_processed"], counts["cells"], counts["triples_generated"], counts["columns_mapped"]) == (5, 75, 573, 12)
 
     full = triples.read_triples(spark, f"{out}/full")
     assert G.diff(full, graph.triples()).isEmpty()
@@ -231,17 +232,17 @@ def test_run_writes_everything(spark, csv_file, tmp_path):
 
     manifest = json.loads(text_of(f"{out}/table_manifest"))
     assert manifest["table_name"] == "sample" and manifest["dataset_uri"] == manifest["table_uri"] == V.TYPED.base + "table/sample"
-    assert (manifest["row_count"], manifest["triple_count"], manifest["columns_mapped"], manifest["chunk_size"]) == (4, 497, 12, 3)
+    assert (manifest["row_count"], manifest["triple_count"], manifest["columns_mapped"], manifest["chunk_size"]) == (5, 573, 12, 3)
     assert manifest["files"]["chunks"] == ["chunk_0000", "chunk_0001"]
     results = json.loads(text_of(f"{out}/processing_results"))
     assert results["processing_results"] == {
-        "table_uri": V.TYPED.base + "table/sample", "rows_processed": 4, "triples_generated": 497,
+        "table_uri": V.TYPED.base + "table/sample", "rows_processed": 5, "triples_generated": 573,
     }
     page_manifest = json.loads(text_of(f"{out}/page_manifest"))
-    assert page_manifest["@type"] == "csvw:Table" and page_manifest["total_rows"] == 4
+    assert page_manifest["@type"] == "csvw:Table" and page_manifest["total_rows"] == 5
     assert page_manifest["pages"] == ["./page_0", "./page_1"]
     page = json.loads(text_of(f"{out}/pages/page_name=page_1"))
-    assert (page["page"], page["start_row"], page["end_row"]) == (1, 3, 3)
-    assert page["rows"][0]["cells"]["NAME"] == "Fourth Community Bank"
+    assert (page["page"], page["start_row"], page["end_row"]) == (1, 3, 4)
+    assert page["rows"][0]["cells"]["NAME"] == "Curlew Trust"
     found = documents.read_manifests(spark, f"{out}/table_manifest").first()
-    assert (found.row_count, found.chunk_count) == (4, 2)
+    assert (found.row_count, found.chunk_count) == (5, 2)
