@@ -14,42 +14,63 @@ from pyspark.sql import functions as F
 from .. import session
 from ..sources.table import ROW_INDEX, SourceTable, source_table
 
-# Neighbouring rows that stay together when a small table is spread over all cores.
+# Neighbouring rows that stay together when a caller asks for more partitions than a table has.
 SPREAD_ROWS = 1024
 
 
 def read_parquet_table(
-    spark: SparkSession, path: str, name: str, columns: list[str] | None = None, max_rows: int | None = None
+    spark: SparkSession,
+    path: str,
+    name: str,
+    columns: list[str] | None = None,
+    max_rows: int | None = None,
+    partitions: int | None = None,
 ) -> SourceTable:
     """A Parquet file or folder, rows numbered by position in the file, files in path order.
 
     The position inside a file is the reader's own, so nothing is shuffled or sorted. Only with several files
-    are their row counts needed, which are read from the footers.
+    are their row counts needed, which are read from the footers. A caller whose rows each become many records may ask for
+    ``partitions``; only then, and only if the scan has fewer, are rows shuffled, in runs.
     """
     df = spark.read.parquet(path)
     columns = columns if columns is not None else df.columns
-    files = sorted(df.inputFiles())
-    position = F.col("_metadata.row_index")
-    few_splits = df.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism
-    if len(files) > 1:
-        counts = df.select(F.col("_metadata.file_path").alias("_file")).groupBy("_file").agg(F.count("*").alias("_rows"))
+    position, file = F.col("_metadata.row_index"), F.col("_metadata.file_path")
+    if len(df.inputFiles()) > 1:
+        counts = df.select(file.alias("_file")).groupBy("_file").agg(F.count("*").alias("_rows"))
         starts = session.settle(_running_start(counts, "_file", "_rows"))
         if max_rows:
             needed = starts.filter(F.col("_start") < max_rows).agg(F.max("_file")).first()[0]
-            df = df.filter(F.col("_metadata.file_path") <= (needed or ""))
-        df = df.select("*", position.alias("_position"), F.col("_metadata.file_path").alias("_file"))
-        df = df.join(session.broadcast_if_small(starts), "_file")
-        df = df.withColumn(ROW_INDEX, F.col("_start") + F.col("_position"))
+            df = df.filter(file <= (needed or ""))
+        df = df.select("*", position.alias("_position"), F.xxhash64(file).alias("_key"))
+        df = _placed(df, starts.select(_unique_key("_file"), "_start", "_rows"))
+        df = df.withColumn(ROW_INDEX, F.col("_start") + _inside(F.col("_position")))
     else:
         df = df.select("*", position.alias(ROW_INDEX))
-    if few_splits:
-        # A small table: spread its rows, in runs, since each of them becomes many records.
-        run = F.floor(F.col(ROW_INDEX) / SPREAD_ROWS)
-        df = df.repartition(spark.sparkContext.defaultParallelism, run)
+    df = session.at_least(df, partitions, F.floor(F.col(ROW_INDEX) / SPREAD_ROWS))
     table = source_table(df, name, columns=columns, file_name=path.rstrip("/").rsplit("/", 1)[-1])
     return limit_rows(table, max_rows)
 
 
+def _unique_key(*of: str) -> Column:
+    """Hash of a file or block. Two of one hash cannot be told apart, which ``_placed`` reports."""
+    return F.xxhash64(*of).alias("_key")
+
+
+def _placed(df: DataFrame, places: DataFrame) -> DataFrame:
+    """``df`` with what ``places`` (one row per ``_key``) says; the rows of ``df`` are not shuffled."""
+    places = session.settle(places)
+    if places.groupBy("_key").count().filter("count > 1").limit(1).count():
+        raise ValueError("Two files or blocks have one hash")
+    return session.look_up(df, places, "_key")
+
+
+def _inside(position: Column) -> Column:
+    """``position`` if it lies within the rows counted for its file or block; else the files have changed."""
+    counted = position.between(0, F.col("_rows") - 1)
+    changed = F.raise_error(F.lit("The files changed while they were read")).cast("long")
+    return F.when(F.coalesce(counted, F.lit(False)), position).otherwise(changed)
+
+
 def _running_start(counts: DataFrame, order: str | list[str], rows: str) -> DataFrame:
     """Start offset of each file or block: one row per file or block goes through this window, not rows of data."""
     before = Window.orderBy(*([order] if isinstance(order, str) else order)).rowsBetween(Window.unboundedPreceding, -1)
@@ -60,8 +81,8 @@ def number_by_blocks(df: DataFrame, file: str, block: str, table: str | None = N
     """Number rows of a file scan by (file, block, position), in each ``table`` from 0 if there are several.
 
     ``monotonically_increasing_id`` grows inside a partition but jumps between partitions; the rows before each
-    block turn it into a position. Both uses of the scan split the files in the same way; a block that was not
-    counted is an error, not a lost row.
+    block turn it into a position. Both uses of the scan split the files in the same way; a row outside the rows counted for
+    its block is an error, not a lost or misplaced row.
     """
     marked = df.withColumn("_id", F.monotonically_increasing_id())
     keys = [table, file, block] if table else [file, block]
@@ -69,11 +90,10 @@ def number_by_blocks(df: DataFrame, file: str, block: str, table: str | None = N
     grouped = Window.partitionBy(table) if table else Window.partitionBy()
     before = grouped.orderBy(file, block).rowsBetween(Window.unboundedPreceding, -1)
     start = F.coalesce(F.sum("_rows").over(before), F.lit(0))
-    shifts = session.settle(blocks.select(file, block, (start - F.col("_first")).alias("_shift")))
-    numbered = marked.join(session.broadcast_if_small(shifts), [file, block], "left")
-    changed = F.raise_error(F.lit("The files changed while they were read")).cast("long")
-    shift = F.coalesce(F.col("_shift"), changed)
-    return numbered.withColumn(ROW_INDEX, F.col("_id") + shift).drop("_id", "_shift")
+    places = blocks.select(_unique_key(file, block), start.alias("_start"), "_first", "_rows")
+    numbered = _placed(marked.withColumn("_key", F.xxhash64(file, block)), places)
+    inside = _inside(F.col("_id") - F.col("_first"))
+    return numbered.withColumn(ROW_INDEX, F.col("_start") + inside).drop("_id", "_key", "_start", "_first", "_rows")
 
 
 def with_row_index(df: DataFrame, order_by: list[str | Column], name: str = ROW_INDEX) -> DataFrame:

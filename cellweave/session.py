@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import tempfile
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Largest number of rows that is broadcast. Rows here are names, IRIs and offsets of a few hundred bytes.
-BROADCAST_ROWS = 200_000
+# Largest size of a broadcast table, as Spark keeps rows of a few fixed-width columns.
+BROADCAST_BYTES = 64 << 20
+ROW_BYTES = 64
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -31,18 +33,34 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+def broadcast_if_small(df: DataFrame, row_bytes: int = ROW_BYTES) -> DataFrame:
     """Broadcast ``df`` if a count proves it small; otherwise leave the join strategy to Spark.
 
-    The count stops early beyond the bound. Use on a side that is cheap to compute or already settled.
+    ``row_bytes`` is what a row takes at most. The count stops early beyond the bound. Use on a side that is cheap to compute or
+    already settled.
     """
+    rows = BROADCAST_BYTES // row_bytes
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-def spread(df: DataFrame, *by: Column) -> DataFrame:
-    """Repartition a file scan that has fewer splits than there are cores; leave larger ones as they are.
+def look_up(df: DataFrame, side: DataFrame, key: str) -> DataFrame:
+    """Left join of ``df`` with a settled ``side`` of fixed-width rows by a whole-number ``key``; rows of ``df`` never move.
 
-    For small tables whose rows each become many records.
+    A side beyond the broadcast bound is cut by its keys into pieces within the bound, each joined with its part of ``df``:
+    reading ``df`` once more for each piece costs less than shuffling it.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *by) if df.rdd.getNumPartitions() < cores else df
+    pieces = max(1, -(-side.count() * ROW_BYTES // BROADCAST_BYTES))
+    parts = [
+        df.filter(F.pmod(F.xxhash64(key), F.lit(pieces)) == i).join(
+            F.broadcast(side.filter(F.pmod(F.xxhash64(key), F.lit(pieces)) == i)), key, "left"
+        )
+        for i in range(pieces)
+    ] if pieces > 1 else [df.join(F.broadcast(side), key, "left")]
+    return reduce(DataFrame.unionAll, parts)
+
+
+def at_least(df: DataFrame, partitions: int | None, *by: Column) -> DataFrame:
+    """``df`` shuffled into ``partitions`` if its scan has fewer; without such a wish it stays as it is."""
+    if partitions is None or df.rdd.getNumPartitions() >= partitions:
+        return df
+    return df.repartition(partitions, *by)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -60,10 +59,12 @@ def table(spark: SparkSession, folder: str, name: str, max_rows: int | None = No
     return read_parquet_table(spark, f"{folder}/{name}.parquet", name, max_rows=max_rows)
 
 
-def derive(spark: SparkSession, folder: str, text: str) -> DataFrame:
-    """Run SQL text in which ``{name}`` stands for a table."""
+def derive(spark: SparkSession, folder: str, text: str, wide: bool = True) -> DataFrame:
+    """Run SQL text in which ``{name}`` stands for a table; rows become many, so small scans are dealt to all cores."""
     names = [n for n in (*KEYS, "lineitem", "region", "labels", "benchmark", "conversations") if f"{{{n}}}" in text]
-    return spark.sql(text, **{n: session.spread(spark.read.parquet(f"{folder}/{n}.parquet")) for n in names})
+    cores = spark.sparkContext.defaultParallelism
+    tables = {n: session.at_least(spark.read.parquet(f"{folder}/{n}.parquet"), cores if wide else None) for n in names}
+    return spark.sql(text, **tables)
 
 
 def duck(text: str) -> str:
@@ -74,11 +75,8 @@ def duck(text: str) -> str:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder below the session's checkpoint folder."""
-    folder = session.shared_folder(spark).removeprefix("file:")
-    if "://" in folder:
-        return f"{folder.rstrip('/')}/{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(dir=folder)
+    """A new folder below the session's checkpoint folder, which driver and executors share."""
+    return f"{session.shared_folder(spark).rstrip('/')}/{uuid.uuid4().hex}"
 
 
 # --- SQL building blocks for the checks -------------------------------------------------------------------------

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from cellweave import session
 from cellweave import vocab as V
 from cellweave.operators import cells as C
 from cellweave.operators import emit as E
@@ -38,6 +39,22 @@ def test_positions_in_many_files(spark, folder):
     assert first.frame.count() == 7_000 and first.frame.agg(F.max("c0")).first()[0] == 6_999
 
 
+def test_positions_by_pieces_of_many_offsets(spark, folder, monkeypatch):
+    # Two offsets fill a broadcast here, so the eight files are placed in four pieces.
+    monkeypatch.setattr(session, "BROADCAST_BYTES", 2 * session.ROW_BYTES)
+    frame = I.read_parquet_table(spark, folder, "t").frame
+    text = plan(frame)
+    assert text.count("BroadcastHashJoin") == 4 and "SortMergeJoin" not in text
+    assert frame.filter("row_index != c0").isEmpty() and frame.count() == 40_000
+
+
+def test_a_small_table_is_not_shuffled(spark, tmp_path):
+    spark.range(0, 3000, 1, 1).write.parquet(str(tmp_path / "one"))
+    assert "Exchange" not in plan(I.read_parquet_table(spark, str(tmp_path / "one"), "one").frame)
+    wide = I.read_parquet_table(spark, str(tmp_path / "one"), "one", partitions=6).frame
+    assert "Exchange" in plan(wide) and wide.filter("row_index != c0").isEmpty()
+
+
 def test_melt_and_emit_do_not_shuffle(spark, folder):
     table = I.read_parquet_table(spark, folder, "t")
     for profile, cells in ((V.TYPED, C.type_cells(C.melt(table), table)), (V.PLAIN, C.plain_cells(C.melt(table)))):
