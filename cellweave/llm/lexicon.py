@@ -14,7 +14,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 from pyspark import SparkFiles
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cellweave.llm import encode, tables
@@ -129,7 +129,11 @@ class Lexicon:
 
 
 def frequent_words(docs: DataFrame, entries: int = ENTRIES) -> list[str]:
-    """The most frequent chunks of all texts, ties by text. Tasks count what they read before anything is shuffled."""
+    """The most frequent chunks of all texts, at most ``entries``; equal counts stay or go together.
+
+    Tasks count what they read before anything is shuffled. The least count comes from a histogram of counts, so that only
+    the chunks found go to the driver, not the best of each partition.
+    """
     encoder_chunks = encode.KeptSpaces.chunks
 
     def run(batches):
@@ -143,8 +147,14 @@ def frequent_words(docs: DataFrame, entries: int = ENTRIES) -> list[str]:
 
     tables.workers_find_package(docs.sparkSession)
     counted = docs.mapInArrow(run, "chunk string, n long").groupBy("chunk").agg(F.sum("n").alias("n"))
-    counted = counted.where((F.col("n") >= LEAST_COUNT) & (F.length("chunk") <= LONGEST))
-    return [x[0] for x in counted.orderBy(F.desc("n"), "chunk").limit(entries).collect()]
+    counted = tables.settle(counted.where((F.col("n") >= LEAST_COUNT) & (F.length("chunk") <= LONGEST)), "chunks")
+    # One row per distinct count goes through this window.
+    running = F.sum("words").over(Window.orderBy(F.desc("n")))
+    sizes = counted.groupBy("n").agg(F.count("*").alias("words")).withColumn("running", running)
+    least = sizes.where(F.col("running") <= entries).agg(F.min("n")).first()[0]
+    if least is None:
+        return []
+    return [x[0] for x in counted.where(F.col("n") >= least).orderBy(F.desc("n"), "chunk").collect()]
 
 
 def build(spark: SparkSession, docs: DataFrame, tokenizer: str, entries: int = ENTRIES) -> str:

@@ -58,6 +58,13 @@ def test_lexicon_shares_endings_and_keeps_every_word(tmp_path):
     assert sorted(book.entries(sorted(words)).tolist()) == list(range(len(words)))
 
 
+def test_equal_counts_stay_or_go_together(docs):
+    df = docs([(i, " a a b c", "en") for i in range(4)])
+    assert lexicon.frequent_words(df, 3) == [" a", " b", " c"]
+    assert lexicon.frequent_words(df, 2) == [" a"] and lexicon.frequent_words(df, 0) == []
+    assert lexicon.frequent_words(docs([]), 3) == []
+
+
 def test_histogram_answers_every_limit(docs):
     df, texts = table(docs)
     n = sorted(len(encode.tokenizer(BYTE).encode(x, add_special_tokens=False).ids) for x in texts)
