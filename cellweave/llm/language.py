@@ -31,7 +31,7 @@ LANES = 1024
 # Longer words are not trained on.
 TRAINED_WIDTH = 18
 # Words that a task remembers before it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 100_000
 UNKNOWN = "und"
 # Texts in none of the languages, which no language fits, score lower.
 LEAST_SCORE = 0.3
