@@ -236,7 +236,7 @@ def predict(docs: DataFrame, net: Network | None) -> DataFrame:
         return batch.append_column("lang_pred", pa.array(best, pa.string())).append_column("score", pa.array(np.round(found, 5)))
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return tables.map_batches(docs, run, f"{fields}, lang_pred string, score double")
+    return tables.map_batches(docs, run, f"{fields}, lang_pred string, score double", readers)
 
 
 def held_out(doc_id: str = "doc_id"):

@@ -227,4 +227,4 @@ def round_trip(docs: DataFrame, tokenizer: str) -> DataFrame:
             "decoded_sha256": [hashlib.sha256(x.encode()).hexdigest() for x in decoded],
         })
 
-    return tables.map_batches(picked, run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return tables.map_batches(picked, run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", codecs)

@@ -53,7 +53,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
         return pa.table([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names=names)
 
     picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return tables.map_batches(picked, run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return tables.map_batches(picked, run, "doc_id long, piece int, start long, length long, ids_crc32 long", encoders)
 
 
 class Bins:
@@ -186,6 +186,7 @@ def _epoch(items: DataFrame, capacity: int, epoch: int) -> DataFrame:
         out["offset"] = ends - np.maximum.accumulate(np.where(first, ends, 0))
         used = out.groupby("bin")["length"].transform("sum")
         out["used"], out["bins"], out["spread"] = used, count, spread
+        tables.give_back()
         return out
 
     schema = "shard long, island int, uid long, length long, bin long, offset long, used long, bins long, spread double"

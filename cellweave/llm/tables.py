@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import uuid
 from collections.abc import Callable, Iterator
@@ -48,15 +50,34 @@ def workers_find_package(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([p for p in paths if p] + [ROOT])
 
 
-def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.Table | pa.RecordBatch], schema: str) -> DataFrame:
-    """Apply ``function`` to slices of record batches; each slice has at most SLICE_ROWS rows."""
+def give_back() -> None:
+    """Return freed memory to the machine at the end of a task: Python workers live on and would keep it for themselves."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only where the C library has it
+    if trim:
+        trim(0)
+
+
+def map_batches(
+    df: DataFrame, function: Callable[[pa.RecordBatch], pa.Table | pa.RecordBatch], schema: str, remembered: list | None = None
+) -> DataFrame:
+    """Apply ``function`` to slices of record batches; each slice has at most SLICE_ROWS rows.
+
+    ``remembered`` is a list in which ``function`` keeps what one task remembers; it is cleared at the task's end.
+    """
     workers_find_package(df.sparkSession)
+    kept = [] if remembered is None else remembered
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, SLICE_ROWS):
-                out = function(batch.slice(start, SLICE_ROWS))
-                yield from out.to_batches() if isinstance(out, pa.Table) else [out]
+        try:
+            for batch in batches:
+                for start in range(0, batch.num_rows, SLICE_ROWS):
+                    out = function(batch.slice(start, SLICE_ROWS))
+                    yield from out.to_batches() if isinstance(out, pa.Table) else [out]
+        finally:
+            kept.clear()
+            give_back()
 
     return df.mapInArrow(run, schema)
 

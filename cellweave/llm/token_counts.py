@@ -25,7 +25,7 @@ def lengths(docs: DataFrame, tokenizer: str) -> DataFrame:
             memory.append(encode.Remembering(encode.KeptSpaces(tokenizer), value=lambda ids: len(ids) // 4))
         return pa.table({"length": pa.array([sum(x) for x in memory[0].encode(tables.texts(batch["text"]))], pa.int64())})
 
-    return tables.map_batches(docs.select(F.col("text").cast("string").alias("text")), run, "length long")
+    return tables.map_batches(docs.select(F.col("text").cast("string").alias("text")), run, "length long", memory)
 
 
 def histogram(counted: DataFrame) -> DataFrame:
