@@ -5,7 +5,7 @@ from dataclasses import replace
 from pathlib import Path
 
 import pytest
-from conftest import BLANKS, FULL, SAMPLE, SMALL
+from sample_tables import BLANKS, FULL, SAMPLE, SMALL
 from pyspark.sql import functions as F
 
 from cellweave import vocab as V

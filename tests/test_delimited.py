@@ -1,7 +1,7 @@
 import csv
 import io
 
-from conftest import BLANKS, SAMPLE
+from sample_tables import BLANKS, SAMPLE
 
 from cellweave.operators import cells as C
 from cellweave.operators.index import limit_report
