@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.llm import chat, fingerprints, infill, language, lexicon, licences, packing, quality, tables, token_counts, urls
+from cellweave.llm import chat, fingerprints, infill, language, lexicon, licences, packing, quality, ranked_search, tables, token_counts, urls
 from cellweave.llm import near_duplicates as near
 from cellweave.llm.registry import query
 
@@ -174,3 +174,29 @@ FROM cut
 @query("op11_fill_in_middle", INFILL_SQL)
 def fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     return infill.digests(infill.reorder(tables.read(spark, folder, "documents")))
+
+
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+RANKED_SQL = f"""
+WITH items AS (SELECT row_number() OVER () AS item, item_id, unnest(list_distinct({_TERMS})) AS term FROM benchmark),
+docs AS (SELECT row_number() OVER () AS doc, doc_id, {_TERMS} AS terms FROM documents),
+totals AS (SELECT count(*) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS total FROM docs WHERE len(terms) > 0),
+lengths AS (SELECT doc, doc_id, 100 - 90 + (90 * CAST(len(terms) AS BIGINT) * n_docs) // total AS m FROM docs, totals WHERE len(terms) > 0),
+counts AS (
+  SELECT doc, term, count(*) AS tf FROM (SELECT doc, unnest(terms) AS term FROM docs) WHERE term IN (SELECT term FROM items) GROUP BY doc, term
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM counts, totals GROUP BY term
+), scores AS (
+  SELECT item, any_value(item_id) AS item_id, doc, any_value(doc_id) AS doc_id,
+         CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM items JOIN counts USING (term) JOIN weights USING (term) JOIN lengths USING (doc) GROUP BY item, doc
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank FROM scores WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+@query("op13_ranked_search", RANKED_SQL)
+def lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search.search(tables.read(spark, folder, "documents"), tables.read(spark, folder, "benchmark"))
