@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.llm import chat, fingerprints, infill, language, lexicon, licences, packing, quality, ranked_search, tables, token_counts, urls
+from cellweave.llm import chat, fingerprints, infill, language, lexicon, licences, nearest, packing, quality, ranked_search, tables, token_counts, urls
 from cellweave.llm import near_duplicates as near
 from cellweave.llm.registry import query
 
@@ -176,6 +176,11 @@ def fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     return infill.digests(infill.reorder(tables.read(spark, folder, "documents")))
 
 
+@query("op12_nearest_neighbours")
+def nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest.search(tables.read(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 _TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
 RANKED_SQL = f"""
 WITH items AS (SELECT row_number() OVER () AS item, item_id, unnest(list_distinct({_TERMS})) AS term FROM benchmark),
