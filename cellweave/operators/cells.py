@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import session
 from ..functions import numbers, terms
-from ..sources.table import SourceTable
+from ..sources.table import TABLE_NAME, SourceTable
+
+# What a column of a header dictionary takes at most, names of tables and columns included.
+HEADER_BYTES = 512
 
 
 def melt(table: SourceTable, columns: list[int] | None = None, keep_blank: bool = False) -> DataFrame:
@@ -19,11 +23,17 @@ def melt(table: SourceTable, columns: list[int] | None = None, keep_blank: bool
     wide = table.frame.select(*table.keys, *[table.text(i).alias(str(i)) for i in chosen])
     cells = wide.unpivot(table.keys, [str(i) for i in chosen], "_position", "value")
     position = F.col("_position").cast("int")
-    header = F.array(*[F.lit(n) for n in table.names])
-    cells = cells.select(
-        *table.keys, position.alias("column_index"), F.get(header, position).alias("column_name"), "value"
-    )
-    return cells if keep_blank else drop_blank(cells, table)
+    if table.headers is None:
+        header = F.array(*[F.lit(n) for n in table.names])
+        cells = cells.select(
+            *table.keys, position.alias("column_index"), F.get(header, position).alias("column_name"), "value"
+        )
+        return cells if keep_blank else drop_blank(cells, table)
+    cells = cells.select(*table.keys, position.alias("column_index"), "value")
+    cells = cells if keep_blank else drop_blank(cells, table)
+    # positions that a table's own header lacks hold nothing of it
+    named = cells.join(session.broadcast_if_small(table.headers, HEADER_BYTES), [TABLE_NAME, "column_index"])
+    return named.select(*table.keys, "column_index", "column_name", "value")
 
 
 def drop_blank(cells: DataFrame, table: SourceTable | None = None) -> DataFrame:
@@ -62,8 +72,11 @@ def type_cells(cells: DataFrame, table: SourceTable, declared: dict[str, str] |
     """
     datatype = _known_type(table)
     if declared:
-        as_text = [i for i, n in enumerate(table.names) if declared.get(n) == "string"]
-        if as_text:
+        named = [n for n, code in declared.items() if code == "string"]
+        as_text = [i for i, n in enumerate(table.names) if n in named]
+        if table.headers is not None and named:
+            datatype = F.when(~F.col("column_name").isin(named), datatype)
+        elif as_text:
             datatype = F.when(~F.col("column_index").isin(as_text), datatype)
     typed = cells.withColumn("datatype", datatype)
     return typed.withColumn("lexical", numbers.lexical_form("value", "datatype"))

@@ -40,7 +40,7 @@ def cell_iri(profile: Profile, table_name: Column, row_index: Column, column_ind
 def tables_dim(spark: SparkSession, table: SourceTable) -> DataFrame:
     """One row per table: ``table_name, file_name``."""
     if table.name is None:
-        names = table.frame.select("table_name").distinct()
+        names = (table.frame if table.headers is None else table.headers).select("table_name").distinct()
         return names.withColumn("file_name", F.concat("table_name", F.lit(table.file_name or "")))
     one = spark.range(1)
     return one.select(F.lit(table.name).alias("table_name"), F.lit(table.file_name or table.name).alias("file_name"))
@@ -53,6 +53,14 @@ def columns_dim(tables: DataFrame, names: tuple[str, ...] | list[str], profile:
     return columns.withColumn("column_iri", column_iri(profile, F.col("table_name"), F.col("column_index")))
 
 
+def table_columns(tables: DataFrame, table: SourceTable, profile: Profile) -> DataFrame:
+    """:func:`columns_dim` of a table, or of many tables by their own headers."""
+    if table.headers is None:
+        return columns_dim(tables, table.names, profile)
+    iri = column_iri(profile, F.col("table_name"), F.col("column_index"))
+    return table.headers.select("table_name", "column_index", "column_name", iri.alias("column_iri"))
+
+
 def table_triples(tables: DataFrame, profile: Profile, created: Column | str) -> DataFrame:
     """Type, title and creation time of each table. ``created`` is text or a timestamp column."""
     created = terms.timestamp_text(created) if isinstance(created, Column) else F.lit(created)

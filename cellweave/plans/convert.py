@@ -10,6 +10,7 @@ from urllib.parse import quote
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from .. import session
 from .. import vocab as V
 from ..functions import terms
 from ..model import TRIPLE_FIELDS
@@ -111,10 +112,16 @@ def convert(
     """
     table = limit_rows(table, max_rows)
     tables = E.tables_dim(table.frame.sparkSession, table)
-    columns = E.columns_dim(tables, table.names, profile)
+    columns = E.table_columns(tables, table, profile)
     metadata = [E.table_triples(tables, profile, created), E.column_triples(columns, profile)]
     if annotations is None:
         linked = columns.withColumn("annotation_iri", F.lit(None).cast("string"))
+    elif table.headers is not None:
+        # As many names as all headers have: looked up and copied by joins.
+        names = table.headers.select("column_name").distinct()
+        wanted = annotations.filter(F.col("p") == V.CATALOGUE_BASE + "columnName").join(names, F.col("o") == F.col("column_name"), "left_semi")
+        linked = A.link_columns(columns, session.settle(A.annotation_lookup(wanted)))
+        metadata += [A.link_triples(linked, profile), A.copy_used(annotations, linked, follow_bnodes)]
     else:
         # At most one annotation per header name, so the names and identifiers found fit into the plan.
         found = A.annotation_lookup(annotations, table.names).collect()

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 from functools import reduce
 
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,3 +67,21 @@ def at_least(df: DataFrame, partitions: int | None, *by: Column) -> DataFrame:
     if partitions is None or df.rdd.getNumPartitions() >= partitions:
         return df
     return df.repartition(partitions, *by)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to Python workers on other machines, once per application."""
+    context = spark.sparkContext
+    here = os.path.dirname(os.path.abspath(__file__))
+    name = f"{os.path.basename(here)}-{context.applicationId}.zip"
+    path = os.path.join(SparkFiles.getRootDirectory(), "made", name)
+    if not os.path.isdir(here) or os.path.exists(path):
+        return
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, files in os.walk(here):
+            for file in files:
+                if file.endswith(".py"):
+                    full = os.path.join(folder, file)
+                    z.write(full, os.path.relpath(full, os.path.dirname(here)))
+    context.addPyFile(path)

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .. import session
 from ..functions import terms
-from ..operators.index import limit_rows, number_by_blocks
-from .table import TABLE_NAME, SourceTable, source_table
+from ..operators.index import limit_rows
+from .records import entry_stem, read_records, stem
+from .table import ROW_INDEX, TABLE_NAME, SourceTable, source_table
 
 # Files whose name ends in .csv, in any case.
 CSV_GLOB = "*.[cC][sS][vV]"
@@ -31,87 +33,63 @@ def pick_input(paths: list[str]) -> Picked:
     return Picked(None, ("No CSV file found in input",))
 
 
-def _reader(spark: SparkSession, multi_line: bool) -> DataFrameReader:
-    return (
-        spark.read.option("quote", '"').option("escape", '"').option("encoding", "UTF-8")
-        .option("multiLine", multi_line).option("maxColumns", 200_000).option("mode", "PERMISSIVE")
-        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-    )
-
-
-def read_header(spark: SparkSession, path: str, multi_line: bool = True) -> list[str]:
-    """Header names in order, repeated names included; empty for an empty file.
-
-    Only the first record is read. Several files at one path are taken to share their header.
-    """
-    return _first_record(_reader(spark, multi_line).csv(path))
-
-
-def _first_record(df: DataFrame) -> list[str]:
-    first = df.first() if df.columns else None
-    return [] if first is None else [v if v is not None else "" for v in first]
-
-
-def _universal_newlines(value: Column, last: bool) -> Column:
-    """Line ends inside values become LF; a CR left over at the end of a record is no part of the value."""
-    value = F.regexp_replace(value, "\r$", "") if last else value
-    return F.when(value.contains("\r"), F.regexp_replace(value, "\r\n?", "\n")).otherwise(value)
-
-
-def _scan(reader: DataFrameReader, path: str, header: list[str]) -> DataFrame:
-    df = reader.option("header", True).schema(", ".join(f"c{i} string" for i in range(len(header)))).csv(path)
-    cells = [_universal_newlines(F.col(f"c{i}"), i == len(header) - 1).alias(f"c{i}") for i in range(len(header))]
-    return df.select(
-        *cells, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")
-    )
+def read_header(spark: SparkSession, path: str) -> list[str]:
+    """Header names in order, repeated names included; empty for an empty file. Of several files, those of the first in path order."""
+    found = read_records(spark, path, max_rows=1)
+    return [] if found is None else found.files.orderBy("file_no").first()["header"]
 
 
 def read_csv_table(
-    spark: SparkSession,
-    path: str,
-    name: str | None = None,
-    header: list[str] | None = None,
-    multi_line: bool = True,
-    max_rows: int | None = None,
+    spark: SparkSession, path: str, name: str | None = None, header: list[str] | None = None, max_rows: int | None = None
 ) -> SourceTable | None:
     """One table from a CSV file, or from a folder of files that continue each other in path order.
 
-    ``multi_line`` allows line ends inside quotes but reads each file in one task; turn it off for large
-    files without such values, which are then read in splits. An empty file gives None.
+    Files are read in splits, quoted line ends included. ``header`` gives other names to the positions; without it, files
+    with unlike headers are an error (see :func:`read_csv_tables`). An empty file gives None. With ``max_rows``, files that come
+    after those rows are not read.
     """
-    header = header if header is not None else read_header(spark, path, multi_line)
-    if not header:
+    found = read_records(spark, path, max_rows=max_rows)
+    if found is None:
         return None
-    numbered = number_by_blocks(_scan(_reader(spark, multi_line), path, header), "_file", "_block")
-    file = path.rstrip("/").rsplit("/", 1)[-1]
-    stem = file.rsplit(".", 1)[0] if "." in file.lstrip(".") else file
+    headers = [x[0] for x in found.files.select("header").distinct().limit(2).collect()]
+    if header is None and len(headers) > 1:
+        raise ValueError("The files' headers differ; they are tables of their own")
+    header = header if header is not None else headers[0]
+    before = found.files.select("file_no", "before")
+    rows = found.rows.join(session.broadcast_if_small(before), "file_no")
     columns = [f"c{i}" for i in range(len(header))]
-    table = source_table(numbered, name or stem, columns=columns, names=header, file_name=file)
+    frame = rows.select((F.col("record") + F.col("before")).alias(ROW_INDEX), *_cells(len(header)))
+    table = source_table(frame, name or stem(path), columns=columns, names=header, file_name=path.rstrip("/").rsplit("/", 1)[-1])
     return limit_rows(table, max_rows)
 
 
-def read_csv_tables(
-    spark: SparkSession, folder: str, header: list[str] | None = None, multi_line: bool = True
-) -> SourceTable | None:
+def _cells(width: int) -> list[Column]:
+    """Values by position; what a short record lacks is null, what a long one has more is left out."""
+    return [F.get("values", F.lit(i)).alias(f"c{i}") for i in range(width)]
+
+
+def read_csv_tables(spark: SparkSession, folder: str) -> SourceTable | None:
     """Every ``.csv`` entry of a folder as a table of its own, named by its stem, in one job.
 
-    An entry is a file or a folder of part files. The tables share a header; rows are numbered from 0 in each.
+    An entry is a file or a folder of part files, which share a header. Headers of tables may differ: the result's ``headers`` tell
+    each table's columns. Rows are numbered from 0 in each table.
     """
-    reader = _reader(spark, multi_line).option("pathGlobFilter", CSV_GLOB).option("recursiveFileLookup", True)
-    if header is None:
-        header = _first_record(reader.csv(folder))
-    if not header:
+    found = read_records(spark, folder, CSV_GLOB)
+    if found is None:
         return None
-    scan = _scan(reader, folder, header).withColumn(TABLE_NAME, _entry_stem(F.col("_file")))
-    numbered = number_by_blocks(scan, "_file", "_block", TABLE_NAME)
-    columns = [f"c{i}" for i in range(len(header))]
-    return source_table(numbered, None, columns=columns, names=header, file_name=".csv")
-
-
-def _entry_stem(path: Column) -> Column:
-    """Name of the ``.csv`` file, or of the ``.csv`` folder it is a part of. Paths are URL-encoded."""
-    stem = F.regexp_extract(path, r"/([^/]+)\.[cC][sS][vV](?:/[^/]*)?$", 1)
-    return F.url_decode(F.replace(stem, F.lit("+"), F.lit("%2B")))
+    files = found.files.withColumn(TABLE_NAME, entry_stem(F.col("file")))
+    tables = session.settle(files.groupBy(TABLE_NAME).agg(F.min("header").alias("header"), F.max("header").alias("_other")))
+    unlike = tables.filter("header <> _other").agg(F.min(TABLE_NAME)).first()[0]
+    if unlike is not None:
+        raise ValueError(f"The headers of the files of {unlike} differ")
+    width = tables.agg(F.max(F.size("header"))).first()[0]
+    earlier = Window.partitionBy(TABLE_NAME).orderBy("file_no").rowsBetween(Window.unboundedPreceding, -1)
+    starts = files.select("file_no", TABLE_NAME, F.coalesce(F.sum("records").over(earlier), F.lit(0)).alias("_start"))
+    rows = found.rows.join(session.broadcast_if_small(session.settle(starts), 512), "file_no")
+    frame = rows.select(TABLE_NAME, (F.col("record") + F.col("_start")).alias(ROW_INDEX), *_cells(width))
+    headers = session.settle(tables.select(TABLE_NAME, F.posexplode("header").alias("column_index", "column_name")))
+    columns = [f"c{i}" for i in range(width)]
+    return replace(source_table(frame, None, columns=columns, file_name=".csv"), headers=headers)
 
 
 def list_csv_files(spark: SparkSession, folder: str) -> DataFrame:

@@ -25,7 +25,8 @@ class SourceTable:
 
     Header names may repeat. ``name`` is the table's name in identifiers; with ``name=None`` the frame
     holds many tables and carries a ``table_name`` column, rows being numbered per table; ``file_name`` is then the
-    ending of their files' names.
+    ending of their files' names. Tables with headers of their own have them in ``headers`` (table_name, column_index, column_name),
+    and ``names`` only numbers the positions.
     """
 
     frame: DataFrame
@@ -33,6 +34,7 @@ class SourceTable:
     name: str | None
     file_name: str | None = None
     kinds: tuple[str, ...] = field(default=())
+    headers: DataFrame | None = None
 
     @property
     def keys(self) -> list[str]:

@@ -164,6 +164,28 @@ def csv_cells(spark, folder):
     return C.melt(source)
 
 
+@query("csv_cells_in_splits", sql_cells("documents", f"(SELECT doc_id AS row_index, * FROM ({duck(CSV_TEXT)}))"))
+def csv_cells_in_splits(spark, folder):
+    """The same in one file, read in many splits: line ends inside quotes lie on both sides of their borders."""
+    place = scratch(spark) + "/documents"
+    texts = derive(spark, folder, CSV_TEXT, wide=False).coalesce(1).sortWithinPartitions("doc_id")
+    texts.write.option("header", True).option("quote", '"').option("escape", '"').option("emptyValue", "").option(
+        "ignoreLeadingWhiteSpace", False
+    ).option("ignoreTrailingWhiteSpace", False).csv(place)
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {k: spark.conf.get(k) for k in names}
+    try:
+        for k in names:
+            spark.conf.set(k, str(1 << 16))
+        cells = C.melt(delimited.read_csv_table(spark, place, "documents"))
+        # splits are made when the plan is
+        cells.rdd.getNumPartitions()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    return cells
+
+
 @query("csv_tables", """
 SELECT event_type AS table_name, row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1 AS row_index, event_id, user_id, props
 FROM events
@@ -172,7 +194,9 @@ def csv_tables(spark, folder):
     """A folder of delimited files, each a table of its own with its own row positions."""
     place = scratch(spark)
     events = spark.read.parquet(f"{folder}/events.parquet").select("event_id", "user_id", "props", "event_type")
-    for kind in ("signup", "view", "purchase", "click", "error"):
+    # one folder per type, then a table of that name per folder
+    kinds = [x[0] for x in events.select("event_type").distinct().collect()]
+    for kind in kinds:
         one = events.filter(F.col("event_type") == kind).drop("event_type")
         one = one.repartitionByRange(2, "event_id").sortWithinPartitions("event_id")
         one.write.option("header", True).option("escape", '"').csv(f"{place}/{kind}.CSV")
@@ -183,6 +207,46 @@ def csv_tables(spark, folder):
     )
 
 
+_UNLIKE = {
+    "customer": ["c_custkey", "c_name", "c_nationkey"], "supplier": ["s_name", "s_suppkey"],
+    "part": ["p_brand", "p_partkey", "p_name", "p_type", "p_size"],
+}
+_UNLIKE_CELLS = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, row_number() OVER (ORDER BY {key}) - 1 AS row_index, {i} AS column_index, '{c}' AS column_name, "
+    f"CAST({c} AS VARCHAR) AS value FROM {t}"
+    for t, key in (("customer", "c_custkey"), ("supplier", "s_suppkey"), ("part", "p_partkey")) for i, c in enumerate(_UNLIKE[t])
+)
+
+
+def _unlike_tables(spark, folder):
+    place = scratch(spark)
+    for name, columns in _UNLIKE.items():
+        key = {"customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey"}[name]
+        rows = spark.read.parquet(f"{folder}/{name}.parquet").repartitionByRange(3, key).sortWithinPartitions(key)
+        rows.select(*columns).write.option("header", True).option("escape", '"').csv(f"{place}/{name}.csv")
+    return delimited.read_csv_tables(spark, place)
+
+
+@query("csv_unlike_headers", _UNLIKE_CELLS)
+def csv_unlike_headers(spark, folder):
+    """Tables with headers of their own in one folder: every cell under its own column's name."""
+    return C.melt(_unlike_tables(spark, folder))
+
+
+@query("csv_unlike_columns", " UNION ALL ".join(
+    f"SELECT '{BASE}column/{t}/{i}' AS s, '{ONT}columnName' AS p, '{c}' AS o" for t in _UNLIKE for i, c in enumerate(_UNLIKE[t])
+) + "".join(f" UNION ALL SELECT '{BASE}table/{t}', '{V.DCTERMS}title', '{V.TYPED.title_prefix}{t}.csv'" for t in _UNLIKE)
+ + f" UNION ALL SELECT '{BASE}cell/' || table_name || '/' || row_index || '/' || column_index, '{ONT}{V.TYPED.cell_column}', "
+   f"'{BASE}column/' || table_name || '/' || column_index FROM ({_UNLIKE_CELLS})")
+def csv_unlike_columns(spark, folder):
+    """The graph of such a folder: titles, column names, and each cell's link to a column of its own table."""
+    conversion = plans.convert(_unlike_tables(spark, folder), V.TYPED, created=CREATED)
+    cell_column = V.TYPED.term(V.TYPED.cell_column)
+    found = conversion.triples([V.TYPED.term("columnName"), V.DCTERMS + "title", cell_column])
+    # the same predicate leads from tables to columns
+    return found.filter((F.col("p") != cell_column) | F.col("s").startswith(BASE + "cell/")).select("s", "p", "o")
+
+
 @query("subject_nodes", f"SELECT s, p, o, o_datatype, o_lang FROM {_GRAPH} AS g")
 def subject_nodes(spark, folder):
     """JSON objects per subject, opened again. A low bound makes the larger subjects come in parts."""
