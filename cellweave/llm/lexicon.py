@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import os
-from itertools import chain
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +25,8 @@ ENTRIES = 60_000
 LEAST_COUNT = 3
 # Longer chunks are left to the merges.
 LONGEST = 64
+# Distinct chunks that a task counts before it hands their counts on.
+COUNTED = 400_000
 
 
 def compile_words(words: dict[bytes, bytes]) -> dict[str, np.ndarray]:
@@ -94,6 +96,7 @@ class Lexicon:
             name, kind, at, n = line.split()
             size = np.dtype(kind).itemsize * int(n)
             setattr(self, name, raw[int(at) : int(at) + size].view(kind))
+        self.held = self.ids.tobytes()
 
     def entries(self, words: list[bytes]) -> np.ndarray:
         """The entry of each word, -1 for words that are not in the lexicon. All words step at once."""
@@ -124,30 +127,37 @@ class Lexicon:
         """Ids of each word, None where it is not in the lexicon."""
         e = self.entries(words)
         low, high = self.ends[np.maximum(e, 0)].tolist(), self.ends[np.maximum(e, 0) + 1].tolist()
-        ids = self.ids.tobytes()
-        return [ids[a:b] if k >= 0 else None for k, a, b in zip(e.tolist(), low, high, strict=True)]
+        return [self.held[a:b] if k >= 0 else None for k, a, b in zip(e.tolist(), low, high, strict=True)]
 
 
 def frequent_words(docs: DataFrame, entries: int = ENTRIES) -> list[str]:
     """The most frequent chunks of all texts, at most ``entries``; equal counts stay or go together.
 
-    Tasks count what they read before anything is shuffled. The least count comes from a histogram of counts, so that only
-    the chunks found go to the driver, not the best of each partition.
+    Tasks count what they read before anything is shuffled, chunks of at most LONGEST characters only. The least count comes from a
+    histogram of counts, so that only the chunks found go to the driver, not the best of each partition.
     """
     encoder_chunks = encode.KeptSpaces.chunks
 
+    def told(counts: Counter) -> pa.RecordBatch:
+        kept = [c for c in counts if len(c) <= LONGEST]
+        return pa.RecordBatch.from_arrays([pa.array(kept, pa.string()), pa.array([counts[c] for c in kept], pa.int64())], ["chunk", "n"])
+
     def run(batches):
+        counts: Counter[str] = Counter()
         for batch in batches:
-            counts: dict[str, int] = {}
-            for i in range(0, batch.num_rows, 2048):
-                for text in tables.texts(batch["text"].slice(i, 2048)):
-                    for c in encoder_chunks(None, text):
-                        counts[c] = counts.get(c, 0) + 1
-            yield pa.RecordBatch.from_arrays([pa.array([*counts], pa.string()), pa.array([*counts.values()], pa.int64())], ["chunk", "n"])
+            for i in range(0, batch.num_rows, tables.SLICE_ROWS):
+                for text in tables.texts(batch["text"].slice(i, tables.SLICE_ROWS)):
+                    counts.update(encoder_chunks(None, text))
+                if len(counts) > COUNTED:
+                    yield told(counts)
+                    counts.clear()
+        yield told(counts)
+        counts.clear()
+        tables.give_back()
 
     tables.workers_find_package(docs.sparkSession)
     counted = docs.mapInArrow(run, "chunk string, n long").groupBy("chunk").agg(F.sum("n").alias("n"))
-    counted = tables.settle(counted.where((F.col("n") >= LEAST_COUNT) & (F.length("chunk") <= LONGEST)), "chunks")
+    counted = tables.settle(counted.where(F.col("n") >= LEAST_COUNT), "chunks")
     # One row per distinct count goes through this window.
     running = F.sum("words").over(Window.orderBy(F.desc("n")))
     sizes = counted.groupBy("n").agg(F.count("*").alias("words")).withColumn("running", running)
@@ -178,12 +188,22 @@ class Decoder:
     def __init__(self, path: str):
         t = encode.tokenizer(path)
         byte = {x: b for b, x in enumerate(encode._byte_letters())}
-        self.bytes: dict[int, bytes] = {}
-        for token, i in t.get_vocab(with_added_tokens=True).items():
-            self.bytes[i] = bytes(byte[c] for c in token) if all(c in byte for c in token) else token.encode()
-
-    def decode(self, ids: np.ndarray) -> str:
-        return b"".join(map(self.bytes.__getitem__, ids.tolist())).decode("utf-8", "replace")
+        vocab = t.get_vocab(with_added_tokens=True)
+        told = [b""] * (max(vocab.values()) + 1)
+        for token, i in vocab.items():
+            told[i] = bytes(byte[c] for c in token) if all(c in byte for c in token) else token.encode()
+        self.size = np.array([len(x) for x in told])
+        self.start, self.data = np.cumsum(self.size) - self.size, np.frombuffer(b"".join(told), np.uint8)
+
+    def bytes_of(self, parts: list[bytes]) -> list[bytes]:
+        """The bytes of each list of ids, all looked up at once; bytes of a text are those of its parts behind each other."""
+        ids = np.frombuffer(b"".join(parts), "<u4")
+        size = self.size[ids]
+        ends = np.cumsum(size)
+        take = np.repeat(self.start[ids] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
+        held = self.data[take].tobytes()
+        cuts = np.concatenate([[0], ends])[np.cumsum([0, *(len(x) // 4 for x in parts)])].tolist()
+        return [held[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
 class Codec:
@@ -191,20 +211,23 @@ class Codec:
 
     def __init__(self, lexicon: str, tokenizer: str):
         self.encoder, self.lexicon, self.decoder = encode.KeptSpaces(tokenizer), Lexicon(lexicon), Decoder(tokenizer)
-        self.memory = encode.Remembering(self)
+        self.memory = encode.Remembering(self, value=tuple)
 
     def chunks(self, text: str) -> list[str]:
         return self.encoder.chunks(text)
 
-    def ids(self, chunks: list[str]) -> list[bytes]:
+    def ids(self, chunks: list[str]) -> list[tuple[bytes, bytes]]:
+        """Ids of each chunk, and the bytes that they decode to."""
         found = self.lexicon.lookup([c.encode() for c in chunks])
         rest = [i for i, x in enumerate(found) if x is None]
         for i, ids in zip(rest, self.encoder.ids([chunks[i] for i in rest]), strict=True):
             found[i] = ids
-        return found
+        return [*zip(found, self.decoder.bytes_of(found), strict=True)]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        return [b"".join(x) for x in self.memory.encode(texts)]
+    def round_trip(self, texts: list[str]) -> list[tuple[bytes, str]]:
+        """Ids of each text, and the text that they decode to."""
+        read = ([x for x in zip(*parts)] or [(), ()] for parts in self.memory.encode(texts))
+        return [(b"".join(ids), b"".join(data).decode("utf-8", "replace")) for ids, data in read]
 
 
 def round_trip(docs: DataFrame, tokenizer: str) -> DataFrame:
@@ -219,12 +242,11 @@ def round_trip(docs: DataFrame, tokenizer: str) -> DataFrame:
     def run(batch: pa.RecordBatch) -> pa.Table:
         if not codecs:
             codecs.append(Codec(SparkFiles.get(name), tokenizer))
-        ids = codecs[0].encode(tables.texts(batch["text"]))
-        decoded = [codecs[0].decoder.decode(np.frombuffer(x, "<u4")) for x in ids]
+        found = codecs[0].round_trip(tables.texts(batch["text"]))
         return pa.table({
-            "doc_id": batch["doc_id"], "n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()),
-            "ids_sha256": [hashlib.sha256(x).hexdigest() for x in ids],
-            "decoded_sha256": [hashlib.sha256(x.encode()).hexdigest() for x in decoded],
+            "doc_id": batch["doc_id"], "n_tokens": pa.array([len(x) // 4 for x, _ in found], pa.int64()),
+            "ids_sha256": [hashlib.sha256(x).hexdigest() for x, _ in found],
+            "decoded_sha256": [hashlib.sha256(x.encode()).hexdigest() for _, x in found],
         })
 
     return tables.map_batches(picked, run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", codecs)
