@@ -18,8 +18,6 @@ from cellweave.llm import tables
 from cellweave.llm.words import CHUNK, U, _powers, mix
 
 HASHES = 64
-# Documents of a block, which one task reads in order, on average.
-BLOCK_ROWS = 1024
 
 
 def parse(text: str, known: set[str], cuts: list[int], at: int = 0) -> int:
@@ -106,66 +104,80 @@ def mark_pair(text: str, edited: str, shared: int) -> tuple[np.ndarray, np.ndarr
     return out[0], out[1]
 
 
-def _blocks(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``block``: ranges of doc_id of about BLOCK_ROWS documents; null ids come first, in a block of their own."""
-    n, low, high = docs.agg(F.count("doc_id"), F.min("doc_id"), F.max("doc_id")).first()
-    width = max(1, (high - low + 1) * BLOCK_ROWS // max(n, 1)) if n else 1
-    at = F.floor((F.col("doc_id") - F.lit(low or 0)) / F.lit(width))
-    return docs.withColumn("block", F.coalesce(at, F.lit(-1)).cast("long"))
+_RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+# null ids come first
+_ORDER = ["doc_id", "mark", "uid"]
 
 
 def fingerprint_documents(docs: DataFrame) -> DataFrame:
     """Each row of ``docs`` (doc_id, text) with its fingerprint, an edited text's, the next document's, and their likeness.
 
     Columns: ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next``. The next document
-    is that of the next doc_id, after the last the first; null ids come before all, and rows of one id are in order of their texts.
-    Null text is empty. One row is its own next. The edited text is ``edit(text, next text)``.
+    is that of the next doc_id, after the last the first; null ids come before all, and rows of one id are in order of their texts'
+    hashes. Null text is empty. One row is its own next. The edited text is ``edit(text, next text)``.
+
+    Rows are dealt into ranges of (doc_id, hash, row number), so that ids may be any numbers and one id any share of the rows. What
+    follows the last row of a range is the first of the next one: those pairs, one per range, are judged afterwards. Rows are
+    numbered by their place in the scan; ``docs`` must be read in the same order if a task runs again, as tables are.
     """
-    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    placed = _blocks(picked)
-    # the first document of each block goes to the block before it as well
-    heads = placed.groupBy("block").agg(F.min("doc_id").alias("doc_id"), F.min(F.when(F.col("doc_id").isNull(), F.col("text"))).alias("text"))
-    heads = tables.settle(heads.select("block", "doc_id", F.when(F.col("doc_id").isNull(), F.col("text")).alias("null_text")), "heads")
-    before = tables.settle(_before(heads), "before")
-    ids = before.where("doc_id IS NOT NULL").select("doc_id", "before")
-    first = picked.join(tables.small_side(ids, 24), "doc_id").groupBy("doc_id", "before").agg(F.min("text").alias("text"))
-    first = first.unionByName(before.where("doc_id IS NULL").select("doc_id", "before", F.coalesce("null_text", F.lit("")).alias("text")))
-    tails = first.select(F.col("before").alias("block"), F.lit(1).alias("tail"), "doc_id", "text")
-    rows = placed.select("block", F.lit(0).alias("tail"), "doc_id", "text").unionByName(tails)
-    ordered = rows.repartition("block").sortWithinPartitions("block", "tail", F.col("doc_id").asc_nulls_first(), "text")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    picked = docs.select(
+        F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("mark"), text.alias("text")
+    )
+    schema = f"{_RESULT}, edge int, uid long, mark long, text string"
+    columns = [x.split()[0] for x in schema.split(", ")]
+    tables.workers_find_package(docs.sparkSession)
 
     def run(batches):
+        def edge(side: int) -> pa.RecordBatch:
+            uid, doc, mark, text = held
+            row = [doc, None, None, None, None, None, None, side, uid, mark, text]
+            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, _KINDS, strict=True)], columns)
+
         held = None
         for batch in batches:
             for at in range(0, batch.num_rows, tables.SLICE_ROWS):
-                part, out = batch.slice(at, tables.SLICE_ROWS), []
-                for tail, doc, text in zip(part["tail"].to_pylist(), part["doc_id"].to_pylist(), part["text"].to_pylist(), strict=True):
-                    if held is not None:
-                        out.append([*held, text])
-                    held = None if tail else (doc, text)
+                out = []
+                for row in zip(*(batch[c].slice(at, tables.SLICE_ROWS).to_pylist() for c in ("uid", "doc_id", "mark", "text")), strict=True):
+                    if held is None:
+                        held = row
+                        yield edge(0)
+                    else:
+                        out.append((held[1], held[3], row[3]))
+                        held = row
                 if out:
-                    yield _judge(out)
+                    judged = _judge(out)
+                    yield pa.RecordBatch.from_arrays([*judged.columns, *(pa.nulls(len(out), k) for k in _KINDS[7:])], columns)
+        if held is not None:
+            yield edge(1)
+        tables.give_back()
 
-    schema = (
-        "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    )
-    tables.workers_find_package(docs.sparkSession)
-    return ordered.mapInArrow(run, schema)
-
-
-def _before(heads: DataFrame) -> DataFrame:
-    """``heads`` with the block before each; before the first comes the last. Blocks are a thousandth of the rows."""
-    group = F.floor(F.col("block") / 1024)
-    inside = heads.withColumn("_group", group).withColumn("before", F.lag("block").over(Window.partitionBy("_group").orderBy("block")))
-    ends = heads.groupBy(group.alias("_group")).agg(F.max("block").alias("_last"))
-    links = ends.withColumn("_before", F.lag("_last").over(Window.orderBy("_group")))
-    total = heads.agg(F.max("block")).first()[0]
-    return inside.join(links.select("_group", "_before"), "_group").select(
-        "block", "doc_id", "null_text", F.coalesce("before", "_before", F.lit(total)).alias("before")
-    )
+    ranges = picked.repartitionByRange(*_ORDER).sortWithinPartitions(*_ORDER)
+    found = tables.settle(ranges.mapInArrow(run, schema), "fingerprints")
+    return found.where("edge IS NULL").select(columns[:7]).unionByName(_at_edges(found.where("edge IS NOT NULL")))
+
+
+def _at_edges(edges: DataFrame) -> DataFrame:
+    """The last row of each range judged with the first of the next; after the last range comes the first. Two rows per range."""
+    order = Window.orderBy(*_ORDER, "edge")
+    linked = edges.select("doc_id", "mark", "uid", "edge").withColumn("after", F.coalesce(F.lead("uid").over(order), F.first("uid").over(order)))
+    lasts = linked.where("edge = 1").select("uid", "after").join(edges.where("edge = 1").select("uid", "doc_id", "text"), "uid")
+    firsts = edges.where("edge = 0").select(F.col("uid").alias("after"), F.col("text").alias("following"))
+
+    def run(batches):
+        for batch in batches:
+            for row in zip(*(batch[c].to_pylist() for c in ("doc_id", "text", "following")), strict=True):
+                yield _judge([row])
+
+    return lasts.join(firsts, "after").select("doc_id", "text", "following").mapInArrow(run, _RESULT)
+
+
+_KINDS = [
+    pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int32(), pa.int64(), pa.int64(), pa.string(),
+]
 
 
-def _judge(rows: list[list]) -> pa.RecordBatch:
+def _judge(rows: list[tuple]) -> pa.RecordBatch:
     found, last = [], None
     for doc, text, following in rows:
         edited = edit(text, following)
@@ -178,6 +190,5 @@ def _judge(rows: list[list]) -> pa.RecordBatch:
             last = mark_pair(following, following, len(following))[0]
         row.append(likeness(row[3], last))
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
     values = [[text_of(r[i]) if i in (3, 4) else r[i] for r in found] for i in range(7)]
-    return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds, strict=True)], names)
+    return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, _KINDS, strict=False)], names)
