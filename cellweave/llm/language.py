@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cellweave.llm import tables
 
@@ -28,7 +29,7 @@ STEPS = 400
 BATCH = 512
 RATE = 0.02
 LANES = 1024
-# Longer words are not trained on.
+# Words are trained on in pieces of so many bytes; in texts without spaces all is pieces.
 TRAINED_WIDTH = 18
 # Words that a task remembers before it starts anew.
 REMEMBERED = 100_000
@@ -124,14 +125,16 @@ def gradients(net: Network, codes: np.ndarray, labels: np.ndarray) -> tuple[floa
             np.add.at(gx[d], codes[t], dg)
             gu[d] += h.T @ dhu
             dh = dh * z + dhu @ net.u[d].T
+    # padding adds nothing, so that what a word reads does not depend on the words beside it
+    gx[:, 256] = 0
     return loss, [gx, gu, gv, gc]
 
 
-def pieces(text: bytes) -> list[bytes]:
-    """Words of a text; long ones in pieces of WINDOW bytes."""
+def pieces(text: bytes, width: int = WINDOW) -> list[bytes]:
+    """Words of a text; longer ones in pieces of ``width`` bytes."""
     found = text.split()
-    if max(map(len, found), default=0) > WINDOW:
-        found = [w[i : i + WINDOW] for w in found for i in range(0, len(w), WINDOW)]
+    if max(map(len, found), default=0) > width:
+        found = [w[i : i + width] for w in found for i in range(0, len(w), width)]
     return found
 
 
@@ -150,7 +153,7 @@ def train(rows: list[tuple[str, str]], steps: int = STEPS, seed: int = 11) -> Ne
     if not languages:
         return None
     r = np.random.default_rng(seed)
-    found = [(languages.index(a), w) for a, b in rows for w in pieces(b.encode()) if len(w) <= TRAINED_WIDTH]
+    found = [(languages.index(a), w) for a, b in rows for w in pieces(b.encode(), TRAINED_WIDTH)]
     codes, label = windows([w for _, w in found], TRAINED_WIDTH), np.array([i for i, _ in found], np.int64)
     pools = [p for i in range(len(languages)) if len(p := np.flatnonzero(label == i))]
     if not pools:
@@ -235,8 +238,8 @@ def predict(docs: DataFrame, net: Network | None) -> DataFrame:
             k += 1
         return batch.append_column("lang_pred", pa.array(best, pa.string())).append_column("score", pa.array(np.round(found, 5)))
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return tables.map_batches(docs, run, f"{fields}, lang_pred string, score double", readers)
+    added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    return tables.map_batches(docs, run, T.StructType([*docs.schema, *added]), readers)
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -258,7 +261,10 @@ def learn(docs: DataFrame) -> Network | None:
 
 
 def keep_known(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
-    """Rows of ``docs``, with all their columns, whose language is found with a score of at least ``least``."""
+    """Rows of ``docs``, with all their columns, whose language is found with a score of at least ``least``.
+
+    Null texts and texts without letters go. Repeated rows go or stay together; an empty table gives an empty one.
+    """
     rows = docs.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text"))
     found = predict(rows, learn(docs))
     return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("row.*")
