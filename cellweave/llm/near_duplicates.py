@@ -7,8 +7,9 @@ is above 0.999. Pairs that share a table are confirmed on the full sets of their
 
 Copies (equal sets) are one class. Within a table, members are compared with one hub only, so that no group is written out
 as all its pairs; classes that this connects need no further comparison. Classes whose tables still hold several components
-are then matched exactly: similar sets share one of their rarest shingles, so a class is compared with the members of
-another component only if it shares such a shingle with it. So no link between components is left out.
+are then matched by their rarest shingles, of which similar sets share one: a class is compared with the members of another
+component only if it shares such a shingle with it, and if their sketches do not rule out that they are similar. Both the tables
+and the sketches may miss a pair; what was measured is in the README.
 """
 
 from __future__ import annotations
@@ -292,13 +293,14 @@ def keep_first(docs: DataFrame, size: int = 5, percent: int = PERCENT) -> DataFr
     Documents without words are in no group and stay. Repeated rows (equal doc_id and text) stay once. Rows without doc_id come
     after all others, and those of equal texts are one document.
     """
-    nameless = F.lit(1 << 62) + F.pmod(F.xxhash64("text"), F.lit(1 << 61))
-    keyed = docs.withColumn("_row_key", F.coalesce(F.col("doc_id").cast("long"), nameless))
-    found = near_duplicates(keyed.select(F.col("_row_key").alias("doc_id"), "text"), size, percent)
-    found = tables.settle(found.select(F.col("doc_id").alias("_row_key"), "kept"), "found")
-    gone = tables.settle(found.where("NOT kept").select("_row_key").distinct(), "gone")
-    often = tables.settle(found.where("kept").groupBy("_row_key").count().where("count > 1").select("_row_key"), "often")
-    rows = keyed.join(tables.small_side(gone, 16), "_row_key", "left_anti")
-    once = rows.join(tables.small_side(often, 16), "_row_key", "left_anti")
-    repeated = rows.join(tables.small_side(often, 16), "_row_key", "left_semi").dropDuplicates(["_row_key", "text"])
-    return once.unionByName(repeated).select(docs.columns)
+    nameless = F.lit(1 << 62) + F.pmod(F.xxhash64(F.col("text").cast("string")), F.lit(1 << 61))
+    # the row's own columns stay in one struct, whatever they are called
+    keyed = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("long"), nameless).alias("key"), F.col("text").cast("string").alias("text"))
+    found = near_duplicates(keyed.select(F.col("key").alias("doc_id"), "text"), size, percent)
+    found = tables.settle(found.select(F.col("doc_id").alias("key"), "kept"), "found")
+    gone = tables.settle(found.where("NOT kept").select("key").distinct(), "gone")
+    often = tables.settle(found.where("kept").groupBy("key").count().where("count > 1").select("key"), "often")
+    rows = keyed.join(tables.small_side(gone, 16), "key", "left_anti")
+    once = rows.join(tables.small_side(often, 16), "key", "left_anti")
+    repeated = rows.join(tables.small_side(often, 16), "key", "left_semi").dropDuplicates(["key", "text"])
+    return once.unionByName(repeated).select("row.*")

@@ -1,7 +1,7 @@
 """Quality rules: exact counts per text, and an isolation forest over the rates that follow from them.
 
 Trees split the box of all rates at random places; a text whose rates lie where few texts are ends in a small cell after a
-short path. The forest is grown from a bounded sample of documents; the threshold on its score comes from labelled rows:
+short path. The forest is grown from a bounded sample of documents, without those labelled bad; the threshold on its score comes from labelled rows:
 the lowest one that loses at most a share of ``LOSS`` (rounded up to a row) of those labelled good.
 """
 
@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cellweave.llm import tables, words
 
@@ -120,10 +121,15 @@ def _average_path(n: np.ndarray) -> np.ndarray:
     return np.where(n > 2, 2 * (np.log(np.maximum(n - 1, 1)) + 0.5772156649) - 2 * (n - 1) / np.maximum(n, 1), np.where(n == 2, 1.0, 0.0))
 
 
-def grow(sample: np.ndarray, seed: int = 7) -> Forest | None:
-    """A forest over rows of rates; None without rows. Splits are uniform over each cell of the sample's bounding box."""
+def grow(sample: np.ndarray, others: np.ndarray | None = None, seed: int = 7) -> Forest | None:
+    """A forest over rows of rates; None without rows.
+
+    Splits are uniform over each cell of the bounding box of ``sample`` and ``others``. Only rows of ``sample`` make paths longer, so
+    that rows known to be bad, given as ``others``, leave their part of the box empty however many they are.
+    """
     if not len(sample):
         return None
+    box = sample if others is None else np.concatenate([sample, others])
     r = np.random.default_rng(seed)
     inner, leaves = 2**DEPTH - 1, 2**DEPTH
     feature, at, length = [], [], []
@@ -131,7 +137,7 @@ def grow(sample: np.ndarray, seed: int = 7) -> Forest | None:
         part = sample[r.choice(len(sample), min(SUBSAMPLE, len(sample)), replace=False)]
         f, a = r.integers(0, sample.shape[1], inner), np.zeros(inner)
         low, high = np.zeros((inner + leaves, sample.shape[1])), np.zeros((inner + leaves, sample.shape[1]))
-        low[0], high[0] = sample.min(0), sample.max(0)
+        low[0], high[0] = box.min(0), box.max(0)
         for k in range(inner):
             a[k] = r.uniform(low[k, f[k]], high[k, f[k]])
             for child in (2 * k + 1, 2 * k + 2):
@@ -151,13 +157,16 @@ def grow(sample: np.ndarray, seed: int = 7) -> Forest | None:
     return Forest(np.array(feature), np.array(at), np.array(length), float(max(_average_path(min(SUBSAMPLE, len(sample))), 1.0)))
 
 
-def sample_rates(rated: DataFrame, size: int = SAMPLE) -> np.ndarray:
-    """About ``size`` rows of rates of documents that pass the base rules, the same ones in every run."""
+def sample_rates(rated: DataFrame, labels: DataFrame, size: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
+    """Rates of about ``size`` documents that pass the base rules, the same ones in every run: those not labelled bad, and those that are."""
     n = rated.where("NOT base_failed").count()
     share = min(1.0, size / max(n, 1))
     picked = rated.where("NOT base_failed").where(F.pmod(F.xxhash64("doc_id", "rates"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
-    rows = sorted(x[0] for x in picked.select("rates").collect())
-    return np.array(rows, float).reshape(-1, len(RATES))
+    rows = picked.select("rates", "doc_id").collect()
+    ids = F.broadcast(picked.select("doc_id").distinct())
+    bad = {x[0] for x in labels.where("quality = 0").select(F.col("doc_id").cast("long").alias("doc_id")).join(ids, "doc_id", "left_semi").distinct().collect()}
+    found = [np.array(sorted(x["rates"] for x in rows if (x["doc_id"] in bad) == wanted), float).reshape(-1, len(RATES)) for wanted in (False, True)]
+    return found[0], found[1]
 
 
 def score(rated: DataFrame, forest: Forest | None) -> DataFrame:
@@ -172,7 +181,7 @@ def score(rated: DataFrame, forest: Forest | None) -> DataFrame:
             x = np.array(batch["rates"].to_pylist(), float).reshape(-1, len(RATES))
             yield batch.append_column("anomaly", pa.array(forest.scores(x)))
 
-    return rated.mapInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rated.schema) + ", anomaly double")
+    return rated.mapInArrow(run, T.StructType([*rated.schema, T.StructField("anomaly", T.DoubleType())]))
 
 
 def threshold(scored: DataFrame, labels: DataFrame, loss: float = LOSS) -> float:
@@ -199,14 +208,14 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     count. Without labels or without documents that pass the base rules, only the base rules reject.
     """
     rated = tables.settle(with_rates(rule_counts(docs)), "rates")
-    scored = tables.settle(score(rated, grow(sample_rates(rated))), "scores")
+    scored = tables.settle(score(rated, grow(*sample_rates(rated, labels))), "scores")
     return scored.withColumn("kept", ~F.col("base_failed") & (F.col("anomaly") <= threshold(scored, labels)))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows of ``docs``, with all their columns, that ``judge`` keeps. Texts are counted again, so that rows need no join."""
     rated = tables.settle(with_rates(rule_counts(docs)), "rates")
-    forest = grow(sample_rates(rated))
+    forest = grow(*sample_rates(rated, labels))
     limit = threshold(score(rated, forest), labels)
     rows = docs.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text"))
 
@@ -220,5 +229,5 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
             kept &= forest.scores(np.stack(rates, 1)) <= limit
         return batch.filter(pa.array(kept)).select(["row"])
 
-    kept = tables.map_batches(rows, run, f"row {rows.schema['row'].dataType.simpleString()}")
+    kept = tables.map_batches(rows, run, T.StructType([rows.schema["row"]]))
     return kept.select("row.*")

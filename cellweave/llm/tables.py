@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cellweave import session
 
@@ -60,7 +61,7 @@ def give_back() -> None:
 
 
 def map_batches(
-    df: DataFrame, function: Callable[[pa.RecordBatch], pa.Table | pa.RecordBatch], schema: str, remembered: list | None = None
+    df: DataFrame, function: Callable[[pa.RecordBatch], pa.Table | pa.RecordBatch], schema: str | StructType, remembered: list | None = None
 ) -> DataFrame:
     """Apply ``function`` to slices of record batches; each slice has at most SLICE_ROWS rows.
 

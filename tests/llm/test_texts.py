@@ -41,6 +41,45 @@ def test_language_of_held_out_documents(docs):
     assert kept.where("score = 7").count() == kept.count()
 
 
+def test_languages_written_without_spaces(docs):
+    r = random.Random(12)
+    letters = {"ja": "のをはがにでとしてるいたなもこれあり", "th": "กขคงจชดตทนบปพมยรลวสหอ", "en": "the and "}
+    rows = [(i, "".join(r.choice(letters[lang]) for _ in range(200)), lang) for i in range(240) for lang in [r.choice([*letters])]]
+    found = {x["doc_id"]: x for x in language.identify(docs(rows)).collect()}
+    assert all(found[i]["lang_pred"] == lang for i, _, lang in rows)
+    assert any(x["held_out"] for x in found.values())
+
+
+def plain_probabilities(net, text):
+    """Position by position, gate by gate; means over all positions of all pieces."""
+    sigmoid = lambda a: 1 / (1 + np.exp(-a))
+    total, n, k = 0, 0, net.u.shape[1]
+    for piece in language.pieces(text):
+        codes = b" %s " % piece
+        logits = [net.c.astype(float).copy() for _ in codes]
+        for d in range(2):
+            h = np.zeros(k)
+            for t in range(len(codes)) if d == 0 else reversed(range(len(codes))):
+                a, b = net.x[d][codes[t]].astype(float), h @ net.u[d].astype(float)
+                z, reset = sigmoid(a[:k] + b[:k]), sigmoid(a[k : 2 * k] + b[k : 2 * k])
+                candidate = np.tanh(a[2 * k :] + reset * b[2 * k :])
+                h = (1 - z) * candidate + z * h
+                logits[t] += h @ net.v[d]
+        for x in logits:
+            total = total + np.exp(x) / np.exp(x).sum()
+            n += 1
+    return total / n
+
+
+def test_reading_by_brute_force():
+    r = random.Random(8)
+    net = language.train([(lang, sentence(lang, r)) for lang in WORDS for _ in range(20)], steps=30)
+    texts = [sentence(lang, r).encode() for lang in WORDS] + ["straße".encode() * 40, b"x", "日本語の文".encode() * 30]
+    reader = language.Reader(net)
+    for _ in range(2):  # the second time from memory
+        assert np.allclose(reader.probabilities(texts), [plain_probabilities(net, x) for x in texts], atol=1e-4)
+
+
 def test_language_without_anything_to_learn(docs):
     assert [x["lang_pred"] for x in language.identify(docs([(1, "word", None)])).collect()] == ["und"]
     assert language.identify(docs([])).count() == 0
@@ -144,14 +183,11 @@ def brute_mark(text):
     return fingerprints.text_of(fingerprints.smallest(fingerprints.hashes(text, cuts)))
 
 
-def test_fingerprints_by_brute_force(docs, monkeypatch):
-    monkeypatch.setattr(fingerprints, "BLOCK_ROWS", 3)
-    r = random.Random(9)
-    ids = r.sample(range(10**6), 40)
-    texts = ["".join(r.choice("abé日 ") for _ in range(r.choice([0, 1, 3, 50, 400]))) for _ in ids]
-    rows = [(i, t, None) for i, t in zip(ids, texts, strict=True)] + [(10**7, None, None), (None, "first of all", None), (ids[0], texts[0], None)]
-    found = sorted(map(tuple, fingerprints.fingerprint_documents(docs(rows)).collect()), key=repr)
-    order = sorted(((i, t or "") for i, t, _ in rows), key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
+def check_fingerprints(df, rows):
+    """Rows in any order of equal ids: neighbours follow from what is found for other rows."""
+    found = sorted(map(tuple, fingerprints.fingerprint_documents(df).collect()), key=repr)
+    mark = fingerprints_order(df)
+    order = sorted(((i, t or "") for i, t, _ in rows), key=lambda x: (x[0] is not None, x[0] or 0, mark[x[1]]))
     expected = []
     for k, (i, t) in enumerate(order):
         following = order[(k + 1) % len(order)][1]
@@ -162,6 +198,35 @@ def test_fingerprints_by_brute_force(docs, monkeypatch):
     assert found == sorted(expected, key=repr)
 
 
+def fingerprints_order(df):
+    return {t or "": h for t, h in df.selectExpr("text", "xxhash64(coalesce(text, ''))").collect()}
+
+
+def test_fingerprints_by_brute_force(docs):
+    r = random.Random(9)
+    ids = r.sample(range(10**6), 40)
+    texts = ["".join(r.choice("abé日 ") for _ in range(r.choice([0, 1, 3, 50, 400]))) for _ in ids]
+    rows = [(i, t, None) for i, t in zip(ids, texts, strict=True)] + [(10**7, None, None), (None, "first of all", None), (ids[0], texts[0], None)]
+    check_fingerprints(docs(rows), rows)
+
+
+@pytest.mark.parametrize("shape", ["far", "random", "one range", "one id", "nulls"])
+def test_fingerprints_of_any_ids(spark, docs, shape):
+    r = random.Random(1)
+    n = 120
+    ids = {
+        "far": [0, 4 * 10**18, -(2**63), 2**63 - 1, 7], "random": [r.randrange(-(2**63), 2**63) for _ in range(n)],
+        "one range": [*range(n - 1), 2**62], "one id": [5] * (n - 2) + [1, 9], "nulls": [None] * (n - 3) + [1, 2, 3],
+    }[shape]
+    rows = [(i, "".join(r.choice("ab ") for _ in range(30)), None) for i in ids]
+    # many ranges, not joined again because they are small
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        check_fingerprints(docs(rows), rows)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def like(a, b):
     a, b = ({x[i : i + 8] for i in range(0, len(x), 8)} for x in (a, b))
     both = sorted(a | b)[: fingerprints.HASHES]
