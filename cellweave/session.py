@@ -63,9 +63,22 @@ def look_up(df: DataFrame, side: DataFrame, key: str) -> DataFrame:
 
 
 def at_least(df: DataFrame, partitions: int | None, *by: Column) -> DataFrame:
-    """``df`` shuffled into ``partitions`` if its scan has fewer; without such a wish it stays as it is."""
-    if partitions is None or df.rdd.getNumPartitions() >= partitions:
+    """``df``, a scan, shuffled into ``partitions`` if fewer tasks than that have rows or one of them has most; without such a wish
+    it stays as it is.
+
+    Splits without the beginning of a row group have no rows, so rows are counted by task where there are not many more
+    splits than asked for; Parquet does that from its footers.
+    """
+    if partitions is None:
+        return df
+    splits = df.rdd.getNumPartitions()
+    if splits >= 4 * partitions:
         return df
+    if splits >= partitions:
+        rows = df.groupBy(F.spark_partition_id().alias("_task")).agg(F.count("*").alias("_rows"))
+        tasks, most, total = rows.agg(F.count("*"), F.max("_rows"), F.sum("_rows")).first()
+        if tasks >= partitions and most * partitions <= 2 * total:
+            return df
     return df.repartition(partitions, *by)
 
 
