@@ -1,33 +1,19 @@
-"""Records of delimited text, found in every split of a file.
-
-A line end inside quotes does not end a record, and whether a split starts inside quotes depends on all of the file before it. So each
-split is first read as if it started outside quotes and as if it started inside: that gives, for both, how many records start in it and
-whether it ends inside quotes. These functions from one of two states to one of two states are composed by a window over splits
-(one row each), after which every split knows its state, and the number of its first record; then all are read at once. Only
-records that reach over the border of a split are put together by a shuffle.
-
-Quotes count where Python's ``csv`` module takes them for quotes: at the start of a field. Line ends are LF, CR LF or CR.
-"""
+"""Records of delimited text. Quotes count where Python's ``csv`` module takes them for quotes: at the start of a field."""
 
 from __future__ import annotations
 
 import csv
 import re
 import sys
-from collections.abc import Iterator
-from dataclasses import dataclass
 
-import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .. import session
+from .segments import Grammar, Segments, read_segments
 
 OUTSIDE, INSIDE = 0, 1
-# Lines that a task holds as Python texts at a time.
-SLICE_LINES = 2048
 
 # Whole fields up to the last comma, then a quoted one that the line does not close.
 _OPENS = re.compile(r'(?:(?:"(?:[^"]|"")*+"[^,]*+|(?!")[^,]*+),)*+"(?:[^"]|"")*+\Z')
@@ -47,279 +33,60 @@ def after(line: str, state: int) -> int:
     return INSIDE if _OPENS.match(line) else OUTSIDE
 
 
-def parse(texts: list[str]) -> list[list[str]]:
-    """The values of each record."""
-    csv.field_size_limit(sys.maxsize)
-    return [*csv.reader(texts)]
-
-
-def _slices(batches: Iterator[pa.RecordBatch], marks: tuple[str, ...], keys: tuple[str, ...]) -> Iterator[tuple[tuple, pa.RecordBatch]]:
-    """Parts of batches in which ``marks`` do not change, with the values of ``keys`` there."""
-    for batch in batches:
-        changed = np.zeros(batch.num_rows, bool)
-        for column in map(batch.column, map(batch.schema.get_field_index, marks)):
-            changed[1:] |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
-        edges = [0, *np.flatnonzero(changed).tolist(), batch.num_rows]
-        for a, b in zip(edges, edges[1:]):
-            for i in range(a, b, SLICE_LINES):
-                yield tuple(batch[k][a].as_py() for k in keys), batch.slice(i, min(SLICE_LINES, b - i))
-
-
-class _Counted:
-    """A split read from both states at once."""
-
-    def __init__(self, first: bool):
-        self.states, self.starts = [OUTSIDE, INSIDE], [0, 0]
-        self.head: list[str] | None = [] if first else None  # lines of a file's first record, while it is open
-        self.header: list[str] | None = None
-
-    def read(self, lines: pa.Array) -> None:
-        full = np.asarray(pc.greater(pc.binary_length(lines), 0))
-        before = np.concatenate([[0], np.cumsum(full)])
-        quoted = np.flatnonzero(np.asarray(pc.match_substring(lines, '"')))
-        if self.head is not None:
-            for line in lines.to_pylist():
-                if self.head or line:
-                    state = after(line, INSIDE if self.head else OUTSIDE)
-                    self.head.append(line)
-                    if state == OUTSIDE:
-                        self.header, self.head = parse(["\n".join(self.head).removeprefix("\ufeff")])[0], None
-                        break
-        at = 0
-        for q in quoted.tolist():
-            line = lines[q].as_py()
-            for i, state in enumerate(self.states):
-                if state == OUTSIDE:
-                    self.starts[i] += int(before[q + 1] - before[at])
-            if self.states[0] == self.states[1]:
-                self.states = [after(line, self.states[0])] * 2
-            else:
-                self.states = [after(line, state) for state in self.states]
-            at = q + 1
-        for i, state in enumerate(self.states):
-            if state == OUTSIDE:
-                self.starts[i] += int(before[-1] - before[at])
-
+def _without_quotes(lines: pa.Array) -> pa.Array:
+    return pc.invert(pc.match_substring(lines, '"'))
 
-def _count(lines: DataFrame) -> DataFrame:
-    """One row per split: ``_file, _block, out_0, out_1`` (state at its end by state at its start), ``starts_0, starts_1``, ``header``."""
 
-    schema = pa.schema([
-        ("_file", pa.string()), ("_block", pa.int64()), ("out_0", pa.int32()), ("out_1", pa.int32()), ("starts_0", pa.int64()),
-        ("starts_1", pa.int64()), ("header", pa.list_(pa.string())),
-    ])
+def _empty(lines: pa.Array) -> pa.Array:
+    return pc.equal(pc.binary_length(lines), 0)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def told() -> pa.RecordBatch:
-            row = (*key, *now.states, *now.starts, now.header)
-            return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
 
-        key, now = None, None
-        for found, part in _slices(batches, ("_file", "_block"), ("_file", "_block")):
-            if found != key:
-                if now is not None:
-                    yield told()
-                key, now = found, _Counted(found[1] == 0)
-            now.read(part["value"])
-        if now is not None:
-            yield told()
+DELIMITED = Grammar(2, after, _without_quotes, _empty)
 
-    return lines.mapInArrow(run, "_file string, _block long, out_0 int, out_1 int, starts_0 long, starts_1 long, header array<string>")
 
+def parse(texts: list[str]) -> list[list[str]]:
+    """The values of each record."""
+    csv.field_size_limit(sys.maxsize)
+    return [*csv.reader(texts)]
 
-def _composed(splits: DataFrame) -> DataFrame:
-    """Splits with ``state`` at their start, ``rows`` that start in them, and ``first``: how many start in the file before.
-
-    A split either sets the state, whatever it was, or turns it, or leaves it. The state before a split is what the last one to set
-    it left, turned as often as splits after that one turn it.
-    """
-    before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    sets, turns = F.col("out_0") == F.col("out_1"), (F.col("out_0") > F.col("out_1")).cast("int")
-    turned = splits.withColumn("_turned", F.coalesce(F.sum(turns).over(before), F.lit(0)))
-    last = F.last(F.when(sets, F.struct("out_0", "_turned")), ignorenulls=True).over(before)
-    stated = turned.withColumn("_last", last).withColumn(
-        "state", (F.coalesce("_last.out_0", F.lit(OUTSIDE)) + F.col("_turned") - F.coalesce("_last._turned", F.lit(0))) % 2
-    )
-    inside = F.col("state") == INSIDE
-    counted = stated.withColumn("rows", F.when(inside, F.col("starts_1")).otherwise(F.col("starts_0")))
-    return counted.select(
-        "_file", "_block", "state", F.when(inside, F.col("out_1")).otherwise(F.col("out_0")).alias("out"), "rows",
-        F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("first"), "header",
-    )
-
-
-@dataclass(frozen=True)
-class Records:
-    """Records of text files.
-
-    ``files``: ``file_no`` (in path order), ``file``, ``header``, ``records`` (the header not counted), and ``before`` (records of earlier
-    files). ``rows``: ``file_no, record, values`` with records numbered from 0 after the header.
-    """
 
-    files: DataFrame
-    rows: DataFrame
+_ROWS = pa.schema([("file_no", pa.int32()), ("record", pa.int64()), ("values", pa.list_(pa.string()))])
 
 
-def _lines(spark: SparkSession, path: str, glob: str | None) -> DataFrame:
-    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob) if glob else spark.read
-    lines = reader.text(path)
-    return lines.select("value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
+def _values(file: int, records: list[tuple[int, int, str]]) -> pa.RecordBatch:
+    numbers, _, texts = zip(*records, strict=True)
+    columns = [[file] * len(numbers), [n - 1 for n in numbers], parse([*texts])]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ROWS, strict=True)], schema=_ROWS)
 
 
-def read_records(spark: SparkSession, path: str, glob: str | None = None, max_rows: int | None = None) -> Records | None:
-    """Records of the file or folder at ``path``, or of files below it whose names fit ``glob``; None if there are none.
+def read_records(spark: SparkSession, path: str, glob: str | None = None, max_rows: int | None = None) -> Segments | None:
+    """Records of delimited files: ``rows`` are ``file_no, record, values`` numbered from 0 after the header of their file.
 
-    With ``max_rows``, files are looked at in path order only until they hold so many rows, and others are not read. Texts are
-    UTF-8, a byte order mark is left out, empty lines are no records. A file that ends inside quotes is an error.
+    ``files`` have ``header`` (its values), ``records`` (the header not counted) and ``before`` (records of earlier files) as well. Texts
+    are UTF-8, a byte order mark is left out, empty lines are no records. A file that ends inside quotes is an error.
     """
-    session.ship_package(spark)
-    everything = _lines(spark, path, glob)
-    # local paths are spelled in two ways
-    lines, names = everything, sorted(re.sub("^file:/+", "file:/", x) for x in everything.inputFiles())
-    look = 1 if max_rows and len(names) > 1 else len(names)
-    while True:
-        lines = everything.filter(F.col("_file") <= names[look - 1]) if look < len(names) else everything
-        splits = session.settle(_composed(_count(lines)))
-        counted = splits.agg(F.sum("rows") - F.countDistinct("_file")).first()[0] or 0
-        if look >= len(names) or counted >= max_rows:
-            break
-        look *= 4
-    order = Window.partitionBy("_file").orderBy(F.desc("_block"))
-    torn = splits.withColumn("_n", F.row_number().over(order)).filter((F.col("_n") == 1) & (F.col("out") == INSIDE)).agg(F.min("_file")).first()[0]
-    if torn is not None:
-        raise ValueError(f"A quoted value is not closed at the end of {torn}")
-    # One row per file goes through this window.
-    in_order = Window.orderBy("_file")
-    files = splits.groupBy("_file").agg(F.max("header").alias("header"), (F.sum("rows") - 1).alias("records")).filter("records >= 0")
-    files = session.settle(files.select(
-        (F.row_number().over(in_order) - 1).alias("file_no"), F.col("_file").alias("file"), "header", "records",
-        F.coalesce(F.sum("records").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"),
-    ))
-    if files.filter("header IS NULL").limit(1).count():
-        raise ValueError("A header is longer than a split of its file")
-    if not files.limit(1).count():
+    found = read_segments(spark, path, DELIMITED, _values, "file_no int, record long, values array<string>", glob, max_rows)
+    if found is None:
         return None
-    numbers = files.select(F.col("file").alias("_file"), "file_no", "before")
-    places = splits.join(session.broadcast_if_small(numbers, 512), "_file")
-    if max_rows:
-        places = places.filter(F.col("before") + F.col("first") - 1 < max_rows)
-    places = session.settle(places.select(F.xxhash64("_file", "_block").alias("_key"), "file_no", "state", "out", "rows", "first"))
-    if places.groupBy("_key").count().filter("count > 1").limit(1).count():
-        raise ValueError("Two splits have one hash")
-    keyed = lines.select("value", "_block", F.xxhash64("_file", "_block").alias("_key"))
-    rows = _whole(_placed(keyed, places))
-    over = places.filter((F.col("state") == INSIDE) | (F.col("out") == INSIDE))
-    if over.limit(1).count():
-        rows = rows.unionByName(_over_borders(_placed(keyed, over)))
-    return Records(files, rows.filter("record >= 0"))
-
-
-def _placed(keyed: DataFrame, places: DataFrame) -> DataFrame:
-    """Lines of the splits in ``places``, with what is known of their split; lines stay where they are, in order."""
-    return session.look_up(keyed, places, "_key").filter("file_no IS NOT NULL")
-
-
-_PLACE = ("_key", "_block", "file_no", "state", "rows", "first")
-
-
-class _Assembled:
-    """The records of a split, given its state and the number of its first record.
-
-    ``lead`` are lines of a record that started before the split; ``open`` those of one that may go on after it.
-    """
-
-    def __init__(self, state: int, first: int):
-        self.state, self.first, self.next = state, first, first
-        self.lead: list[str] = []
-        self.leads, self.open = state == INSIDE, []
-        self.whole: list[tuple[int, str]] = []
-
-    def read(self, lines: pa.Array) -> None:
-        quoted = pc.match_substring(lines, '"').to_pylist()
-        for line, quotes in zip(lines.to_pylist(), quoted, strict=True):
-            before = self.state
-            if before == OUTSIDE and not line:
-                continue
-            self.state = after(line, before) if quotes else before
-            if self.leads:
-                self.lead.append(line)
-                self.leads = self.state == INSIDE
-                continue
-            if before == OUTSIDE:
-                self.next += 1
-            if before == self.state == OUTSIDE:
-                self.whole.append((self.next - 1, line))
-                continue
-            self.open.append(line)
-            if self.state == OUTSIDE:
-                self.whole.append((self.next - 1, "\n".join(self.open)))
-                self.open = []
-
-    def take(self) -> list[tuple[int, str]]:
-        """Whole records since the last call, numbered in their file."""
-        out, self.whole = self.whole, []
-        return out
-
-    def ends(self) -> list[tuple[int, str]]:
-        """Parts of records that reach over the split's borders."""
-        lead = [(self.first - 1, "\n".join(self.lead))] if self.lead else []
-        return lead + ([(self.next - 1, "\n".join(self.open))] if self.open else [])
-
-
-def _streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, _Assembled, bool]]:
-    """Splits as they are read: place, state of reading, and whether the split has ended."""
-    key, now = None, None
-    for found, part in _slices(batches, ("_key",), _PLACE):
-        if found != key:
-            if now is not None:
-                yield key, now, True
-            key, now = found, _Assembled(found[3], found[5])
-        now.read(part["value"])
-        yield key, now, False
-    if now is not None:
-        yield key, now, True
-
-
-_ROWS = pa.schema([("file_no", pa.int32()), ("record", pa.int64()), ("values", pa.list_(pa.string()))])
-_ROWS_DDL = "file_no int, record long, values array<string>"
-
-
-def _whole(lines: DataFrame) -> DataFrame:
-    """``file_no, record, values`` of all records that lie in one split; the header is record -1."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (_, _, file, _, rows, first), now, ended in _streamed(batches):
-            if found := now.take():
-                numbers, texts = zip(*found, strict=True)
-                columns = [[file] * len(numbers), [n - 1 for n in numbers], parse([*texts])]
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ROWS, strict=True)], schema=_ROWS)
-            if ended and now.next != first + rows:
-                raise ValueError("The files changed while they were read")
-
-    return lines.select("value", *_PLACE).mapInArrow(run, _ROWS_DDL)
-
+    if found.files.filter("head IS NULL").limit(1).count():
+        raise ValueError("A header is longer than a split of its file")
+    earlier = Window.orderBy("file_no").rowsBetween(Window.unboundedPreceding, -1)
+    records = F.col("records") - 1
+    files = _with_headers(found.files).select(
+        "file_no", "file", "header", records.alias("records"), F.coalesce(F.sum(records).over(earlier), F.lit(0)).alias("before")
+    )
+    return Segments(files, found.rows.filter("record >= 0"))
 
-def _over_borders(lines: DataFrame) -> DataFrame:
-    """``file_no, record, values`` of the records that reach over borders; ``lines`` are those of splits at such borders."""
-    parts = pa.schema([("file_no", pa.int32()), ("record", pa.int64()), ("at", pa.int64()), ("text", pa.string())])
 
-    def torn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (_, block, file, _, _, _), now, ended in _streamed(batches):
-            now.take()
-            found = now.ends() if ended else []
-            if found:
-                columns = [[file] * len(found), [n - 1 for n, _ in found], [block] * len(found), [text for _, text in found]]
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, parts, strict=True)], schema=parts)
+def _with_headers(files: DataFrame) -> DataFrame:
+    """One row per file goes through Python here."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches):
         for batch in batches:
-            for i in range(batch.num_rows):
-                values = pa.array(parse([batch["text"][i].as_py()]), _ROWS.field(2).type)
-                yield pa.RecordBatch.from_arrays([batch["file_no"].slice(i, 1), batch["record"].slice(i, 1), values], schema=_ROWS)
+            headers = [parse([x.removeprefix("\ufeff")])[0] for x in batch["head"].to_pylist()]
+            yield batch.append_column("header", pa.array(headers, pa.list_(pa.string())))
 
-    pieces = F.transform(F.array_sort(F.collect_list(F.struct("at", "text"))), lambda x: x["text"])
-    found = lines.select("value", *_PLACE).mapInArrow(torn, "file_no int, record long, at long, text string")
-    return found.groupBy("file_no", "record").agg(F.array_join(pieces, "\n").alias("text")).mapInArrow(run, _ROWS_DDL)
+    return files.mapInArrow(run, "file_no int, file string, head string, records long, header array<string>")
 
 
 def entry_stem(path: Column) -> Column:
@@ -331,4 +98,3 @@ def entry_stem(path: Column) -> Column:
 def stem(path: str) -> str:
     file = path.rstrip("/").rsplit("/", 1)[-1]
     return file.rsplit(".", 1)[0] if "." in file.lstrip(".") else file
-
