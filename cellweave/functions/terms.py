@@ -43,7 +43,7 @@ def escape_literal(value) -> Column:
 
 
 def unescape_literal(value) -> Column:
-    """Inverse of :func:`escape_literal`; also tabs and ``\\u`` escapes from other writers."""
+    """Inverse of :func:`escape_literal`; also tabs and escapes by number, ``\\u`` and ``\\U``, from other writers."""
     value = _c(value)
 
     def plain_piece(piece: Column) -> Column:
@@ -51,12 +51,21 @@ def unescape_literal(value) -> Column:
             piece = F.replace(piece, F.lit(form), F.lit(text))
         return piece
 
-    pieces = F.transform(F.split(value, r"\\\\", -1), plain_piece)
-    by_pieces = F.array_join(pieces, "\\")
+    def short_numbers(piece: Column) -> Column:
+        """Numbers of eight digits as four-digit ones where they fit, else as their character."""
+        parts = F.split(F.regexp_replace(piece, r"\\U0000([0-9A-Fa-f]{4})", r"\\u$1"), r"\\U", -1)
+        first, rest = F.get(parts, F.lit(0)), F.slice(parts, F.lit(2), F.size(parts))
+        char = lambda x: F.decode(F.unhex(F.substring(x, 1, 8)), "UTF-32")
+        return F.concat(first, F.array_join(F.transform(rest, lambda x: F.concat(char(x), F.substring(x, 9, 2**31 - 1))), ""))
+
+    pieces = F.split(value, r"\\\\", -1)
+    by_pieces = F.array_join(F.transform(pieces, plain_piece), "\\")
+    short = F.when(value.contains("\\U"), F.array_join(F.transform(pieces, short_numbers), "\\\\")).otherwise(value)
     by_json = F.from_json(
-        F.concat(F.lit('{"v":"'), value, F.lit('"}')), "v string", {"allowUnquotedControlChars": "true"}
+        F.concat(F.lit('{"v":"'), short, F.lit('"}')), "v string", {"allowUnquotedControlChars": "true"}
     )["v"]
-    return F.when(~value.contains("\\"), value).when(value.contains("\\u"), by_json).otherwise(by_pieces)
+    numbered = value.contains("\\u") | value.contains("\\U")
+    return F.when(~value.contains("\\"), value).when(numbered, by_json).otherwise(by_pieces)
 
 
 def format_term(o="o", kind="o_kind", datatype="o_datatype", lang="o_lang") -> Column:

@@ -85,7 +85,7 @@ def number_by_blocks(df: DataFrame, file: str, block: str, table: str | None = N
     its block is an error, not a lost or misplaced row.
     """
     marked = df.withColumn("_id", F.monotonically_increasing_id())
-    keys = [table, file, block] if table else [file, block]
+    keys = [*dict.fromkeys([table, file, block])] if table else [file, block]
     blocks = marked.groupBy(*keys).agg(F.min("_id").alias("_first"), F.count("*").alias("_rows"))
     grouped = Window.partitionBy(table) if table else Window.partitionBy()
     before = grouped.orderBy(file, block).rowsBetween(Window.unboundedPreceding, -1)

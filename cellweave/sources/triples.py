@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import terms
 from ..model import BNODE, IRI, LITERAL
+from ..operators.index import number_by_blocks
 
 
 def _node(token: Column) -> Column:
@@ -14,27 +15,42 @@ def _node(token: Column) -> Column:
     return F.when(token.startswith("<"), inner).otherwise(token)
 
 
-def parse_lines(lines: DataFrame, line: str = "value", *keep: str) -> DataFrame:
-    """Triples from lines ``<s> <p> object .``; blank lines, comments and other text are left out.
+# A line that says nothing.
+_NOTHING = r"^\s*(#.*)?$"
+_HEAD = r"^\s*+(<[^>]*+>|_:\S++)\s++(<[^>]*+>)\s++"
+
+
+def _marked(lines: DataFrame, line: str) -> DataFrame:
+    """``lines`` with the parts of a triple and ``_ok``: whether the whole line is one.
 
     The object is cut at its last quote, so a literal's length does not matter.
     """
-    pattern = r"^\s*+(<[^>]*+>|_:\S++)\s++(<[^>]*+>)\s++"
-    head = F.regexp_extract(line, pattern, 0)
     rest = F.regexp_replace(F.expr(f"substring({line}, length(_head) + 1)"), r"\s*+\.\s*+$", "")
-    df = lines.withColumn("_head", head).filter(F.length("_head") > 0).withColumn("_object", rest)
-    df = df.withColumn("_s", F.regexp_extract("_head", pattern, 1)).withColumn("_p", F.regexp_extract("_head", pattern, 2))
+    df = lines.withColumn("_head", F.regexp_extract(line, _HEAD, 0)).withColumn("_object", rest)
     term = F.col("_object")
     is_literal = term.startswith('"')
-    close = F.length(term) - F.instr(F.reverse(term), '"') + 1
-    df = df.withColumn("_close", F.when(is_literal, close))
-    body = F.substring(term, F.lit(2), F.col("_close") - 2)
+    df = df.withColumn("_close", F.when(is_literal, F.length(term) - F.instr(F.reverse(term), '"') + 1))
     tail = F.substring(term, F.col("_close") + 1, F.length(term))
-    df = df.filter(is_literal | term.startswith("<") | term.startswith("_:"))
+    literal = is_literal & (F.col("_close") > 1) & tail.rlike(r"^(\^\^<[^>]*+>|@[A-Za-z0-9-]++)?$")
+    node = (term.startswith("<") & term.endswith(">")) | term.rlike(r"^_:\S++$")
+    ended = F.col(line).rlike(r"\.\s*+$")
+    return df.withColumn("_tail", tail).withColumn("_ok", (F.length("_head") > 0) & ended & (literal | node))
+
+
+def parse_lines(lines: DataFrame, line: str = "value", *keep: str, strict: bool = False) -> DataFrame:
+    """Triples from lines ``<s> <p> object .``; blank lines and comments are left out, and other text too unless ``strict``,
+    which makes it an error."""
+    ok = F.col("_ok")
+    if strict:
+        told = F.concat(F.lit("Not a triple: "), F.substring(F.col(line), 1, 200))
+        ok = F.when(ok, True).when(F.col(line).rlike(_NOTHING), False).otherwise(F.raise_error(told).cast("boolean"))
+    df = _marked(lines, line).filter(ok)
+    term, tail, is_literal = F.col("_object"), F.col("_tail"), F.col("_close").isNotNull()
+    body = F.substring(term, F.lit(2), F.col("_close") - 2)
     return df.select(
         *keep,
-        _node(F.col("_s")).alias("s"),
-        _node(F.col("_p")).alias("p"),
+        _node(F.regexp_extract("_head", _HEAD, 1)).alias("s"),
+        _node(F.regexp_extract("_head", _HEAD, 2)).alias("p"),
         F.when(is_literal, terms.unescape_literal(body)).otherwise(_node(term)).alias("o"),
         F.when(is_literal, F.lit(LITERAL)).when(term.startswith("<"), F.lit(IRI)).otherwise(F.lit(BNODE)).alias("o_kind"),
         F.when(tail.startswith("^^<"), F.substring(tail, F.lit(4), F.length(tail) - 4)).alias("o_datatype"),
@@ -43,7 +59,21 @@ def parse_lines(lines: DataFrame, line: str = "value", *keep: str) -> DataFrame:
 
 
 def read_triples(spark: SparkSession, path: str) -> DataFrame:
-    """Triples of a file or folder; a folder of chunks gives its ``chunk`` column as well."""
+    """Triples of a file or folder with one per line; a folder of chunks gives its ``chunk`` column as well.
+
+    A line that is no triple, blank or comment is an error: see :func:`unreadable_lines`, and
+    :func:`cellweave.sources.statements.read_statements` for statements that go over lines.
+    """
     lines = spark.read.text(path)
     keep = [c for c in lines.columns if c != "value"]
-    return parse_lines(lines, "value", *keep)
+    return parse_lines(lines, "value", *keep, strict=True)
+
+
+def unreadable_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``file, line, text`` of the lines of a file or folder that :func:`read_triples` cannot read; lines count from 1 in each file."""
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block")
+    )
+    numbered = number_by_blocks(lines, "file", "_block", "file")
+    bad = _marked(numbered, "value").filter(~F.col("_ok") & ~F.col("value").rlike(_NOTHING))
+    return bad.select("file", (F.col("row_index") + 1).alias("line"), F.col("value").alias("text"))

@@ -12,7 +12,7 @@ from cellweave.operators import pages as P
 from cellweave.operators import summary as S
 from cellweave.plans import convert as plans
 from cellweave.sinks import graph as sinks
-from cellweave.sources import delimited, documents, triples
+from cellweave.sources import delimited, documents, statements, triples
 from cellweave.streaming import ingest
 
 from .base import (
@@ -145,6 +145,72 @@ def text_roundtrip(spark, folder):
     return triples.read_triples(spark, place).select("s", "o", "chunk")
 
 
+# Parts as statements over several lines; every thirteenth text has a line that is none. Lines end in one of two ways.
+_STATEMENTS = """
+SELECT p_partkey, concat(
+  'x:part_', p_partkey, ' a x:Part ;', chr(10), '    x:name "', p_name, '"@en , ', repeat(chr(39), 3), p_type, chr(10), ' . of "', p_brand, '"',
+  repeat(chr(39), 3), ' ; # not; the "end" .', chr(10), '    x:size ', p_size, ' ; y:near <part_', p_size, '> .', chr(10),
+  CASE WHEN p_partkey % 13 = 0 THEN concat('broken ', p_partkey, ' here .', chr(10)) ELSE '' END) AS value
+FROM {part}
+"""
+_STATEMENT_ROWS = f"""
+SELECT 'http://x/part_' || p_partkey AS s, '{V.RDF_TYPE}' AS p, 'http://x/Part' AS o, 'iri' AS o_kind, NULL AS o_datatype, NULL AS o_lang FROM part
+UNION ALL SELECT 'http://x/part_' || p_partkey, 'http://x/name', p_name, 'literal', NULL, 'en' FROM part
+UNION ALL SELECT 'http://x/part_' || p_partkey, 'http://x/name', p_type || chr(10) || ' . of "' || p_brand || '"', 'literal', NULL, NULL FROM part
+UNION ALL SELECT 'http://x/part_' || p_partkey, 'http://x/size', CAST(p_size AS VARCHAR), 'literal', '{V.XSD}integer', NULL FROM part
+UNION ALL SELECT 'http://x/part_' || p_partkey, 'http://y/near', 'http://base/at/part_' || p_size, 'iri', NULL, NULL FROM part
+"""
+
+
+def _statements(spark, folder):
+    """One file per range of parts, each with its prefixes at the top, read in small splits."""
+    place = scratch(spark)
+    head = "@prefix x: <http://x/> .\nPREFIX y: <http://y/>\n@base <http://base/at/file> .\n"
+    texts = derive(spark, folder, _STATEMENTS, wide=False).repartitionByRange(3, "p_partkey")
+    first = F.spark_partition_id()
+    told = texts.groupBy(first.alias("part")).agg(F.array_sort(F.collect_list(F.struct("p_partkey", "value"))).alias("rows"))
+    whole = F.concat(F.lit(head), F.array_join(F.transform("rows", lambda r: r["value"]), ""))
+    told.select(whole.alias("value")).write.option("lineSep", "\n").text(place)
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {k: spark.conf.get(k) for k in names}
+    try:
+        for k in names:
+            spark.conf.set(k, str(1 << 14))
+        return statements.read_statements(spark, place)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+@query("statement_triples", _STATEMENT_ROWS)
+def statement_triples(spark, folder):
+    """Statements over several lines with prefixes, a base, lists and long texts."""
+    return _statements(spark, folder).triples
+
+
+@query("triples_rejects", """
+SELECT 'broken ' || p_partkey || ' here .' AS text, 1 AS times FROM part WHERE p_partkey % 13 = 0
+""")
+def triples_rejects(spark, folder):
+    """What could not be read is told, by file and line; no two rejects are of one place."""
+    rejects = _statements(spark, folder).rejects
+    return rejects.groupBy("file", "line", "text").agg(F.count("*").cast("int").alias("times")).select("text", "times")
+
+
+@query("unreadable_lines", """
+SELECT CAST(3 * s_suppkey - 3 * min(s_suppkey) OVER () + 2 AS BIGINT) AS line, 'no triple of ' || s_name AS text FROM supplier
+""")
+def unreadable_lines(spark, folder):
+    """Lines of a file with one triple per line that are none, by their number."""
+    place = scratch(spark)
+    lines = derive(spark, folder, """
+        SELECT s_suppkey, explode(array(concat('<http://x/', s_suppkey, '> <http://x/name> "', s_name, '" .'), concat('no triple of ', s_name), '# note')) AS value
+        FROM {supplier}
+    """, wide=False)
+    lines.coalesce(1).sortWithinPartitions("s_suppkey", F.col("value").startswith("#"), ~F.col("value").startswith("<")).select("value").write.text(place)
+    return triples.unreadable_lines(spark, place).select("line", "text")
+
+
 CSV_TEXT = """
 SELECT doc_id, text || ' "quoted", with commas' AS text, CASE WHEN lang = 'en' THEN '' ELSE lang END AS lang,
   ' ' || source || ' ' AS source, n_chars FROM {documents}
