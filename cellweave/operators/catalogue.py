@@ -321,11 +321,13 @@ def dataset_metadata(triples: DataFrame, base: str = V.CATALOGUE_BASE) -> DataFr
     return rows.groupBy(F.col("s").alias("dataset"), "key").agg(F.max("o").alias("value"))
 
 
-def file_metadata(triples: DataFrame, subject: str = "", base: str = V.CATALOGUE_BASE) -> DataFrame:
-    """Created, modified and version of the catalogue file: ``key, value``."""
+def file_metadata(triples: DataFrame, subject: str | None = "", base: str = V.CATALOGUE_BASE) -> DataFrame:
+    """Created, modified and version of a catalogue file: ``key, value``; of all files, with their ``subject``, for None."""
     keys = {V.DCTERMS + "created": "created", V.DCTERMS + "modified": "modified", base + "version": "version"}
-    about = triples.filter((F.col("s") == subject) & F.col("p").isin(list(keys)))
-    return about.groupBy(F.try_element_at(_literal_map(keys), F.col("p")).alias("key")).agg(F.max("o").alias("value"))
+    about = triples.filter(F.col("p").isin(list(keys)))
+    about = about if subject is None else about.filter(F.col("s") == subject)
+    by = [F.col("s").alias("subject")] if subject is None else []
+    return about.groupBy(*by, F.try_element_at(_literal_map(keys), F.col("p")).alias("key")).agg(F.max("o").alias("value"))
 
 
 def _as_list(text: Column) -> Column:

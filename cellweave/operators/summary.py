@@ -97,13 +97,6 @@ def part_index(
     return grouped.withColumn("part_name", name("part"))
 
 
-def part_names(rows: Column, rows_per_part: int = V.ROWS_PER_PART, name=terms.chunk_name) -> Column:
-    """The ordered list of part names for a number of rows."""
-    count = parts(rows, rows_per_part)
-    numbers = F.when(count > 0, F.sequence(F.lit(0).cast("long"), count - 1)).otherwise(F.array().cast("array<bigint>"))
-    return F.transform(numbers, name)
-
-
 def columns_mapped(linked: DataFrame) -> DataFrame:
     """Columns with and without an annotation, per table."""
     return linked.groupBy("table_name").agg(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection
+from collections.abc import Callable, Collection
 from dataclasses import dataclass, replace
 from functools import reduce
 from urllib.parse import quote
@@ -25,8 +25,8 @@ from ..sinks import graph as sinks
 from ..sources.table import SourceTable
 from ..vocab import Profile
 
-# Chunk names that a manifest lists itself; longer lists are found in the chunk index beside it.
-LISTED_CHUNKS = 100_000
+# Names of chunks or pages on one page of their list. A manifest holds the first page, and the name of the list that holds all of them.
+LISTED = 1000
 
 
 @dataclass(frozen=True)
@@ -160,13 +160,40 @@ def summarise(conversion: Conversion, rows_per_part: int = V.ROWS_PER_PART) -> D
     )
 
 
-def manifest(summary: DataFrame, created: str, rows_per_chunk: int = V.ROWS_PER_PART) -> DataFrame:
+def _chunk(i: Column) -> Column:
+    return terms.chunk_name(i)
+
+
+def _page(i: Column) -> Column:
+    return F.concat(F.lit("./"), terms.page_name(i))
+
+
+def _names(parts: Column, page: Column, listed: int, name: Callable[[Column], Column]) -> Column:
+    """The names on one page of a list of so many parts."""
+    first = page * listed
+    last = F.least(first + listed, parts) - 1
+    none = F.array().cast("array<bigint>")
+    return F.transform(F.when(last >= first, F.sequence(first, last)).otherwise(none), name)
+
+
+def name_list(summary: DataFrame, listed: int = LISTED, name: Callable[[Column], Column] = _chunk) -> DataFrame:
+    """A table's list of chunks or pages: ``table_name, page, names, next``, ``next`` being null on the last page.
+
+    One row per page, whatever the number of parts; tables without parts have one empty page.
+    """
+    parts, zero = F.col("parts"), F.lit(0).cast("long")
+    pages = summary.select("table_name", "parts", F.explode(F.sequence(zero, F.greatest(S.parts(parts, listed) - 1, zero))).alias("page"))
+    more = F.when((F.col("page") + 1) * listed < parts, F.col("page") + 1)
+    return pages.select("table_name", "page", _names(parts, F.col("page"), listed, name).alias("names"), more.alias("next"))
+
+
+def manifest(summary: DataFrame, created: str, rows_per_chunk: int = V.ROWS_PER_PART, listed: int = LISTED) -> DataFrame:
     """The manifest document of a converted table from its summary."""
-    short = F.col("parts") <= LISTED_CHUNKS
     files = F.struct(
         F.lit("table").alias("metadata"),
         F.lit("full").alias("full"),
-        F.when(short, S.part_names(F.col("rows_processed"), rows_per_chunk)).alias("chunks"),
+        _names(F.col("parts"), F.lit(0).cast("long"), listed, _chunk).alias("chunks"),
+        F.lit("chunk_list").alias("chunk_list"),
         F.lit("chunk_index").alias("chunk_index"),
     )
     return summary.select(
@@ -183,12 +210,11 @@ def manifest(summary: DataFrame, created: str, rows_per_chunk: int = V.ROWS_PER_
     )
 
 
-def page_manifest(summary: DataFrame, file_name: str, profile: Profile, rows_per_page: int) -> DataFrame:
+def page_manifest(summary: DataFrame, file_name: str, profile: Profile, rows_per_page: int, listed: int = LISTED) -> DataFrame:
     """The manifest of page documents."""
     context = F.struct(
         F.lit(profile.ontology).alias("@vocab"), F.lit(profile.ontology).alias("fdic"), F.lit(V.CSVW).alias("csvw")
     )
-    names = S.part_names(F.col("rows_processed"), rows_per_page, lambda i: F.concat(F.lit("./"), terms.page_name(i)))
     return summary.select(
         context.alias("@context"),
         F.lit("csvw:Table").alias("@type"),
@@ -197,7 +223,9 @@ def page_manifest(summary: DataFrame, file_name: str, profile: Profile, rows_per
         F.lit("./table").alias("metadata"),
         F.col("rows_processed").alias("total_rows"),
         F.lit(rows_per_page).alias("rows_per_page"),
-        F.when(F.col("parts") <= LISTED_CHUNKS, names).alias("pages"),
+        F.col("parts").alias("page_count"),
+        _names(F.col("parts"), F.lit(0).cast("long"), listed, _page).alias("pages"),
+        F.lit("./page_list").alias("page_list"),
     )
 
 
@@ -208,6 +236,7 @@ def run(
     rows_per_part: int = V.ROWS_PER_PART,
     with_pages: bool = False,
     one_file_per_chunk: bool = False,
+    listed: int = LISTED,
 ) -> dict:
     """Write a single table's outputs below ``out`` and return its counts.
 
@@ -252,11 +281,13 @@ def run(
     )
     index = S.part_index(conversion.table, rows_per_part, terms.chunk_name)
     index.write.mode("overwrite").json(f"{out}/chunk_index")
+    name_list(summary, listed).write.mode("overwrite").json(f"{out}/chunk_list")
     if with_pages:
         sinks.write_pages(P.pages(P.page_rows(conversion.table, profile), rows_per_part), f"{out}/pages")
-        document = page_manifest(summary, conversion.table.file_name or conversion.table.name, profile, rows_per_part)
+        document = page_manifest(summary, conversion.table.file_name or conversion.table.name, profile, rows_per_part, listed)
         sinks.write_document(document, f"{out}/page_manifest")
-    sinks.write_document(manifest(summary, created, rows_per_part), f"{out}/table_manifest")
+        name_list(summary, listed, _page).write.mode("overwrite").json(f"{out}/page_list")
+    sinks.write_document(manifest(summary, created, rows_per_part, listed), f"{out}/table_manifest")
     results = summary.select(F.struct("table_uri", "rows_processed", "triples_generated").alias("processing_results"))
     sinks.write_document(results, f"{out}/processing_results")
     return summary.first().asDict()

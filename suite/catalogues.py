@@ -11,12 +11,20 @@ from cellweave.operators import catalogue as K
 from cellweave.operators import prefixes as X
 from cellweave.operators import summary as S
 from cellweave.operators.identifiers import unique_identifiers
+from cellweave.operators.index import read_parquet_table
+from cellweave.plans.convert import convert
+from cellweave.sources import documents
+from cellweave.sources.bank_catalogue import BASE as DEFAULT_BASE
+from cellweave.sources.bank_catalogue import catalogue_or_default
+from cellweave.sources.table import source_table
 
 from .base import (
-    ANNOTATIONS, B, PREFIXES, RECORD_FIELDS, SUBJECT, annotations, derive, duck, q, query, records, sql_triple,
+    ANNOTATIONS, B, CREATED, PREFIXES, RECORD_FIELDS, SUBJECT, annotations, derive, duck, q, query, records, scratch, sql_triple,
     with_subject,
 )
 
+ONT = V.TYPED.ontology
+
 _FIELDS = f"(SELECT *, {SUBJECT} AS subject FROM ({duck(RECORD_FIELDS)}))"
 _CODES = ", ".join(q(c) for c in V.DATATYPE_CODES)
 _EXPANDED = f"""CASE WHEN property LIKE 'schema:%' THEN '{PREFIXES['schema']}' || substring(property, 8)
@@ -256,6 +264,87 @@ def curie_compact(spark, folder):
     return X.compact_by_table(urls, "url", derive(spark, folder, SITE_PREFIXES), "short")
 
 
+# Catalogue documents of five hundred columns each, written as one text: single values and lists, plain and nested references.
+# Angled marks stand for braces, which have a meaning of their own in such a text.
+_DOCUMENTS = f"""
+SELECT p_partkey DIV 500 AS doc, concat('‹"prefixes": ‹"schema": "https://schema.org/"›, "columns": ‹', array_join(transform(array_sort(collect_list(struct(p_partkey, field))), x -> x.field), ', '), '››') AS value
+FROM (
+  SELECT ordinal AS p_partkey, concat('"', column_id, '": ‹"label": "', label, '"',
+    coalesce(concat(', "description": "', description, '"'), ''), coalesce(concat(', "data_type": "', data_type, '"'), ''),
+    ', "mappings": [‹"property": "', property, '"', coalesce(concat(', "relation": "', relation, '"'), ''), '›]',
+    ', "references": ["', url, '"', coalesce(concat(', ‹"wikidata": "', wikidata, '"›'), ''), ']',
+    ', "comments": ', CASE WHEN ordinal % 2 = 0 THEN concat('"', note, '"') ELSE concat('["', note, '", "checked"]') END,
+    ', "unit": ', CASE WHEN ordinal % 3 = 0 THEN concat('"', unit, '"') ELSE concat('["', unit, '", "each"]') END, '›') AS field
+  FROM ({RECORD_FIELDS})
+) GROUP BY p_partkey DIV 500
+"""
+
+
+@query("nested_catalogue", f"""
+SELECT row_number() OVER (PARTITION BY ordinal // 500 ORDER BY ordinal) - 1 AS ordinal, column_id, label, description, data_type, property, relation, url,
+  wikidata, CASE WHEN ordinal % 2 = 0 THEN note ELSE note || '|checked' END AS comments, CASE WHEN ordinal % 3 = 0 THEN unit ELSE unit || '|each' END AS unit,
+  'https://schema.org/' AS namespace
+FROM ({duck(RECORD_FIELDS)})
+""")
+def nested_catalogue(spark, folder):
+    """Catalogue documents of files, each a nested record per column, read in the order of the document."""
+    place = scratch(spark)
+    texts = derive(spark, folder, _DOCUMENTS, wide=False).withColumn("value", F.translate("value", "‹›", "{}"))
+    texts.write.partitionBy("doc").text(place)
+    found = documents.read_catalogue(spark, f"{place}/*")
+    record = F.col("record")
+    items = F.array_compact(F.transform(record["references"], lambda r: r["wikidata"]))
+    return found.select(
+        "ordinal", "column_id", *[record[c].alias(c) for c in ("label", "description", "data_type")],
+        record["mappings"][0]["property"].alias("property"), record["mappings"][0]["relation"].alias("relation"), record["references"][0]["url"].alias("url"),
+        F.get(items, F.lit(0)).alias("wikidata"), F.array_join(record["comments"], "|").alias("comments"),
+        F.array_join(record["extras"]["unit"], "|").alias("unit"), F.col("prefixes")["schema"].alias("namespace"),
+    )
+
+
+_FILES = "SELECT s_suppkey, s_name, '2024-01-' || lpad(CAST(s_suppkey % 28 + 1 AS {text}), 2, '0') AS created, CASE WHEN s_suppkey % 3 > 0 THEN '2025-02-' || lpad(CAST(s_suppkey % 28 + 1 AS {text}), 2, '0') END AS modified, CASE WHEN s_suppkey % 2 = 0 THEN '1.' || s_suppkey END AS version FROM {supplier}"
+_FILES_SQL = _FILES.format(text="VARCHAR", supplier="supplier")
+
+
+@query("file_metadata", f"""
+SELECT 'http://file/' || s_suppkey AS subject, 'created' AS key, created AS value FROM ({_FILES_SQL})
+UNION ALL SELECT 'http://file/' || s_suppkey, 'modified', modified FROM ({_FILES_SQL}) WHERE modified IS NOT NULL
+UNION ALL SELECT 'http://file/' || s_suppkey, 'version', version FROM ({_FILES_SQL}) WHERE version IS NOT NULL
+""")
+def file_metadata(spark, folder):
+    """Metadata of catalogue files: from documents to triples and back."""
+    place = scratch(spark)
+    files = derive(spark, folder, _FILES.format(text="STRING", supplier="{supplier}"), wide=False)
+    about = F.struct(F.struct(F.col("s_suppkey").cast("string").alias("title")).alias("dataset_metadata"), F.struct("created", "modified", "version", F.lit("x").alias("other")).alias("file_metadata"))
+    files.select((F.col("s_suppkey") % 5).alias("lot"), F.to_json(about).alias("value")).write.partitionBy("lot").text(place)
+    metadata = spark.read.schema("dataset_metadata map<string,string>, file_metadata map<string,string>").json(f"{place}/*")
+    subject = F.concat(F.lit("http://file/"), F.col("dataset_metadata")["title"])
+    return K.file_metadata(K.file_triples(metadata, subject, "file_metadata"), None)
+
+
+# A table under names of which the default catalogue knows all but one.
+_BANKS = "SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS row_index, c_custkey AS Y, c_name AS NAME, c_nationkey AS ZIP, c_mktsegment AS ODDITY, c_acctbal AS X FROM customer"
+
+
+@query("fallback_catalogue", f"""
+SELECT column_name, CASE WHEN column_name <> 'ODDITY' THEN '{DEFAULT_BASE}column_' || column_name END AS annotation_iri, label, cells FROM (
+  SELECT 'Y' AS column_name, 'Y Coordinate' AS label, count(Y) AS cells FROM ({_BANKS}) UNION ALL SELECT 'NAME', 'Institution Name', count(NAME) FROM ({_BANKS})
+  UNION ALL SELECT 'ZIP', 'ZIP Code', count(ZIP) FROM ({_BANKS}) UNION ALL SELECT 'ODDITY', NULL, count(ODDITY) FROM ({_BANKS})
+  UNION ALL SELECT 'X', 'X Coordinate', count(X) FROM ({_BANKS}))
+""")
+def fallback_catalogue(spark, folder):
+    """Without a catalogue of its own, a table's columns are looked up in the default one; cells are counted by their column."""
+    customer = read_parquet_table(spark, f"{folder}/customer.parquet", "customer")
+    names = {"c_custkey": "Y", "c_name": "NAME", "c_nationkey": "ZIP", "c_mktsegment": "ODDITY", "c_acctbal": "X"}
+    places = [customer.names.index(c) for c in names]
+    banks = source_table(customer.frame.select("row_index", *[f"c{i}" for i in places]), "banks", columns=[f"c{i}" for i in places], names=[*names.values()])
+    conversion = convert(banks, V.TYPED, catalogue_or_default(spark, None), CREATED)
+    labels = conversion.metadata.filter(F.col("p") == V.LABEL).select(F.col("s").alias("annotation_iri"), F.col("o").alias("label"))
+    cells = conversion.cell_triples([ONT + V.TYPED.cell_column]).groupBy(F.col("o").alias("column_iri")).agg(F.count("*").alias("cells"))
+    linked = conversion.linked.select("column_name", "column_iri", "annotation_iri").join(labels, "annotation_iri", "left")
+    return linked.join(cells, "column_iri").select("column_name", "annotation_iri", "label", "cells")
+
+
 _RELATIONS = [(r, p) for r, p in V.RELATION_PREDICATES.items()]
 _REL_VALUES = ", ".join(f"({q(r)}, {q(p)})" for r, p in _RELATIONS)
 

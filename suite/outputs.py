@@ -16,7 +16,7 @@ from cellweave.sources import delimited, documents, statements, triples
 from cellweave.streaming import ingest
 
 from .base import (
-    COLUMNS, CREATED, annotations, derive, duck, query, scratch, sql_cell_triples, sql_cells, sql_row_triples, table,
+    COLUMNS, CREATED, annotations, derive, duck, query, scratch, sql_cell_triples, sql_cells, sql_metadata_triples, sql_row_triples, table,
 )
 from .graphs import _GRAPH, _METADATA
 
@@ -96,15 +96,80 @@ SELECT 'lineitem' AS table_name, '{BASE}table/lineitem' AS table_uri, row_count,
 FROM n, p
 """)
 def manifest_summary(spark, folder):
-    """The manifest, with one row per chunk it lists."""
-    conversion = plans.convert(table(spark, folder, "lineitem"), V.TYPED, created=CREATED)
-    document = plans.manifest(plans.summarise(conversion), CREATED)
-    return document.select(
+    """The manifest, with one row per chunk on its list."""
+    summary = plans.summarise(plans.convert(table(spark, folder, "lineitem"), V.TYPED, created=CREATED))
+    document = plans.manifest(summary, CREATED).drop("files")
+    names = plans.name_list(summary).select("table_name", "page", F.posexplode("names").alias("at", "chunk"))
+    return document.join(names, "table_name").select(
         "table_name", "table_uri", "row_count", "triple_count", "columns_mapped", "chunk_size", "chunk_count",
-        F.posexplode("files.chunks").alias("ordinal", "chunk"),
+        (F.col("page") * plans.LISTED + F.col("at")).alias("ordinal"), "chunk",
     )
 
 
+_LISTED_SQL = "SELECT 'orders' AS table_name, ordinal, printf('chunk_%04d', ordinal) AS name, manifest FROM (SELECT unnest(range(CAST(ceil(count(*) / 100.0) AS BIGINT))) AS ordinal, printf('chunk_%04d', 0) AS manifest FROM orders)"
+
+
+def _listed(spark, folder, listed):
+    place = scratch(spark)
+    conversion = plans.convert(table(spark, folder, "orders"), V.PLAIN, created=CREATED)
+    summary = plans.summarise(conversion, 100)
+    plans.name_list(summary, listed).write.json(f"{place}/chunk_list")
+    sinks.write_document(plans.manifest(summary, CREATED, 100, listed), f"{place}/table_manifest")
+    first = documents.read_manifests(spark, f"{place}/table_manifest").select("table_name", F.get("files.chunks", F.lit(0)).alias("manifest"))
+    return documents.read_name_list(spark, f"{place}/chunk_list").join(first, "table_name")
+
+
+@query("manifest_list", _LISTED_SQL)
+def manifest_list(spark, folder):
+    """The chunks of a table from its list beside the manifest."""
+    return _listed(spark, folder, plans.LISTED)
+
+
+@query("manifest_list_of_threes", _LISTED_SQL)
+def manifest_list_of_threes(spark, folder):
+    """The same where a page of the list holds three names."""
+    return _listed(spark, folder, 3)
+
+
+def _ran(spark, folder, name):
+    place = scratch(spark)
+    conversion = plans.convert(table(spark, folder, name), V.TYPED, created=CREATED)
+    plans.run(conversion, place, CREATED, 30, with_pages=True, listed=3)
+    return place
+
+
+@query("run_metadata", sql_metadata_triples("supplier"))
+def run_metadata(spark, folder):
+    """The metadata that a conversion writes beside its data, read back."""
+    return triples.read_triples(spark, _ran(spark, folder, "supplier") + "/table")
+
+
+_SUPPLIER_CELLS = " + ".join(f"count({c})" for c in COLUMNS["supplier"])
+
+
+@query("run_results", f"""
+SELECT '{BASE}table/supplier' AS table_uri, count(*) AS rows_processed, {3 + 4 * len(COLUMNS['supplier'])} + count(*) + 5 * ({_SUPPLIER_CELLS}) AS triples_generated
+FROM supplier
+""")
+def run_results(spark, folder):
+    """The result document of a conversion, read back."""
+    return documents.read_results(spark, _ran(spark, folder, "supplier") + "/processing_results")
+
+
+@query("run_pages", f"""
+SELECT 'page_' || row_index // 30 AS page_name, row_index // 30 AS ordinal, row_index, column_name, value, (SELECT CAST(ceil(count(*) / 30.0) AS BIGINT) FROM supplier) AS page_count
+FROM ({sql_cells('supplier')})
+""")
+def run_pages(spark, folder):
+    """Pages as they were written, found by their manifest and its list, cell by cell."""
+    place = _ran(spark, folder, "supplier")
+    names = documents.read_name_list(spark, f"{place}/page_list").select("ordinal", F.substring("name", 3, 100).alias("page_name"))
+    rows = documents.read_pages(spark, f"{place}/pages").join(names, "page_name").select("page_name", "ordinal", F.explode("rows").alias("r"))
+    manifest = documents.read_page_manifests(spark, f"{place}/page_manifest").first()
+    cells = rows.select("page_name", "ordinal", "r.row_index", F.explode("r.cells").alias("column_name", "value"))
+    return cells.withColumn("page_count", F.lit(manifest["page_count"]).cast("long"))
+
+
 @query("page_cells", f"""
 SELECT row_index // 100 AS page, row_index, '{V.PLAIN.base}row/supplier/' || row_index AS row_uri, column_name, value,
   '{V.PLAIN.base}cell/supplier/' || row_index || '/' || column_index AS uri, '{V.PLAIN.base}column/supplier/' || column_index AS in_column
@@ -346,9 +411,9 @@ def manifest_catalogue(spark, folder):
         conversion = plans.convert(table(spark, folder, name), V.TYPED, created=CREATED)
         plans.run(conversion, f"{place}/{name}", CREATED, 500)
     found = documents.read_manifests(spark, f"{place}/*/table_manifest")
-    return found.select(
-        "table_name", "table_uri", "row_count", "triple_count", "chunk_count", F.element_at("files.chunks", -1).alias("last_chunk")
-    )
+    names = documents.read_name_list(spark, f"{place}/*/chunk_list")
+    last = names.groupBy("table_name").agg(F.max_by("name", "ordinal").alias("last_chunk"))
+    return found.select("table_name", "table_uri", "row_count", "triple_count", "chunk_count").join(last, "table_name")
 
 
 @query("stream_triples", f"{sql_row_triples('events')} UNION ALL {sql_cell_triples('events')}")
