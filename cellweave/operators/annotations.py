@@ -5,9 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import session
 from .. import vocab as V
 from ..model import BNODE, IRI, TRIPLE_FIELDS, Statement, lay_out
 from ..vocab import Profile
+from .hot import skew_join
+
+# What a name and its annotation take at most, where they are broadcast.
+NAME_BYTES = 1024
 
 
 def annotation_lookup(
@@ -25,11 +30,13 @@ def annotation_lookup(
 
 
 def link_columns(columns: DataFrame, lookup: DataFrame, bounded: bool = False) -> DataFrame:
-    """Every column with its annotation, if any; names match exactly, case included.
+    """Every column with its annotation, if any; names match exactly, case included. Most columns may share a name.
 
     ``bounded`` says that the lookup was narrowed to the headers of a table, which bounds it by the schema.
     """
-    return columns.join(F.broadcast(lookup) if bounded else lookup, "column_name", "left")
+    if bounded:
+        return columns.join(F.broadcast(lookup), "column_name", "left")
+    return skew_join(columns, session.settle(lookup), "column_name", "left", NAME_BYTES)
 
 
 def unannotated(linked: DataFrame) -> DataFrame:

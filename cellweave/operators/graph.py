@@ -11,6 +11,10 @@ from .. import session
 from .. import vocab as V
 from ..model import TRIPLE_FIELDS
 from ..vocab import Profile
+from .hot import skew_join
+
+# What a node's identifier takes at most, where it is broadcast.
+NODE_BYTES = 512
 
 
 def match(triples: DataFrame, s: str | None = None, p: str | None = None, o: str | None = None) -> DataFrame:
@@ -30,8 +34,9 @@ def describe(triples: DataFrame, node: str) -> DataFrame:
 
 
 def describe_all(triples: DataFrame, nodes: DataFrame, column: str = "node") -> DataFrame:
-    """Triples about any of the given nodes."""
-    return triples.join(nodes.select(F.col(column).alias("s")), "s", "left_semi").select(*triples.columns)
+    """Triples about any of the given nodes; one of them may have most of the triples."""
+    wanted = session.settle(nodes.select(F.col(column).alias("s")).distinct())
+    return skew_join(triples, wanted, "s", "left_semi", NODE_BYTES).select(*triples.columns)
 
 
 def union(*graphs: DataFrame) -> DataFrame:
