@@ -220,7 +220,7 @@ def annotation_entries(
     """The catalogue in long form: ``s, field, key, value``, one row per entry of an annotation record.
 
     Fields are name, label, description, data_type (one row each), mapping (key: relation), url, wikidata,
-    comment and extra (key: property name, first value only).
+    comment and extra (key: property name, first value only). An extra may be called like a field; :func:`regroup` decides then.
     """
     is_class = (F.col("p") == V.RDF_TYPE) & (F.col("o") == base + "ColumnAnnotation")
     is_name = F.col("p") == base + "columnName"
@@ -232,7 +232,7 @@ def annotation_entries(
     by_table = isinstance(prefixes, DataFrame)
     none = F.lit(None).cast("string")
     o, local = F.col("o"), terms.local_name("p", base)
-    own_fields = (*V.RECORD_FIELDS, "columnName", "semanticType", "dataType")
+    own_fields = ("columnName", "semanticType", "dataType")
     pick = {base + "columnName": "name", V.LABEL: "label", V.DESCRIPTION: "description"}
     url, wikidata = _reference_fields()
 
@@ -274,42 +274,55 @@ def annotation_entries(
 
 
 def regroup(entries: DataFrame, limit: int = ENTRIES_PER_PART) -> DataFrame:
-    """Nested records from the long form: ``subject, part, column_name, record``.
+    """Nested records from the long form: ``subject, column_name, record``, one per subject. Fields without entries are null.
 
-    A record of more than ``limit`` entries continues in further parts (numbered ``part``), each with its share
-    of the lists; single-valued fields are in part 0. Fields without entries are null.
+    Subjects of more than ``limit`` entries are gathered in parts, by several tasks, and the parts are put together. A property in the
+    catalogue's own namespace that is called like a field stands for that field where there is no other. Mappings cannot be told by
+    one; it stays an extra where there are none.
     """
-    singles = ("name", "label", "description", "data_type")
     # Entries come from several joins; they are worked out once for counting and gathering.
     parted = split_groups(session.settle(entries), "s", ["field", "key", "value"], limit)
-    parted = parted.withColumn("part", F.when(F.col("field").isin(*singles), F.lit(0)).otherwise(F.col("part")))
 
     def one(name: str) -> Column:
-        return F.max(F.when(F.col("field") == name, F.col("value")))
+        return F.max(F.when(F.col("field") == name, F.col("value"))).alias(name)
 
-    def many(entry: Column, *fields: str) -> Column:
-        found = F.sort_array(F.collect_list(F.when(F.col("field").isin(*fields), entry)))
-        return F.when(F.size(found) > 0, found)
+    def many(name: str, entry: Column, *fields: str) -> Column:
+        return F.collect_list(F.when(F.col("field").isin(*fields), entry)).alias(name)
 
     mapping = F.struct(F.col("value").alias("property"), F.col("key").alias("relation")).cast(MAPPING)
     reference = F.struct(
         F.when(F.col("field") == "url", F.col("value")).alias("url"),
         F.when(F.col("field") == "wikidata", F.col("value")).alias("wikidata"),
     ).cast(REFERENCE)
-    extra = many(F.struct("key", F.array("value").alias("value")), "extra")
-    grouped = parted.groupBy(F.col("s").alias("subject"), "part").agg(
-        one("name").alias("column_name"),
+    singles = ("name", "label", "description", "data_type")
+    lists = ("mappings", "references", "comments", "extras")
+    partial = parted.groupBy(F.col("s").alias("subject"), "part").agg(
+        *map(one, singles), many("mappings", mapping, "mapping"), many("references", reference, "url", "wikidata"),
+        many("comments", F.col("value"), "comment"), many("extras", F.struct("key", F.array("value").alias("value")), "extra"),
+    )
+    whole = partial.groupBy("subject").agg(
+        *[F.max(c).alias(c) for c in singles], *[F.sort_array(F.flatten(F.collect_list(c))).alias(c) for c in lists]
+    )
+    whole = whole.withColumn("extras", F.map_from_entries("extras"))
+    named = lambda c: F.try_element_at("extras", F.lit(c))
+    listed = lambda c: F.when(F.size(c) > 0, F.col(c))
+    plain = F.transform(named("references"), lambda x: F.struct(x.alias("url"), F.lit(None).cast("string").alias("wikidata")).cast(REFERENCE))
+    told = F.when(F.size("mappings") > 0, F.array(*map(F.lit, (*_TOLD, "mappings")))).otherwise(F.array(*map(F.lit, _TOLD)))
+    extras = F.map_filter("extras", lambda k, _: ~F.array_contains(told, k))
+    return whole.select(
+        "subject", F.col("name").alias("column_name"),
         F.struct(
-            one("label").alias("label"),
-            one("description").alias("description"),
-            one("data_type").alias("data_type"),
-            many(mapping, "mapping").alias("mappings"),
-            many(reference, "url", "wikidata").alias("references"),
-            many(F.col("value"), "comment").alias("comments"),
-            F.map_from_entries(extra).alias("extras"),
+            *[F.coalesce(c, named(c)[0]).alias(c) for c in ("label", "description", "data_type")],
+            listed("mappings").alias("mappings"),
+            F.coalesce(listed("references"), plain).alias("references"),
+            F.coalesce(listed("comments"), named("comments")).alias("comments"),
+            F.when(F.size(extras) > 0, extras).alias("extras"),
         ).alias("record"),
     )
-    return grouped
+
+
+# Fields that a property of the catalogue's namespace can stand for.
+_TOLD = ("label", "description", "data_type", "references", "comments")
 
 
 def dataset_metadata(triples: DataFrame, base: str = V.CATALOGUE_BASE) -> DataFrame:

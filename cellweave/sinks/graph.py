@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import vocab as V
@@ -55,15 +55,11 @@ def nodes(triples: DataFrame, limit: int = ENTRIES_PER_NODE) -> DataFrame:
         F.col("o_lang").alias("@language"),
     )
     parted = split_groups(triples, "s", ["p", "o", "o_kind", "o_datatype", "o_lang"], limit)
-    entries = F.array_sort(F.collect_list(F.struct(F.col("p"), value.alias("v"))))
-    grouped = parted.groupBy("s", "part").agg(entries.alias("_entries"))
-    properties = F.array_distinct(F.transform("_entries", lambda e: e["p"]))
-
-    def values(p: Column) -> Column:
-        own = F.filter("_entries", lambda e: e["p"] == p)
-        return F.struct(p.alias("key"), F.transform(own, lambda e: e["v"]).alias("value"))
-
-    by_property = F.map_from_entries(F.transform(properties, values))
+    # values by property, then properties by subject, where the rows have been brought together once
+    by_value = parted.repartition("s", "part").groupBy("s", "part", "p").agg(F.array_sort(F.collect_list(value)).alias("value"))
+    entry = F.struct(F.col("p").alias("key"), "value")
+    grouped = by_value.groupBy("s", "part").agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("_properties"))
+    by_property = F.col("_properties")
     inner = F.to_json(by_property)
     node = F.concat(F.lit('{"@id":'), F.to_json(F.array("s")).substr(F.lit(2), F.length(F.to_json(F.array("s"))) - 2))
     return grouped.select("s", "part", F.concat(node, F.lit(","), F.substring(inner, 2, 2**31 - 1)).alias("node"))

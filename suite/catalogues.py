@@ -390,8 +390,16 @@ def _compact_sql(o: str) -> str:
     return f"CASE {arms} ELSE {o} END"
 
 
-_ENTRIES = f"""
-WITH a AS (SELECT * FROM {_ANN}), n AS (SELECT DISTINCT s FROM a WHERE p = '{V.RDF_TYPE}' AND o = '{B}ColumnAnnotation'),
+def _refs_sql(source: str) -> str:
+    return f"""SELECT DISTINCT s, CAST(NULL AS VARCHAR) AS url, substring(o, {len(V.WIKIDATA_ENTITY) + 1}) AS wikidata
+FROM {source} AS a WHERE o_kind = 'iri' AND p IN ({_PREDICATES}) AND starts_with(o, '{V.WIKIDATA_ENTITY}')
+UNION SELECT DISTINCT s, o, NULL FROM {source} AS b WHERE o_kind = 'iri' AND p = '{V.SEE_ALSO}'"""
+
+
+def _entries_sql(source: str) -> str:
+    """Annotation records in long form, from triples."""
+    return f"""
+WITH a AS (SELECT * FROM {source}), n AS (SELECT DISTINCT s FROM a WHERE p = '{V.RDF_TYPE}' AND o = '{B}ColumnAnnotation'),
 t AS (SELECT a.* FROM a JOIN n USING (s))
 SELECT s, 'name' AS field, CAST(NULL AS VARCHAR) AS key, min(o) AS value FROM t WHERE p = '{B}columnName' GROUP BY s
 UNION ALL SELECT s, 'label', NULL, max(o) FROM t WHERE p = '{V.LABEL}' GROUP BY s
@@ -400,19 +408,15 @@ UNION ALL SELECT s, 'data_type', NULL, max(substring(o, {len(V.XSD) + 1})) FROM
 UNION ALL SELECT s, 'extra', 'unit', min(o) FROM t WHERE p = '{B}unit' GROUP BY s
 UNION ALL SELECT DISTINCT s, 'mapping', relation, {_compact_sql('o')} FROM t JOIN (VALUES {_REL_VALUES}) AS r(relation, predicate) ON t.p = r.predicate
   WHERE o_kind = 'iri' AND NOT starts_with(o, '{V.WIKIDATA_ENTITY}')
-UNION ALL SELECT s, CASE WHEN url IS NULL THEN 'wikidata' ELSE 'url' END, NULL, coalesce(url, wikidata) FROM ({_REFS}) AS refs
+UNION ALL SELECT s, CASE WHEN url IS NULL THEN 'wikidata' ELSE 'url' END, NULL, coalesce(url, wikidata) FROM ({_refs_sql(source)}) AS refs
 UNION ALL SELECT DISTINCT s, 'comment', NULL, o FROM t WHERE p = '{V.COMMENT}' AND o <> '{V.CLASS_COMMENT}'
 """
 
 
-@query("annotation_entries", _ENTRIES)
-def annotation_entries(spark, folder):
-    """Annotation records in long form."""
-    return K.annotation_entries(annotations(spark, folder), PREFIXES)
-
-
-@query("annotation_regroup", f"""
-WITH e AS ({_ENTRIES})
+def _records_sql(source: str) -> str:
+    """Nested records, their lists shown as text."""
+    return f"""
+WITH e AS ({_entries_sql(source)})
 SELECT s AS subject, max(value) FILTER (field = 'name') AS column_name, max(value) FILTER (field = 'label') AS label,
   max(value) FILTER (field = 'description') AS description, max(value) FILTER (field = 'data_type') AS data_type,
   count(*) FILTER (field = 'mapping') AS mappings,
@@ -422,10 +426,20 @@ SELECT s AS subject, max(value) FILTER (field = 'name') AS column_name, max(valu
   string_agg(value, '|' ORDER BY value) FILTER (field = 'comment') AS comments,
   max(value) FILTER (field = 'extra' AND key = 'unit') AS unit
 FROM e GROUP BY s
-""")
-def annotation_regroup(spark, folder):
+"""
+
+
+_ENTRIES = _entries_sql(_ANN)
+
+
+@query("annotation_entries", _ENTRIES)
+def annotation_entries(spark, folder):
+    """Annotation records in long form."""
+    return K.annotation_entries(annotations(spark, folder), PREFIXES)
+
+
+def _shown(regrouped):
     """Nested records, their lists shown as text."""
-    records_ = K.regroup(K.annotation_entries(annotations(spark, folder), PREFIXES))
     record = F.col("record")
     urls = F.array_compact(F.transform(record["references"], lambda r: r["url"]))
     items = F.array_compact(F.transform(record["references"], lambda r: r["wikidata"]))
@@ -434,35 +448,34 @@ def annotation_regroup(spark, folder):
     def joined(values, separator=" "):
         return F.when(F.size(values) > 0, F.array_join(values, separator))
 
-    return records_.select(
+    return regrouped.select(
         "subject", "column_name", record["label"].alias("label"), record["description"].alias("description"),
-        record["data_type"].alias("data_type"), F.size(record["mappings"]).alias("mappings"),
+        record["data_type"].alias("data_type"), F.coalesce(F.size(record["mappings"]), F.lit(0)).alias("mappings"),
         joined(texts).alias("mapping_text"), joined(urls).alias("urls"), joined(items).alias("wikidata"),
-        joined(record["comments"], "|").alias("comments"), record["extras"]["unit"][0].alias("unit"),
+        joined(record["comments"], "|").alias("comments"), F.array_join(record["extras"]["unit"], "|").alias("unit"),
     )
 
 
-@query("catalogue_roundtrip", f"SELECT count(*) AS columns, 0 AS lost FROM {_FIELDS}")
+@query("annotation_regroup", _records_sql(_ANN))
+def annotation_regroup(spark, folder):
+    return _shown(K.regroup(K.annotation_entries(annotations(spark, folder), PREFIXES)))
+
+
+@query("annotation_regroup_of_threes", _records_sql(_ANN))
+def annotation_regroup_of_threes(spark, folder):
+    """The same, put together from parts of some three entries."""
+    return _shown(K.regroup(K.annotation_entries(annotations(spark, folder), PREFIXES), limit=3))
+
+
+_CATALOGUE = (
+    f"(SELECT * FROM ({_CORE}) UNION SELECT * FROM ({_MAPPINGS}) UNION SELECT * FROM ({_REFERENCES}) UNION SELECT * FROM ({_COMMENTS}) UNION SELECT * FROM ({_EXTRAS}))"
+)
+
+
+@query("catalogue_roundtrip", _records_sql(_CATALOGUE))
 def catalogue_roundtrip(spark, folder):
-    """Names, labels, descriptions and known datatypes survive the way to triples and back."""
-    before = with_subject(records(spark, folder))
-    after = K.regroup(K.annotation_entries(K.record_triples(before, PREFIXES), PREFIXES))
-    code = F.when(before["record.data_type"].isNull(), F.lit(None)).when(
-        before["record.data_type"].isin(*V.DATATYPE_CODES), before["record.data_type"]
-    ).otherwise(F.lit(V.DEFAULT_DATATYPE))
-    left = before.select(
-        "subject", "column_id", F.col("record.label").alias("l"), F.col("record.description").alias("d"), code.alias("t")
-    )
-    right = after.select(
-        "subject", F.col("column_name").alias("c2"), F.col("record.label").alias("l2"),
-        F.col("record.description").alias("d2"), F.col("record.data_type").alias("t2"),
-    )
-    same = (
-        F.col("column_id").eqNullSafe(F.col("c2")) & F.col("l").eqNullSafe(F.col("l2"))
-        & F.col("d").eqNullSafe(F.col("d2")) & F.col("t").eqNullSafe(F.col("t2"))
-    )
-    joined = left.join(right, "subject", "left")
-    return joined.agg(F.count("*").alias("columns"), F.count(F.when(~same, F.lit(1))).alias("lost"))
+    """Whole records, all seven fields, on their way to triples and back."""
+    return _shown(K.regroup(K.annotation_entries(K.record_triples(with_subject(records(spark, folder)), PREFIXES), PREFIXES)))
 
 
 @query("unique_column_ids", """
