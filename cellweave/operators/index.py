@@ -32,12 +32,22 @@ def read_parquet_table(
     are their row counts needed, which are read from the footers. A caller whose rows each become many records may ask for
     ``partitions``; only then, and only if the scan has fewer, are rows shuffled, in runs.
     """
-    df = spark.read.parquet(path)
+    df = scan = spark.read.parquet(path)
     columns = columns if columns is not None else df.columns
     position, file = F.col("_metadata.row_index"), F.col("_metadata.file_path")
+    file_name = path.rstrip("/").rsplit("/", 1)[-1]
+    locate = None
     if len(df.inputFiles()) > 1:
         counts = df.select(file.alias("_file")).groupBy("_file").agg(F.count("*").alias("_rows"))
         starts = session.settle(_running_start(counts, "_file", "_rows"))
+
+        def locate(row: int) -> DataFrame:
+            """The file in which the row lies, by the first rows of files; the other files are not read."""
+            place = starts.filter((F.col("_start") <= row) & (F.col("_start") + F.col("_rows") > row)).first()
+            one = scan.filter(F.lit(False) if place is None else file == place["_file"])
+            index = position + F.lit(0 if place is None else place["_start"])
+            return source_table(one.select("*", index.alias(ROW_INDEX)), name, columns=columns, file_name=file_name).frame
+
         if max_rows:
             needed = starts.filter(F.col("_start") < max_rows).agg(F.max("_file")).first()[0]
             df = df.filter(file <= (needed or ""))
@@ -47,8 +57,8 @@ def read_parquet_table(
     else:
         df = df.select("*", position.alias(ROW_INDEX))
     df = session.at_least(df, partitions, F.floor(F.col(ROW_INDEX) / SPREAD_ROWS))
-    table = source_table(df, name, columns=columns, file_name=path.rstrip("/").rsplit("/", 1)[-1])
-    return limit_rows(table, max_rows)
+    table = source_table(df, name, columns=columns, file_name=file_name)
+    return limit_rows(replace(table, locate=locate), max_rows)
 
 
 def _unique_key(*of: str) -> Column:
@@ -119,7 +129,8 @@ def limit_rows(table: SourceTable, max_rows: int | None) -> SourceTable:
     """The first ``max_rows`` rows by input position; None or 0 keeps all."""
     if not max_rows:
         return table
-    return replace(table, frame=table.frame.filter(F.col(ROW_INDEX) < max_rows))
+    # a row beyond the limit is looked for among the rows that are left
+    return replace(table, frame=table.frame.filter(F.col(ROW_INDEX) < max_rows), locate=None)
 
 
 def limit_report(table: SourceTable, max_rows: int | None) -> DataFrame:

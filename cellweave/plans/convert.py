@@ -75,7 +75,7 @@ class Conversion:
         place = self._place(s)
         if place is not None:
             row, column = place
-            found = replace(self, table=self.table.where(F.col("row_index") == row))
+            found = replace(self, table=self.table.at(row))
             columns = None if column is None else [column] if column < len(self.table.names) else []
         parts = [self.metadata, found.row_triples(predicates).select(*TRIPLE_FIELDS)]
         if columns != []:

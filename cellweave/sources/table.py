@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
@@ -26,7 +26,7 @@ class SourceTable:
     Header names may repeat. ``name`` is the table's name in identifiers; with ``name=None`` the frame
     holds many tables and carries a ``table_name`` column, rows being numbered per table; ``file_name`` is then the
     ending of their files' names. Tables with headers of their own have them in ``headers`` (table_name, column_index, column_name),
-    and ``names`` only numbers the positions.
+    and ``names`` only numbers the positions. ``locate`` gives the frame of one row by its index where that saves reading other files.
     """
 
     frame: DataFrame
@@ -35,6 +35,7 @@ class SourceTable:
     file_name: str | None = None
     kinds: tuple[str, ...] = field(default=())
     headers: DataFrame | None = None
+    locate: Callable[[int], DataFrame] | None = None
 
     @property
     def keys(self) -> list[str]:
@@ -57,6 +58,11 @@ class SourceTable:
     def where(self, condition: Column) -> "SourceTable":
         return replace(self, frame=self.frame.filter(condition))
 
+    def at(self, row: int) -> "SourceTable":
+        """The table with one of its rows."""
+        frame = self.frame if self.locate is None else self.locate(row)
+        return replace(self, frame=frame.filter(F.col(ROW_INDEX) == row))
+
     def pick(self, positions: Iterable[int]) -> list[int]:
         return sorted(set(positions)) if positions is not None else list(range(len(self.names)))
 

@@ -1,13 +1,14 @@
 """Incremental conversion: files that arrive in a folder are appended to the graph.
 
-Row positions continue over batches. How many rows each batch had is kept in a ledger by batch id, so a
-batch that runs again gets the same positions and replaces its own output.
+Row positions continue over batches. A ledger keeps, by batch id, how many rows there were up to the end of each batch: the latest entry
+before a batch tells where it begins, however many there are. A batch that runs again gets the same positions and replaces its own output.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -21,13 +22,33 @@ from ..operators.summary import part_number
 from ..sources.table import ROW_INDEX, source_table
 from ..vocab import Profile
 
-_LEDGER = "batch_id bigint, rows bigint"
+_LEDGER = "batch_id bigint, rows bigint, total bigint"
+
+
+def _entry(ledger: str, batch_id: int) -> str:
+    return f"{ledger}/batch={batch_id:09d}"
 
 
 def _rows_before(spark: SparkSession, ledger: str, batch_id: int) -> int:
-    """Rows of all earlier batches; the ledger has one row per batch."""
-    entries = spark.read.schema(_LEDGER).option("recursiveFileLookup", True).json(ledger)
-    return entries.filter(F.col("batch_id") < batch_id).agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+    """Rows of all earlier batches, from one entry; only where the batch before has none (it had no files), others are looked for."""
+    if batch_id == 0:
+        return 0
+    try:
+        entry = spark.read.schema(_LEDGER).json(_entry(ledger, batch_id - 1)).first()
+    except AnalysisException:
+        entry = None
+    if entry is None:
+        return _latest(spark, ledger, batch_id)
+    return entry["total"]
+
+
+def _latest(spark: SparkSession, ledger: str, batch_id: int) -> int:
+    """The total of the latest entry before ``batch_id``, if there is any."""
+    try:
+        entries = spark.read.schema(_LEDGER).option("recursiveFileLookup", True).json(ledger)
+    except AnalysisException:  # no batch has been written
+        return 0
+    return entries.filter(F.col("batch_id") < batch_id).agg(F.coalesce(F.max_by("total", "batch_id"), F.lit(0))).first()[0]
 
 
 def _numbered(batch: DataFrame, first: int) -> DataFrame:
@@ -50,8 +71,8 @@ def append_batches(
     def append(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         folder = f"batch={batch_id:09d}"
-        spark.createDataFrame([], _LEDGER).write.mode("ignore").json(f"{ledger}/batch=start")
-        numbered = _numbered(batch, _rows_before(spark, ledger, batch_id))
+        first = _rows_before(spark, ledger, batch_id)
+        numbered = _numbered(batch, first)
         table = source_table(numbered, name, columns=columns, names=names or columns)
         cells = C.type_cells(C.melt(table), table) if profile.typed else C.plain_cells(C.melt(table))
         rows = E.row_triples(table, profile, ROW_INDEX, lines=True)
@@ -59,8 +80,9 @@ def append_batches(
         chunk = terms.chunk_name(part_number(rows_per_chunk)).alias("chunk")
         lines = data.select("value", chunk)
         lines.write.mode("overwrite").partitionBy("chunk").text(f"{out}/data/{folder}")
-        count = table.frame.agg(F.lit(batch_id).cast("long").alias("batch_id"), F.count("*").alias("rows"))
-        count.write.mode("overwrite").json(f"{ledger}/{folder}")
+        rows = F.count("*")
+        count = table.frame.agg(F.lit(batch_id).cast("long").alias("batch_id"), rows.alias("rows"), (rows + first).alias("total"))
+        count.write.mode("overwrite").json(_entry(ledger, batch_id))
 
     return append
 

@@ -142,3 +142,17 @@ def test_census_without_and_with_repeats(spark, folder):
     once = {r["class"]: r.instances for r in S.class_census(graph, unique=True).collect()}
     twice = {r["class"]: r.instances for r in S.class_census(graph.unionByName(graph)).collect()}
     assert once == twice and once[V.TYPED.term("Row")] == 1000
+
+
+def test_one_row_is_read_from_its_file_only(spark, tmp_path):
+    path = str(tmp_path / "many")
+    spark.range(4000).repartitionByRange(10, "id").sortWithinPartitions("id").withColumn("t", F.concat(F.lit("text "), "id")).write.parquet(path)
+    table = I.read_parquet_table(spark, path, "t")
+    one = table.at(2345)
+    assert [tuple(r) for r in one.frame.collect()] == [(2345, 2345, "text 2345")]
+    assert one.frame.rdd.getNumPartitions() == 1 and table.frame.rdd.getNumPartitions() > 1
+    assert table.at(4000).frame.isEmpty()
+    graph = convert(table, V.TYPED)
+    found = graph.match(s=V.TYPED.base + "row/t/2345")
+    assert found.count() == 3 and G.diff(found, G.match(graph.triples(), s=V.TYPED.base + "row/t/2345")).isEmpty()
+    assert convert(I.read_parquet_table(spark, path, "t", max_rows=10), V.TYPED).match(s=V.TYPED.base + "row/t/2345").isEmpty()

@@ -40,3 +40,22 @@ def test_a_repeated_batch_replaces_itself(spark, tmp_path):
         write(batch, batch_id)
     rows = G.instances(triples.read_triples(spark, out + "/data"), V.TYPED.term("Row"))
     assert rows.count() == 20
+
+
+def test_a_batch_reads_one_entry_of_the_ledger(spark, tmp_path):
+    source, out = tmp_path / "in", tmp_path / "out"
+    source.mkdir()
+    (source / "a.csv").write_text(HEADER + lines(0, 10))
+    for i in range(1000):
+        entry = out / "ledger" / f"batch={i:09d}"
+        entry.mkdir(parents=True)
+        # any other entry than the last would give a wrong place
+        (entry / "part-0.json").write_text(f'{{"batch_id": {i}, "rows": 3, "total": {3000 if i == 999 else 7}}}\n')
+    batch = ingest.with_source(spark.read.schema("id string, name string, size string").option("header", True).csv(str(source)))
+    write = ingest.append_batches(batch, "t", str(out))
+    write(batch, 1000)
+    write(batch, 1001)
+    write(batch, 1000)  # a replay keeps its positions and those behind it
+    write(batch, 1005)  # batches between had no files
+    rows = G.instances(triples.read_triples(spark, f"{out}/data"), V.TYPED.term("Row")).collect()
+    assert sorted(int(r.s.rsplit("/", 1)[1]) for r in rows) == list(range(3000, 3030))
