@@ -235,13 +235,14 @@ def run(
     created: str,
     rows_per_part: int = V.ROWS_PER_PART,
     with_pages: bool = False,
-    one_file_per_chunk: bool = False,
+    chunk_folders: bool = False,
     listed: int = LISTED,
 ) -> dict:
     """Write a single table's outputs below ``out`` and return its counts.
 
-    ``table`` holds the metadata, ``full`` metadata and data, ``chunks`` the data by row position. The data
-    plan has no shuffle, so writing it twice costs less than keeping it. Counts are observed while ``full``
+    ``table`` holds the metadata, ``full`` metadata and data, ``chunks`` the data by row position: files with an index of chunks, or
+    with ``chunk_folders`` a folder with one file per chunk. Without the chunks the data plan has no shuffle, so making it twice costs
+    less than keeping it. Counts are observed while ``full``
     is written.
     """
     profile = conversion.profile
@@ -264,7 +265,8 @@ def run(
         *[F.count(F.when(F.col("kind") == name, F.lit(1))).alias(name) for name in ("row", "cell", "link")],
     )
     observed.select("value").write.mode("overwrite").text(f"{out}/full")
-    sinks.write_chunks(conversion.data(lines=True), f"{out}/chunks", rows_per_part, one_file_per_chunk)
+    write_chunks = sinks.write_chunks if chunk_folders else sinks.write_chunk_files
+    write_chunks(conversion.data(lines=True), f"{out}/chunks", rows_per_part)
     counts = seen.get
     rows, cells = counts["row"] // profile.triples_per_row, counts["cell"] // profile.triples_per_cell
     metadata.unpersist()

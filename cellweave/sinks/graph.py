@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import vocab as V
 from ..functions import terms
 from ..operators.hot import split_groups
 from ..operators.summary import part_number
+from ..sources.triples import numbered_lines
 
+# Begins the comment before the lines of a chunk.
+CHUNK_MARK = "# "
 # Number of entries of one node that are put into one JSON object.
 ENTRIES_PER_NODE = 10_000
 
@@ -20,21 +23,50 @@ def write_lines(triples: DataFrame, path: str, single_file: bool = False) -> Non
     (lines.coalesce(1) if single_file else lines).write.mode("overwrite").text(path)
 
 
-def write_chunks(
-    data: DataFrame, path: str, rows_per_chunk: int = V.ROWS_PER_PART, one_file_per_chunk: bool = False
-) -> None:
-    """Triples, or their lines as ``value``, in folders ``chunk=chunk_0000`` and so on by ``row_index``.
+def write_chunks(data: DataFrame, path: str, rows_per_chunk: int = V.ROWS_PER_PART) -> None:
+    """Triples, or their lines as ``value``, in folders ``chunk=chunk_0000`` and so on by ``row_index``: one file per chunk.
 
-    No chunk is empty. Rows of a table come in order, so a task already holds whole chunks but for its first and
-    last; those two may get a second file. ``one_file_per_chunk`` shuffles by row position to avoid that.
+    Meant for tables of few chunks; see :func:`write_chunk_files`. No chunk is empty.
     """
-    if one_file_per_chunk:
-        data = data.repartitionByRange(part_number(rows_per_chunk)).sortWithinPartitions("row_index")
-    line = F.col("value") if "value" in data.columns else terms.triple_line().alias("value")
-    lines = data.select(line, terms.chunk_name(part_number(rows_per_chunk)).alias("chunk"))
+    part = part_number(rows_per_chunk)
+    data = data.repartitionByRange(part).sortWithinPartitions("row_index")
+    lines = data.select(_line(data), terms.chunk_name(part).alias("chunk"))
     lines.write.mode("overwrite").partitionBy("chunk").text(path)
 
 
+def _line(data: DataFrame) -> Column:
+    return F.col("value") if "value" in data.columns else terms.triple_line().alias("value")
+
+
+def write_chunk_files(data: DataFrame, path: str, rows_per_chunk: int = V.ROWS_PER_PART) -> None:
+    """Triples, or their lines as ``value``, in files by ``row_index``, and an index of the chunks that they hold.
+
+    Each chunk lies in one file of ``path/lines``, behind a comment with its name; there are as many files as tasks, however many chunks.
+    ``path/index`` has one row per chunk, read off the files: ``chunk, file, first_line, lines`` (lines from 0, the comment not counted).
+    """
+    part = part_number(rows_per_chunk)
+    lines = data.select(part.alias("_part"), "row_index", F.lit(1).alias("_order"), _line(data))
+    name = F.concat(F.lit(CHUNK_MARK), terms.chunk_name("_part"))
+    marks = lines.select("_part").distinct().select(
+        "_part", F.lit(0).cast("long").alias("row_index"), F.lit(0).alias("_order"), name.alias("value")
+    )
+    placed = lines.unionByName(marks).repartitionByRange("_part").sortWithinPartitions("_part", "_order", "row_index")
+    placed.select("value").write.mode("overwrite").text(f"{path}/lines")
+    index = _index(numbered_lines(data.sparkSession, f"{path}/lines"))
+    index.write.mode("overwrite").json(f"{path}/index")
+
+
+def _index(lines: DataFrame) -> DataFrame:
+    """Where the chunks are, from the comments in numbered lines."""
+    sizes = lines.groupBy("file").agg(F.count("*").alias("_size"))
+    marks = lines.filter(F.col("value").startswith(CHUNK_MARK))
+    marks = marks.select("file", F.substring("value", len(CHUNK_MARK) + 1, 2**31 - 1).alias("chunk"), (F.col("line") + 1).alias("first_line"))
+    # one row per chunk goes through this window, the chunks of a file together
+    after = F.lead("first_line").over(Window.partitionBy("file").orderBy("first_line")) - 1
+    ends = F.coalesce(after, F.col("_size"))
+    return marks.join(sizes, "file").select("chunk", "file", "first_line", (ends - F.col("first_line")).alias("lines"))
+
+
 def write_pages(pages: DataFrame, path: str) -> None:
     """Page documents as JSON, one per folder ``page_name=page_0`` and so on."""
     keys = [c for c in pages.columns if c == "table_name"]

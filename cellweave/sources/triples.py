@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import session
 from ..functions import terms
 from ..model import BNODE, IRI, LITERAL
 from ..operators.index import number_by_blocks
@@ -69,11 +70,45 @@ def read_triples(spark: SparkSession, path: str) -> DataFrame:
     return parse_lines(lines, "value", *keep, strict=True)
 
 
-def unreadable_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``file, line, text`` of the lines of a file or folder that :func:`read_triples` cannot read; lines count from 1 in each file."""
-    lines = spark.read.text(path).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block")
+def numbered_lines(spark: SparkSession, path: str, file: str | None = None, named_by: str = "file_name") -> DataFrame:
+    """``file, line, value`` of the text files in the folder ``path``, or of one of them by its name; lines count from 0 in each file."""
+    lines = spark.read.text(f"{path}/{file}" if file else path).select(
+        "value", F.col(f"_metadata.{named_by}").alias("file"), F.col("_metadata.file_block_start").alias("_block")
     )
     numbered = number_by_blocks(lines, "file", "_block", "file")
-    bad = _marked(numbered, "value").filter(~F.col("_ok") & ~F.col("value").rlike(_NOTHING))
-    return bad.select("file", (F.col("row_index") + 1).alias("line"), F.col("value").alias("text"))
+    return numbered.select("file", F.col("row_index").alias("line"), "value")
+
+
+INDEX = "chunk string, file string, first_line long, lines long"
+# Lines that are looked up together when all chunks are read.
+_BUCKET = 8192
+
+
+def read_chunk(spark: SparkSession, path: str, chunk: str) -> DataFrame:
+    """The triples of one chunk of what ``write_chunk_files`` wrote; only the file in which it lies is read."""
+    place = spark.read.schema(INDEX).json(f"{path}/index").filter(F.col("chunk") == chunk).first()
+    if place is None:
+        raise KeyError(chunk)
+    lines = numbered_lines(spark, f"{path}/lines", place["file"])
+    last = place["first_line"] + place["lines"] - 1
+    return parse_lines(lines.filter(F.col("line").between(place["first_line"], last)), strict=True)
+
+
+def read_chunks(spark: SparkSession, path: str) -> DataFrame:
+    """The triples of all chunks, each with its ``chunk``.
+
+    Lines are looked up in the index by bucket: a chunk is entered in each bucket of lines that it reaches into.
+    """
+    index = spark.read.schema(INDEX).json(f"{path}/index").filter("lines > 0")
+    first, last = F.col("first_line"), F.col("first_line") + F.col("lines") - 1
+    buckets = F.sequence(F.floor(first / _BUCKET), F.floor(last / _BUCKET))
+    index = session.settle(index.select("file", "chunk", first.alias("_first"), last.alias("_last"), F.explode(buckets).alias("_bucket")))
+    lines = numbered_lines(spark, f"{path}/lines").withColumn("_bucket", F.floor(F.col("line") / _BUCKET))
+    found = lines.join(session.broadcast_if_small(index, 256), ["file", "_bucket"])
+    return parse_lines(found.filter(F.col("line").between(F.col("_first"), F.col("_last"))), "value", "chunk", strict=True)
+
+
+def unreadable_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``file, line, text`` of the lines of a file or folder that :func:`read_triples` cannot read; lines count from 1 in each file."""
+    bad = _marked(numbered_lines(spark, path, named_by="file_path"), "value").filter(~F.col("_ok") & ~F.col("value").rlike(_NOTHING))
+    return bad.select("file", (F.col("line") + 1).alias("line"), F.col("value").alias("text"))

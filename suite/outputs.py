@@ -202,12 +202,38 @@ SELECT '{V.PLAIN.base}cell/documents/' || row_index || '/' || column_index AS s,
 FROM ({sql_cells('documents')})
 """)
 def text_roundtrip(spark, folder):
-    """Long texts with line ends and quotes, written in chunks and read again with their chunk."""
+    """Long texts with line ends and quotes, written in files of chunks and read again with their chunk."""
     source = table(spark, folder, "documents")
     cells = E.cell_triples(C.plain_cells(C.melt(source)), source, V.PLAIN, "row_index")
     place = scratch(spark) + "/chunks"
-    sinks.write_chunks(cells.filter(F.col("p") == V.PLAIN.ontology + "value"), place, 64, one_file_per_chunk=True)
-    return triples.read_triples(spark, place).select("s", "o", "chunk")
+    sinks.write_chunk_files(cells.filter(F.col("p") == V.PLAIN.ontology + "value"), place, 64)
+    return triples.read_chunks(spark, place).select("s", "o", "chunk")
+
+
+@query("chunk_files", f"""
+SELECT printf('chunk_%04d', row_index // 64) AS chunk, count(*) AS lines, TRUE AS few_files FROM ({sql_cells('documents')}) GROUP BY row_index // 64
+""")
+def chunk_files(spark, folder):
+    """The index of chunks, read off the files; there are no more files than tasks."""
+    source = table(spark, folder, "documents")
+    cells = E.cell_triples(C.plain_cells(C.melt(source)), source, V.PLAIN, "row_index")
+    place = scratch(spark) + "/chunks"
+    sinks.write_chunk_files(cells.filter(F.col("p") == V.PLAIN.ontology + "value"), place, 64)
+    index = spark.read.schema(triples.INDEX).json(f"{place}/index")
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return index.select("chunk", "lines", F.lit(len(spark.read.text(f"{place}/lines").inputFiles()) <= most).alias("few_files"))
+
+
+@query("one_chunk", f"""
+SELECT '{V.PLAIN.base}cell/documents/' || row_index || '/' || column_index AS s, value AS o FROM ({sql_cells('documents')}) WHERE row_index // 16 = 5
+""")
+def one_chunk(spark, folder):
+    """One chunk, found by the index."""
+    source = table(spark, folder, "documents")
+    cells = E.cell_triples(C.plain_cells(C.melt(source)), source, V.PLAIN, "row_index")
+    place = scratch(spark) + "/chunks"
+    sinks.write_chunk_files(cells.filter(F.col("p") == V.PLAIN.ontology + "value"), place, 16)
+    return triples.read_chunk(spark, place, "chunk_0005").select("s", "o")
 
 
 # Parts as statements over several lines; every thirteenth text has a line that is none. Lines end in one of two ways.

@@ -219,16 +219,21 @@ def text_of(folder):
 def test_run_writes_everything(spark, csv_file, tmp_path):
     out = str(tmp_path / "out")
     graph = converted(spark, csv_file(FULL))
-    counts = plans.run(graph, out, CREATED, rows_per_part=3, with_pages=True, one_file_per_chunk=True)
+    counts = plans.run(graph, out, CREATED, rows_per_part=3, with_pages=True)
     assert (counts["rows_processed"], counts["cells"], counts["triples_generated"], counts["columns_mapped"]) == (5, 75, 573, 12)
 
     full = triples.read_triples(spark, f"{out}/full")
     assert G.diff(full, graph.triples()).isEmpty()
     assert G.diff(triples.read_triples(spark, f"{out}/table"), graph.metadata).isEmpty()
-    chunks = triples.read_triples(spark, f"{out}/chunks")
+    chunks = triples.read_chunks(spark, f"{out}/chunks")
     assert {r.chunk for r in chunks.select("chunk").distinct().collect()} == {"chunk_0000", "chunk_0001"}
     assert G.diff(chunks, graph.data()).isEmpty()
-    assert len(list(Path(f"{out}/chunks/chunk=chunk_0000").glob("part-*"))) == 1
+    assert G.diff(triples.read_chunk(spark, f"{out}/chunks", "chunk_0001"), chunks.filter("chunk = 'chunk_0001'").drop("chunk")).isEmpty()
+    with pytest.raises(KeyError):
+        triples.read_chunk(spark, f"{out}/chunks", "chunk_0002")
+    plans.sinks.write_chunks(graph.data(), f"{out}/folders", 3)
+    assert G.diff(triples.read_triples(spark, f"{out}/folders"), chunks).isEmpty()
+    assert len(list(Path(f"{out}/folders/chunk=chunk_0000").glob("part-*"))) == 1
 
     manifest = json.loads(text_of(f"{out}/table_manifest"))
     assert manifest["table_name"] == "sample" and manifest["dataset_uri"] == manifest["table_uri"] == V.TYPED.base + "table/sample"
