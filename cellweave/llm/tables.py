@@ -22,6 +22,10 @@ ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
 BROADCAST_BYTES = 32 << 20
 # Rows of a batch that are handled at a time, so that what a task derives from texts stays small.
 SLICE_ROWS = 256
+# Rows of the batches that go to Python workers and back, where the session does not say how many: both sides hold several batches
+# of whole texts, and what the JVM once took for them it keeps.
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 1024
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -46,6 +50,9 @@ def small_side(df: DataFrame, row_bytes: int) -> DataFrame:
 
 
 def workers_find_package(spark: SparkSession) -> None:
+    """What Python workers need: this package, and batches of a size for whole texts."""
+    if spark.conf.get(BATCH, None) is None:
+        spark.conf.set(BATCH, str(BATCH_ROWS))
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if ROOT not in paths:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([p for p in paths if p] + [ROOT])

@@ -60,7 +60,7 @@ def test_url_rules(spark):
 def test_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     database = duckdb.connect()
-    for t in ("documents", "pages", "conversations"):
+    for t in ("documents", "pages", "conversations", "benchmark"):
         database.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{FOLDER}/{t}.parquet')")
     df = QUERIES[name](spark, FOLDER)
     columns = sorted(df.columns)
@@ -70,7 +70,7 @@ def test_sql(spark, name):
 
 @given
 def test_every_operator_has_a_query():
-    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 14))
 
 
 @given
