@@ -233,7 +233,7 @@ class KeptSpaces(ChunkEncoder):
         return out
 
 
-class _Numbers(dict):
+class Numbers(dict):
     """Numbers chunks in the order in which they are first asked for; ``new`` holds those that came last."""
 
     def __init__(self):
@@ -253,7 +253,7 @@ class Remembering:
         self.clear()
 
     def clear(self) -> None:
-        self.known, self.values = _Numbers(), []
+        self.known, self.values = Numbers(), []
 
     def encode(self, texts: list[str]) -> list[list]:
         """For each text the values of its chunks, in order."""

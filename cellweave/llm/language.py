@@ -9,7 +9,6 @@ words are read once while a task remembers them. The network is trained here, in
 from __future__ import annotations
 
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellweave.llm import tables
+from cellweave.llm.encode import Numbers
 
 WINDOW = 62
 UNITS = 12
@@ -31,8 +31,9 @@ RATE = 0.02
 LANES = 1024
 # Words are trained on in pieces of so many bytes; in texts without spaces all is pieces.
 TRAINED_WIDTH = 18
-# Words that a task remembers before it starts anew.
+# Words that a task remembers before it forgets all but the most used ones.
 REMEMBERED = 100_000
+KEPT = 30_000
 UNKNOWN = "und"
 # Texts in none of the languages, which no language fits, score lower.
 LEAST_SCORE = 0.3
@@ -178,32 +179,44 @@ class Reader:
     """Reads texts by a network; remembers, for each word, the sums of its positions' probabilities and their number."""
 
     def __init__(self, net: Network):
-        self.net, self.known = net, {}
+        self.net, self.known = net, Numbers()
         self.sums = np.zeros((0, len(net.languages) + 1), np.float32)
+        self.used = np.zeros(0, np.int64)
 
-    def learn(self, new: list[bytes]) -> None:
-        new.sort(key=len)
+    def learn(self) -> None:
+        """Read the words that are new."""
+        new, first = self.known.new, len(self.sums)
+        order = sorted(range(len(new)), key=lambda i: len(new[i]))
         sums, at = np.zeros((len(new), self.sums.shape[1]), np.float32), 0
         while at < len(new):
-            part = new[at : at + LANES]
-            codes = windows(part, len(part[-1]))
+            part = order[at : at + LANES]
+            codes = windows([new[i] for i in part], len(new[part[-1]]))
             real = codes != 256
             p = _softmax(self.net.position_logits(codes)) * real[..., None]
-            sums[at : at + len(part), :-1], sums[at : at + len(part), -1] = p.sum(0), real.sum(0)
+            sums[part, :-1], sums[part, -1] = p.sum(0), real.sum(0)
             at += len(part)
-        self.known.update(zip(new, range(len(self.sums), len(self.sums) + len(new)), strict=True))
         self.sums = np.concatenate([self.sums, sums])
+        self.used = np.concatenate([self.used, np.zeros(len(self.sums) - first, np.int64)])
+        new.clear()
+
+    def forget(self) -> None:
+        """All words but the KEPT most used ones."""
+        words, kept = [*self.known], np.sort(np.argsort(-self.used, kind="stable")[:KEPT])
+        self.known, self.sums, self.used = Numbers(), self.sums[kept], self.used[kept] // 2
+        for i in kept.tolist():
+            self.known[words[i]] = len(self.known)
 
     def probabilities(self, texts: list[bytes]) -> np.ndarray:
         """Mean probabilities over all positions of each text; rows of texts without words are zero."""
         if len(self.known) > REMEMBERED:
-            self.__init__(self.net)
-        out = np.zeros((len(texts), len(self.net.languages)))
-        found = [pieces(x) for x in texts]
-        self.learn([w for w in dict.fromkeys(chain.from_iterable(found)) if w not in self.known])
+            self.forget()
+        number, out = self.known.__getitem__, np.zeros((len(texts), len(self.net.languages)))
+        found = [np.array([*map(number, pieces(x))], np.int64) for x in texts]
+        self.learn()
+        self.used += np.bincount(np.concatenate([*found, np.zeros(0, np.int64)]), minlength=len(self.sums))
         for i, words in enumerate(found):
-            if words:
-                total = self.sums[np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))].sum(0, dtype=np.float64)
+            if len(words):
+                total = self.sums[words].sum(0, dtype=np.float64)
                 out[i] = total[:-1] / total[-1]
         return out
 

@@ -71,12 +71,16 @@ def plain_probabilities(net, text):
     return total / n
 
 
-def test_reading_by_brute_force():
+def test_reading_by_brute_force(monkeypatch):
     r = random.Random(8)
     net = language.train([(lang, sentence(lang, r)) for lang in WORDS for _ in range(20)], steps=30)
     texts = [sentence(lang, r).encode() for lang in WORDS] + ["straße".encode() * 40, b"x", "日本語の文".encode() * 30]
     reader = language.Reader(net)
-    for _ in range(2):  # the second time from memory
+    for trial in range(3):  # from memory, then with a part of it
+        if trial == 2:
+            monkeypatch.setattr(language, "KEPT", 5)
+            reader.forget()
+            assert len(reader.known) == len(reader.sums) == 5
         assert np.allclose(reader.probabilities(texts), [plain_probabilities(net, x) for x in texts], atol=1e-4)
 
 
