@@ -77,8 +77,12 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return float((np.isin(both, a) & np.isin(both, b)).sum() / len(both))
 
 
+def bytes_of(mark: np.ndarray) -> bytes:
+    return mark.astype(">u4").tobytes()
+
+
 def text_of(mark: np.ndarray) -> str:
-    return mark.astype(">u4").tobytes().hex()
+    return bytes_of(mark).hex()
 
 
 def edit(text: str, following: str) -> str:
@@ -104,7 +108,8 @@ def mark_pair(text: str, edited: str, shared: int) -> tuple[np.ndarray, np.ndarr
     return out[0], out[1]
 
 
-_RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+# fingerprints are bytes until the end: half as much to write as their digits
+_RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
 # null ids come first
 _ORDER = ["doc_id", "mark", "uid"]
 
@@ -154,7 +159,8 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
 
     ranges = picked.repartitionByRange(*_ORDER).sortWithinPartitions(*_ORDER)
     found = tables.settle(ranges.mapInArrow(run, schema), "fingerprints")
-    return found.where("edge IS NULL").select(columns[:7]).unionByName(_at_edges(found.where("edge IS NOT NULL")))
+    whole = found.where("edge IS NULL").select(columns[:7]).unionByName(_at_edges(found.where("edge IS NOT NULL")))
+    return whole.withColumns({c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")})
 
 
 def _at_edges(edges: DataFrame) -> DataFrame:
@@ -173,7 +179,7 @@ def _at_edges(edges: DataFrame) -> DataFrame:
 
 
 _KINDS = [
-    pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int32(), pa.int64(), pa.int64(), pa.string(),
+    pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.float64(), pa.float64(), pa.int32(), pa.int64(), pa.int64(), pa.string(),
 ]
 
 
@@ -190,5 +196,5 @@ def _judge(rows: list[tuple]) -> pa.RecordBatch:
             last = mark_pair(following, following, len(following))[0]
         row.append(likeness(row[3], last))
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-    values = [[text_of(r[i]) if i in (3, 4) else r[i] for r in found] for i in range(7)]
+    values = [[bytes_of(r[i]) if i in (3, 4) else r[i] for r in found] for i in range(7)]
     return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, _KINDS, strict=False)], names)
