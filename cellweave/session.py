@@ -30,6 +30,19 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def pinned(spark: SparkSession) -> SparkSession:
+    """A session with the settings of ``spark`` as they are now. Files read by it are split in one way whenever a plan is made,
+    whatever is set later in ``spark`` and however many cores come or go."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    least = ("spark.sql.files.minPartitionNum", "spark.sql.leafNodeDefaultParallelism")
+    known = [x for x in (spark.conf.get(k, None) for k in least) if x]
+    own.conf.set(least[0], known[0] if known else str(spark.sparkContext.defaultParallelism))
+    return own
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the checkpoint folder, so that all later uses read the same rows."""
     shared_folder(df.sparkSession)

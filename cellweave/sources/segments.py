@@ -24,6 +24,9 @@ from .. import session
 
 # Lines that a task holds as Python texts at a time.
 SLICE_LINES = 2048
+# Bytes up to which small splits are read by one task, and the tasks for each core that there are before.
+TASK_BYTES = 32 << 20
+TASKS_PER_CORE = 4
 
 
 @dataclass(frozen=True)
@@ -161,11 +164,23 @@ class Unclosed(ValueError):
 
 
 def _lines(spark: SparkSession, path: str, glob: str | None) -> DataFrame:
-    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob) if glob else spark.read
+    # all readings have to split the files in one way
+    reader = session.pinned(spark).read
+    reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", glob) if glob else reader
     lines = reader.text(path)
     return lines.select("value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
 
 
+def _dealt(lines: DataFrame) -> DataFrame:
+    """``lines`` with neighbouring small splits in one task, so that their number costs little; they stay splits of their own."""
+    spark = lines.sparkSession
+    size = re.fullmatch(r"(\d+)\s*([kmgtp]?)b?", spark.conf.get("spark.sql.files.maxPartitionBytes").strip().lower())
+    largest = int(size[1]) << 10 * " kmgtp".index(size[2] or " ")
+    splits = lines.rdd.getNumPartitions()
+    tasks = max(TASKS_PER_CORE * spark.sparkContext.defaultParallelism, -(-splits * largest // TASK_BYTES))
+    return lines.coalesce(tasks) if tasks < splits else lines
+
+
 def read_segments(
     spark: SparkSession, path: str, grammar: Grammar, convert: Callable[[int, list[tuple[int, int, str]]], pa.RecordBatch], schema: str,
     glob: str | None = None, most: int | None = None, closed: bool = True,
@@ -183,7 +198,7 @@ def read_segments(
     names = sorted(re.sub("^file:/+", "file:/", x) for x in everything.inputFiles())
     look = 1 if most and len(names) > 1 else len(names)
     while True:
-        lines = everything.filter(F.col("_file") <= names[look - 1]) if look < len(names) else everything
+        lines = _dealt(everything.filter(F.col("_file") <= names[look - 1]) if look < len(names) else everything)
         splits = session.settle(_composed(_count(lines, grammar)))
         counted = splits.agg(F.sum("rows") - F.countDistinct("_file")).first()[0] or 0
         if look >= len(names) or counted >= most:

@@ -125,3 +125,22 @@ def test_a_row_limit_reads_the_first_files_only(spark, tmp_path):
     assert rows(table) == [[str(i)] for i in range(7)]
     (tmp_path / "05.csv").write_text('id\n"never read')
     assert rows(delimited.read_csv_table(spark, str(tmp_path), "t", max_rows=15)) == [[str(i)] for i in range(15)]
+
+
+def test_records_stay_readable_when_split_sizes_change(spark, tmp_path):
+    """Plans that are made later split the files as they were counted; many splits are read by few tasks."""
+    path = tmp_path / "long.csv"
+    path.write_text("id,t\n" + "".join(f'{i},"one\n{i}, two"\n' for i in range(5000)))
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {k: spark.conf.get(k) for k in names}
+    try:
+        for k in names:
+            spark.conf.set(k, "1024")
+        frame = delimited.read_csv_table(spark, str(path), "t").frame
+        assert spark.read.text(str(path)).rdd.getNumPartitions() > 64 >= frame.rdd.getNumPartitions()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    frame.write.parquet(str(tmp_path / "out"))
+    found = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(tuple(r) for r in found.collect()) == [(i, str(i), f"one\n{i}, two") for i in range(5000)]
