@@ -25,12 +25,14 @@ def read_parquet_table(
     columns: list[str] | None = None,
     max_rows: int | None = None,
     partitions: int | None = None,
+    task_rows: int | None = None,
 ) -> SourceTable:
     """A Parquet file or folder, rows numbered by position in the file, files in path order.
 
     The position inside a file is the reader's own, so nothing is shuffled or sorted. Only with several files
     are their row counts needed, which are read from the footers. A caller whose rows each become many records may ask for
-    ``partitions``; only then, and only if the scan has fewer, are rows shuffled, in runs.
+    ``partitions``, or for tasks of ``task_rows`` rows at most; only then, and only if the scan's are fewer or larger, are rows
+    shuffled, in runs.
     """
     df = scan = spark.read.parquet(path)
     columns = columns if columns is not None else df.columns
@@ -56,7 +58,8 @@ def read_parquet_table(
         df = df.withColumn(ROW_INDEX, F.col("_start") + _inside(F.col("_position")))
     else:
         df = df.select("*", position.alias(ROW_INDEX))
-    df = session.at_least(df, partitions, F.floor(F.col(ROW_INDEX) / SPREAD_ROWS))
+    run = F.floor(F.col(ROW_INDEX) / SPREAD_ROWS)
+    df = session.at_most(df, scan, task_rows, run) if task_rows else session.at_least(df, partitions, run)
     table = source_table(df, name, columns=columns, file_name=file_name)
     return limit_rows(replace(table, locate=locate), max_rows)
 

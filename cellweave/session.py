@@ -95,6 +95,16 @@ def at_least(df: DataFrame, partitions: int | None, *by: Column) -> DataFrame:
     return df.repartition(partitions, *by)
 
 
+def at_most(df: DataFrame, scan: DataFrame, rows: int, *by: Column) -> DataFrame:
+    """``df``, made of the rows of ``scan`` where they are, shuffled if a task has more than ``rows`` of them.
+
+    For rows that each become many, so that a task's memory does not grow with the input.
+    """
+    counted = scan.groupBy(F.spark_partition_id().alias("_task")).agg(F.count("*").alias("_rows"))
+    total, most = counted.agg(F.sum("_rows"), F.max("_rows")).first()
+    return df if (most or 0) <= rows else df.repartition(-(-total // rows), *by)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Hand this package to Python workers on other machines, once per application."""
     context = spark.sparkContext

@@ -55,15 +55,22 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-def table(spark: SparkSession, folder: str, name: str, max_rows: int | None = None) -> SourceTable:
-    return read_parquet_table(spark, f"{folder}/{name}.parquet", name, max_rows=max_rows)
+# Rows of a table that a task melts at most: each becomes some dozens of triples.
+MELTED_ROWS = 1 << 15
+
+
+def table(spark: SparkSession, folder: str, name: str, max_rows: int | None = None, task_rows: int | None = None) -> SourceTable:
+    return read_parquet_table(spark, f"{folder}/{name}.parquet", name, max_rows=max_rows, task_rows=task_rows)
 
 
 def derive(spark: SparkSession, folder: str, text: str, wide: bool = True) -> DataFrame:
-    """Run SQL text in which ``{name}`` stands for a table; rows become many, so small scans are dealt to all cores."""
+    """Run SQL text in which ``{name}`` stands for a table; rows become many, so they are dealt to all cores, and no task has
+    more than a bounded number of them."""
     names = [n for n in (*KEYS, "lineitem", "region", "labels", "benchmark", "conversations") if f"{{{n}}}" in text]
-    cores = spark.sparkContext.defaultParallelism
-    tables = {n: session.at_least(spark.read.parquet(f"{folder}/{n}.parquet"), cores if wide else None) for n in names}
+    tables = {n: spark.read.parquet(f"{folder}/{n}.parquet") for n in names}
+    if wide:
+        cores = spark.sparkContext.defaultParallelism
+        tables = {n: session.at_least(df, max(cores, -(-df.count() // MELTED_ROWS))) for n, df in tables.items()}
     return spark.sql(text, **tables)
 
 

@@ -14,7 +14,7 @@ from cellweave.plans.convert import convert
 from cellweave.sources.table import source_table
 
 from .base import (
-    ANNOTATIONS, B, COLUMNS, CREATED, annotations, derive, duck, q, query, sql_cell_triples, sql_cells, sql_datatype,
+    ANNOTATIONS, B, COLUMNS, CREATED, MELTED_ROWS, annotations, derive, duck, q, query, sql_cell_triples, sql_cells, sql_datatype,
     sql_metadata_triples, sql_row_triples, sql_rows, sql_triple, table,
 )
 
@@ -37,7 +37,7 @@ _GRAPH = f"(SELECT * FROM ({_METADATA}) UNION ALL {sql_row_triples('customer')}
 
 def _customer(spark, folder, annotated=True):
     catalogue = annotations(spark, folder) if annotated else None
-    return convert(table(spark, folder, "customer"), V.TYPED, catalogue, CREATED)
+    return convert(table(spark, folder, "customer", task_rows=MELTED_ROWS), V.TYPED, catalogue, CREATED)
 
 
 @query("flagship", f"""
@@ -139,7 +139,7 @@ UNION ALL SELECT *, -1 FROM (SELECT * FROM r EXCEPT SELECT * FROM l)
 def graph_diff(spark, folder):
     changed = derive(spark, folder, CHANGED).withColumn("row_index", F.col("c_custkey"))
     changed = source_table(changed, "customer")
-    before = table(spark, folder, "customer")
+    before = table(spark, folder, "customer", task_rows=MELTED_ROWS)
 
     def graph(source):
         return E.cell_triples(C.type_cells(C.melt(source), source), source, V.TYPED)
@@ -162,7 +162,7 @@ SELECT '{BASE}row/orders/' || row_index AS row_iri, {', '.join(f'CAST({c} AS VAR
 FROM ({sql_rows('orders')})
 """)
 def rebuild_table(spark, folder):
-    conversion = convert(table(spark, folder, "orders"), V.TYPED, created=CREATED)
+    conversion = convert(table(spark, folder, "orders", task_rows=MELTED_ROWS), V.TYPED, created=CREATED)
     cells = conversion.cell_triples(G.rebuild_predicates(V.TYPED))
     return G.rebuild(cells, conversion.table.names, V.TYPED, conversion.metadata)
 

@@ -156,3 +156,13 @@ def test_one_row_is_read_from_its_file_only(spark, tmp_path):
     found = graph.match(s=V.TYPED.base + "row/t/2345")
     assert found.count() == 3 and G.diff(found, G.match(graph.triples(), s=V.TYPED.base + "row/t/2345")).isEmpty()
     assert convert(I.read_parquet_table(spark, path, "t", max_rows=10), V.TYPED).match(s=V.TYPED.base + "row/t/2345").isEmpty()
+
+
+def test_tasks_have_a_bounded_number_of_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(40_000).coalesce(1).write.parquet(path)
+    frame = I.read_parquet_table(spark, path, "t", task_rows=4096).frame
+    sizes = [r["count"] for r in frame.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 5 and max(sizes) < 20_000 and sum(sizes) == 40_000
+    assert frame.filter("row_index <> c0").isEmpty()
+    assert "Exchange" not in plan(I.read_parquet_table(spark, path, "t", task_rows=40_000).frame)
