@@ -16,7 +16,7 @@ from cellweave.sources import delimited, documents, statements, triples
 from cellweave.streaming import ingest
 
 from .base import (
-    COLUMNS, CREATED, annotations, derive, duck, query, scratch, sql_cell_triples, sql_cells, sql_metadata_triples, sql_row_triples, table,
+    COLUMNS, CREATED, MELTED_ROWS, annotations, derive, duck, query, scratch, sql_cell_triples, sql_cells, sql_metadata_triples, sql_row_triples, table,
 )
 from .graphs import _GRAPH, _METADATA
 
@@ -133,7 +133,7 @@ def manifest_list_of_threes(spark, folder):
 
 def _ran(spark, folder, name):
     place = scratch(spark)
-    conversion = plans.convert(table(spark, folder, name), V.TYPED, created=CREATED)
+    conversion = plans.convert(table(spark, folder, name, task_rows=MELTED_ROWS), V.TYPED, created=CREATED)
     plans.run(conversion, place, CREATED, 30, with_pages=True, listed=3)
     return place
 
@@ -191,7 +191,7 @@ def page_cells(spark, folder):
 @query("graph_roundtrip", f"SELECT * FROM {_GRAPH} AS g")
 def graph_roundtrip(spark, folder):
     """The whole graph written as lines and read again."""
-    conversion = plans.convert(table(spark, folder, "customer"), V.TYPED, annotations(spark, folder), CREATED)
+    conversion = plans.convert(table(spark, folder, "customer", task_rows=MELTED_ROWS), V.TYPED, annotations(spark, folder), CREATED)
     place = scratch(spark) + "/full"
     sinks.write_lines(conversion.triples(), place)
     return triples.read_triples(spark, place)
@@ -203,7 +203,7 @@ FROM ({sql_cells('documents')})
 """)
 def text_roundtrip(spark, folder):
     """Long texts with line ends and quotes, written in files of chunks and read again with their chunk."""
-    source = table(spark, folder, "documents")
+    source = table(spark, folder, "documents", task_rows=MELTED_ROWS)
     cells = E.cell_triples(C.plain_cells(C.melt(source)), source, V.PLAIN, "row_index")
     place = scratch(spark) + "/chunks"
     sinks.write_chunk_files(cells.filter(F.col("p") == V.PLAIN.ontology + "value"), place, 64)
@@ -215,7 +215,7 @@ SELECT printf('chunk_%04d', row_index // 64) AS chunk, count(*) AS lines, TRUE A
 """)
 def chunk_files(spark, folder):
     """The index of chunks, read off the files; there are no more files than tasks."""
-    source = table(spark, folder, "documents")
+    source = table(spark, folder, "documents", task_rows=MELTED_ROWS)
     cells = E.cell_triples(C.plain_cells(C.melt(source)), source, V.PLAIN, "row_index")
     place = scratch(spark) + "/chunks"
     sinks.write_chunk_files(cells.filter(F.col("p") == V.PLAIN.ontology + "value"), place, 64)
@@ -229,7 +229,7 @@ SELECT '{V.PLAIN.base}cell/documents/' || row_index || '/' || column_index AS s,
 """)
 def one_chunk(spark, folder):
     """One chunk, found by the index."""
-    source = table(spark, folder, "documents")
+    source = table(spark, folder, "documents", task_rows=MELTED_ROWS)
     cells = E.cell_triples(C.plain_cells(C.melt(source)), source, V.PLAIN, "row_index")
     place = scratch(spark) + "/chunks"
     sinks.write_chunk_files(cells.filter(F.col("p") == V.PLAIN.ontology + "value"), place, 16)
@@ -257,11 +257,13 @@ def _statements(spark, folder):
     """One file per range of parts, each with its prefixes at the top, read in small splits."""
     place = scratch(spark)
     head = "@prefix x: <http://x/> .\nPREFIX y: <http://y/>\n@base <http://base/at/file> .\n"
-    texts = derive(spark, folder, _STATEMENTS, wide=False).repartitionByRange(3, "p_partkey")
-    first = F.spark_partition_id()
-    told = texts.groupBy(first.alias("part")).agg(F.array_sort(F.collect_list(F.struct("p_partkey", "value"))).alias("rows"))
-    whole = F.concat(F.lit(head), F.array_join(F.transform("rows", lambda r: r["value"]), ""))
-    told.select(whole.alias("value")).write.option("lineSep", "\n").text(place)
+    texts = derive(spark, folder, _STATEMENTS, wide=False).filter("value IS NOT NULL")
+    ordered = texts.repartitionByRange(3, "p_partkey").sortWithinPartitions("p_partkey")
+    # rows of a partition are counted from 0 in the lower bits
+    is_first = F.monotonically_increasing_id() % (1 << 33) == 0
+    # the writer adds the last line end again
+    text = F.expr("substring(value, 1, length(value) - 1)")
+    ordered.select(F.concat(F.when(is_first, F.lit(head)).otherwise(""), text).alias("value")).write.option("lineSep", "\n").text(place)
     names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
     before = {k: spark.conf.get(k) for k in names}
     try:
@@ -407,7 +409,7 @@ def csv_unlike_columns(spark, folder):
 @query("subject_nodes", f"SELECT s, p, o, o_datatype, o_lang FROM {_GRAPH} AS g")
 def subject_nodes(spark, folder):
     """JSON objects per subject, opened again. A low bound makes the larger subjects come in parts."""
-    conversion = plans.convert(table(spark, folder, "customer"), V.TYPED, annotations(spark, folder), CREATED)
+    conversion = plans.convert(table(spark, folder, "customer", task_rows=MELTED_ROWS), V.TYPED, annotations(spark, folder), CREATED)
     nodes = sinks.nodes(conversion.triples(), limit=4)
     value = "array<struct<`@id`: string, `@value`: string, `@type`: string, `@language`: string>>"
     subject = F.get_json_object("node", "$.@id")
@@ -434,7 +436,7 @@ def manifest_catalogue(spark, folder):
     """Three tables converted with all their outputs, then found by their manifests."""
     place = scratch(spark)
     for name in ("customer", "supplier", "orders"):
-        conversion = plans.convert(table(spark, folder, name), V.TYPED, created=CREATED)
+        conversion = plans.convert(table(spark, folder, name, task_rows=MELTED_ROWS), V.TYPED, created=CREATED)
         plans.run(conversion, f"{place}/{name}", CREATED, 500)
     found = documents.read_manifests(spark, f"{place}/*/table_manifest")
     names = documents.read_name_list(spark, f"{place}/*/chunk_list")
