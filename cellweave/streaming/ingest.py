@@ -22,6 +22,9 @@ from ..operators.summary import part_number
 from ..sources.table import ROW_INDEX, source_table
 from ..vocab import Profile
 
+# Rows that a task converts, about.
+TASK_ROWS = 1 << 15
+
 _LEDGER = "batch_id bigint, rows bigint, total bigint"
 
 
@@ -73,6 +76,9 @@ def append_batches(
         folder = f"batch={batch_id:09d}"
         first = _rows_before(spark, ledger, batch_id)
         numbered = _numbered(batch, first)
+        # rows become many: neighbours that make a chunk stay together, and tasks are many and small
+        tasks = max(spark.sparkContext.defaultParallelism, -(-batch.count() // TASK_ROWS))
+        numbered = numbered.repartition(tasks, part_number(rows_per_chunk))
         table = source_table(numbered, name, columns=columns, names=names or columns)
         cells = C.type_cells(C.melt(table), table) if profile.typed else C.plain_cells(C.melt(table))
         rows = E.row_triples(table, profile, ROW_INDEX, lines=True)

@@ -59,3 +59,17 @@ def test_a_batch_reads_one_entry_of_the_ledger(spark, tmp_path):
     write(batch, 1005)  # batches between had no files
     rows = G.instances(triples.read_triples(spark, f"{out}/data"), V.TYPED.term("Row")).collect()
     assert sorted(int(r.s.rsplit("/", 1)[1]) for r in rows) == list(range(3000, 3030))
+
+
+def test_a_batch_writes_each_chunk_from_few_tasks(spark, tmp_path):
+    """The rows of a chunk are brought together before they become many lines, in whatever files they came."""
+    source, out = tmp_path / "in", tmp_path / "out"
+    source.mkdir()
+    for i in range(8):
+        (source / f"{i}.csv").write_text(HEADER + lines(10 * i, 10 * i + 10))
+    batch = ingest.with_source(spark.read.schema("id string, name string, size string").option("header", True).csv(str(source)))
+    ingest.append_batches(batch, "t", str(out), rows_per_chunk=40)(batch, 0)
+    for chunk in ("chunk_0000", "chunk_0001"):
+        # one file of rows and one of cells
+        assert len(list((out / "data" / "batch=000000000" / f"chunk={chunk}").glob("part-*"))) == 2
+    assert G.instances(triples.read_triples(spark, f"{out}/data"), V.TYPED.term("Row")).count() == 80
