@@ -240,7 +240,7 @@ def run(
 ) -> dict:
     """Write a single table's outputs below ``out`` and return its counts.
 
-    ``table`` holds the metadata, ``full`` metadata and data, ``chunks`` the data by row position: files with an index of chunks, or
+    ``table`` holds the metadata, ``full`` metadata and data in compressed files, ``chunks`` the data by row position: files with an index of chunks, or
     with ``chunk_folders`` a folder with one file per chunk. Without the chunks the data plan has no shuffle, so making it twice costs
     less than keeping it. Counts are observed while ``full``
     is written.
@@ -264,7 +264,7 @@ def run(
         seen, F.count("*").alias("triples"),
         *[F.count(F.when(F.col("kind") == name, F.lit(1))).alias(name) for name in ("row", "cell", "link")],
     )
-    observed.select("value").write.mode("overwrite").text(f"{out}/full")
+    observed.select("value").write.mode("overwrite").option("compression", sinks.COMPRESSION).text(f"{out}/full")
     write_chunks = sinks.write_chunks if chunk_folders else sinks.write_chunk_files
     write_chunks(conversion.data(lines=True), f"{out}/chunks", rows_per_part)
     counts = seen.get

@@ -13,6 +13,8 @@ from ..sources.triples import numbered_lines
 
 # Begins the comment before the lines of a chunk.
 CHUNK_MARK = "# "
+# Lines of data repeat most of each other; a task's file is read as a whole.
+COMPRESSION = "gzip"
 # Number of entries of one node that are put into one JSON object.
 ENTRIES_PER_NODE = 10_000
 
@@ -41,7 +43,7 @@ def _line(data: DataFrame) -> Column:
 def write_chunk_files(data: DataFrame, path: str, rows_per_chunk: int = V.ROWS_PER_PART) -> None:
     """Triples, or their lines as ``value``, in files by ``row_index``, and an index of the chunks that they hold.
 
-    Each chunk lies in one file of ``path/lines``, behind a comment with its name; there are as many files as tasks, however many chunks.
+    Each chunk lies in one compressed file of ``path/lines``, behind a comment with its name; there are as many files as tasks, however many chunks.
     ``path/index`` has one row per chunk, read off the files: ``chunk, file, first_line, lines`` (lines from 0, the comment not counted).
     """
     part = part_number(rows_per_chunk)
@@ -51,7 +53,7 @@ def write_chunk_files(data: DataFrame, path: str, rows_per_chunk: int = V.ROWS_P
         "_part", F.lit(0).cast("long").alias("row_index"), F.lit(0).alias("_order"), name.alias("value")
     )
     placed = lines.unionByName(marks).repartitionByRange("_part").sortWithinPartitions("_part", "_order", "row_index")
-    placed.select("value").write.mode("overwrite").text(f"{path}/lines")
+    placed.select("value").write.mode("overwrite").option("compression", COMPRESSION).text(f"{path}/lines")
     index = _index(numbered_lines(data.sparkSession, f"{path}/lines"))
     index.write.mode("overwrite").json(f"{path}/index")
 
@@ -88,7 +90,9 @@ def nodes(triples: DataFrame, limit: int = ENTRIES_PER_NODE) -> DataFrame:
     )
     parted = split_groups(triples, "s", ["p", "o", "o_kind", "o_datatype", "o_lang"], limit)
     # values by property, then properties by subject, where the rows have been brought together once
-    by_value = parted.repartition("s", "part").groupBy("s", "part", "p").agg(F.array_sort(F.collect_list(value)).alias("value"))
+    # a count of partitions that is told is not lowered at run time: objects take far more memory than the rows they are made of
+    tasks = int(triples.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by_value = parted.repartition(tasks, "s", "part").groupBy("s", "part", "p").agg(F.array_sort(F.collect_list(value)).alias("value"))
     entry = F.struct(F.col("p").alias("key"), "value")
     grouped = by_value.groupBy("s", "part").agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("_properties"))
     by_property = F.col("_properties")

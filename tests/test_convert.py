@@ -251,3 +251,17 @@ def test_run_writes_everything(spark, csv_file, tmp_path):
     assert page["rows"][0]["cells"]["NAME"] == "Curlew Trust"
     found = documents.read_manifests(spark, f"{out}/table_manifest").first()
     assert (found.row_count, found.chunk_count) == (5, 2)
+
+
+def test_lines_of_data_are_written_compressed(spark, csv_file, tmp_path):
+    out = tmp_path / "out"
+    graph = converted(spark, csv_file(FULL))
+    plans.run(graph, str(out), CREATED, rows_per_part=3)
+    for folder in (out / "full", out / "chunks" / "lines"):
+        assert {p.suffix for p in folder.glob("part-*")} == {".gz"}
+    assert G.diff(triples.read_triples(spark, str(out / "full")), graph.triples()).isEmpty()
+
+
+def test_nodes_are_made_in_as_many_tasks_as_asked_for(spark, csv_file):
+    found = sinks.nodes(converted(spark, csv_file(FULL)).triples(), limit=4)
+    assert found.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
