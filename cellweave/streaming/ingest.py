@@ -2,6 +2,7 @@
 
 Row positions continue over batches. A ledger keeps, by batch id, how many rows there were up to the end of each batch: the latest entry
 before a batch tells where it begins, however many there are. A batch that runs again gets the same positions and replaces its own output.
+Lines are written compressed, as they repeat most of each other.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from ..operators import cells as C
 from ..operators import emit as E
 from ..operators.index import number_by_blocks
 from ..operators.summary import part_number
+from ..sinks.graph import COMPRESSION
 from ..sources.table import ROW_INDEX, source_table
 from ..vocab import Profile
 
@@ -85,7 +87,7 @@ def append_batches(
         data = rows.unionByName(E.cell_triples(cells, table, profile, ROW_INDEX, lines=True))
         chunk = terms.chunk_name(part_number(rows_per_chunk)).alias("chunk")
         lines = data.select("value", chunk)
-        lines.write.mode("overwrite").partitionBy("chunk").text(f"{out}/data/{folder}")
+        lines.write.mode("overwrite").option("compression", COMPRESSION).partitionBy("chunk").text(f"{out}/data/{folder}")
         rows = F.count("*")
         count = table.frame.agg(F.lit(batch_id).cast("long").alias("batch_id"), rows.alias("rows"), (rows + first).alias("total"))
         count.write.mode("overwrite").json(_entry(ledger, batch_id))

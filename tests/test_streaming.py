@@ -73,3 +73,17 @@ def test_a_batch_writes_each_chunk_from_few_tasks(spark, tmp_path):
         # one file of rows and one of cells
         assert len(list((out / "data" / "batch=000000000" / f"chunk={chunk}").glob("part-*"))) == 2
     assert G.instances(triples.read_triples(spark, f"{out}/data"), V.TYPED.term("Row")).count() == 80
+
+
+def test_lines_of_a_batch_take_little_of_the_disk(spark, tmp_path):
+    """Lines repeat most of each other: what is written is a small part of their text, and reads as the same triples."""
+    source, out = tmp_path / "in", tmp_path / "out"
+    source.mkdir()
+    (source / "a.csv").write_text(HEADER + lines(0, 2000))
+    batch = ingest.with_source(spark.read.schema("id string, name string, size string").option("header", True).csv(str(source)))
+    ingest.append_batches(batch, "t", str(out))(batch, 0)
+    files = [f for f in (out / "data").rglob("part-*") if f.is_file()]
+    text = spark.read.text(f"{out}/data").selectExpr("sum(length(value) + 1)").first()[0]
+    assert 10 * sum(f.stat().st_size for f in files) < text
+    wanted = convert(delimited.read_csv_table(spark, str(source / "a.csv"), "t"), V.TYPED).data()
+    assert G.diff(triples.read_triples(spark, f"{out}/data"), wanted).isEmpty()
