@@ -31,11 +31,14 @@ def _marked(lines: DataFrame, line: str) -> DataFrame:
     term = F.col("_object")
     is_literal = term.startswith('"')
     df = df.withColumn("_close", F.when(is_literal, F.length(term) - F.instr(F.reverse(term), '"') + 1))
-    tail = F.substring(term, F.col("_close") + 1, F.length(term))
-    literal = is_literal & (F.col("_close") > 1) & tail.rlike(r"^(\^\^<[^>]*+>|@[A-Za-z0-9-]++)?$")
+    df = df.withColumn("_tail", F.substring(term, F.col("_close") + 1, F.length(term)))
+    literal = is_literal & (F.col("_close") > 1) & F.col("_tail").rlike(r"^(\^\^<[^>]*+>|@[A-Za-z0-9-]++)?$")
     node = (term.startswith("<") & term.endswith(">")) | term.rlike(r"^_:\S++$")
     ended = F.col(line).rlike(r"\.\s*+$")
-    return df.withColumn("_tail", tail).withColumn("_ok", (F.length("_head") > 0) & ended & (literal | node))
+    ok = (F.length("_head") > 0) & ended & (literal | node)
+    # Parts come out of a generator: a filter on them stays behind it, and does not work each out again wherever it uses one.
+    parts = F.struct("_head", "_object", "_close", "_tail", ok.alias("_ok"))
+    return df.select(*lines.columns, F.inline(F.array(parts)))
 
 
 def parse_lines(lines: DataFrame, line: str = "value", *keep: str, strict: bool = False) -> DataFrame:
@@ -46,12 +49,14 @@ def parse_lines(lines: DataFrame, line: str = "value", *keep: str, strict: bool
         told = F.concat(F.lit("Not a triple: "), F.substring(F.col(line), 1, 200))
         ok = F.when(ok, True).when(F.col(line).rlike(_NOTHING), False).otherwise(F.raise_error(told).cast("boolean"))
     df = _marked(lines, line).filter(ok)
+    for part, group in (("_s", 1), ("_p", 2)):
+        df = df.withColumn(part, F.regexp_extract("_head", _HEAD, group))
     term, tail, is_literal = F.col("_object"), F.col("_tail"), F.col("_close").isNotNull()
     body = F.substring(term, F.lit(2), F.col("_close") - 2)
     return df.select(
         *keep,
-        _node(F.regexp_extract("_head", _HEAD, 1)).alias("s"),
-        _node(F.regexp_extract("_head", _HEAD, 2)).alias("p"),
+        _node(F.col("_s")).alias("s"),
+        _node(F.col("_p")).alias("p"),
         F.when(is_literal, terms.unescape_literal(body)).otherwise(_node(term)).alias("o"),
         F.when(is_literal, F.lit(LITERAL)).when(term.startswith("<"), F.lit(IRI)).otherwise(F.lit(BNODE)).alias("o_kind"),
         F.when(tail.startswith("^^<"), F.substring(tail, F.lit(4), F.length(tail) - 4)).alias("o_datatype"),

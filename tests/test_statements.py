@@ -130,3 +130,13 @@ def test_lines_that_are_no_triples_raise_or_are_told(spark, tmp_path):
     with pytest.raises(Exception, match="Not a triple"):
         triples.read_triples(spark, str(tmp_path)).collect()
     assert [r["o"] for r in triples.read_triples(spark, str(tmp_path / "b.nt")).collect()] == ['\U0001F426\\U0001F426 \\ é\t"']
+
+
+def test_parts_of_a_line_are_worked_out_once(spark, tmp_path):
+    """A filter on them is not put before them, where each of its uses would look for them again."""
+    (tmp_path / "a.nt").write_text('<s> <p> "o"@en .\n\n# nothing\n  _:s\t<p>  <o>  .  \n<s> <p> "1 \\"2\\" 3"^^<d> .\n')
+    found = triples.read_triples(spark, str(tmp_path / "a.nt"))
+    assert found._jdf.queryExecution().executedPlan().toString().count("regexp_extract") == 3
+    assert sorted(tuple(r) for r in found.select("s", "p", "o", "o_kind").collect()) == [
+        ("_:s", "p", "o", "iri"), ("s", "p", '1 "2" 3', "literal"), ("s", "p", "o", "literal"),
+    ]
